@@ -5,10 +5,25 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from caseledger.llm.bpe import token_digests
 from caseledger.llm.chat import format_digests
 from caseledger.llm.common import table
 from caseledger.llm.decontam import contained_items
+from caseledger.llm.quality import quality_scores
 from caseledger.llm.sharding import shard_documents
+from caseledger.llm.simhash import near_duplicate_classes
+from caseledger.llm.toxicity import toxicity_scores
+
+
+def tokenizer_path() -> str:
+    """Where the installed package of public tokenizers keeps the byte-level vocabulary, the same on every machine."""
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
 def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -31,6 +46,19 @@ FROM hit JOIN bn ON bn.item_id = hit.item_id AND bn.text = hit.bt WHERE hit.f >=
 """
 
 
+def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_digests(table(spark, sf_dir, "documents"), tokenizer_path())
+
+
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")).drop("text_hash")
+
+
+def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    classes = near_duplicate_classes(table(spark, sf_dir, "documents"))
+    return classes.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
 def op8_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = r"\### Assistant: </turn> ok"
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
@@ -58,5 +86,13 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_documents(table(spark, sf_dir, "documents"), shards=16, law="bytes")
 
 
-QUERIES = {"op4_decontamination": op4_decontamination, "op8_chat_formatting": op8_chat_formatting, "op10_sharding": op10_sharding}
+QUERIES = {
+    "op2_toxicity": op2_toxicity,
+    "op5_bpe": op5_bpe,
+    "op6_quality": op6_quality,
+    "op7_simhash": op7_simhash,
+    "op4_decontamination": op4_decontamination,
+    "op8_chat_formatting": op8_chat_formatting,
+    "op10_sharding": op10_sharding,
+}
 ORACLE_SQL = {"op4_decontamination": OP4_SQL, "op8_chat_formatting": OP8_SQL}
