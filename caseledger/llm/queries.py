@@ -10,6 +10,7 @@ from caseledger.llm.chat import format_digests
 from caseledger.llm.common import table
 from caseledger.llm.decontam import contained_items
 from caseledger.llm.quality import quality_scores
+from caseledger.llm.repeats import repeat_digests
 from caseledger.llm.sharding import shard_documents
 from caseledger.llm.simhash import near_duplicate_classes
 from caseledger.llm.toxicity import toxicity_scores
@@ -82,6 +83,10 @@ FROM f GROUP BY conv_id
 """
 
 
+def op9_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeat_digests(table(spark, sf_dir, "documents"))
+
+
 def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_documents(table(spark, sf_dir, "documents"), shards=16, law="bytes")
 
@@ -93,6 +98,7 @@ QUERIES = {
     "op7_simhash": op7_simhash,
     "op4_decontamination": op4_decontamination,
     "op8_chat_formatting": op8_chat_formatting,
+    "op9_repeats": op9_repeats,
     "op10_sharding": op10_sharding,
 }
 ORACLE_SQL = {"op4_decontamination": OP4_SQL, "op8_chat_formatting": OP8_SQL}
