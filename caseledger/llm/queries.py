@@ -9,6 +9,8 @@ from caseledger.llm.bpe import token_digests
 from caseledger.llm.chat import format_digests
 from caseledger.llm.common import table
 from caseledger.llm.decontam import contained_items
+from caseledger.llm.html import extract_text
+from caseledger.llm.media import media_features
 from caseledger.llm.quality import quality_scores
 from caseledger.llm.repeats import repeat_digests
 from caseledger.llm.sharding import shard_documents
@@ -23,6 +25,10 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def op1_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_text(table(spark, sf_dir, "pages"))
+
+
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -47,6 +53,10 @@ FROM hit JOIN bn ON bn.item_id = hit.item_id AND bn.text = hit.bt WHERE hit.f >=
 """
 
 
+def op3_media(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return media_features(table(spark, sf_dir, "documents"))
+
+
 def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_digests(table(spark, sf_dir, "documents"), tokenizer_path())
 
@@ -92,6 +102,8 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_html_text": op1_html_text,
+    "op3_media": op3_media,
     "op2_toxicity": op2_toxicity,
     "op5_bpe": op5_bpe,
     "op6_quality": op6_quality,
