@@ -6,7 +6,7 @@ words, with a few squashed counts. A bidirectional LSTM over the page's whole bl
 article or not, so a label can depend on everything before and after it.
 
 Training takes at most ``max_pages`` pages of the table (a documented bound, by hash), labelled by their own structural
-markup, and as many composed pages: known layouts of menus, headers, footers, sidebars, notices, adverts, forms, comments
+markup, and twice as many composed pages: known layouts of menus, headers, footers, sidebars, notices, adverts, forms, comments
 and articles under many tag and class names, filled with words of the sampled pages. All pages are labelled by the model.
 
 Defined results: null, empty and text-free html give an empty text; unclosed tags end with their parents, unclosed
@@ -270,7 +270,7 @@ def markup_labels(page: list[tuple[tuple[str, ...], str, int]]) -> list[bool] |
 
 def composed_page(rng: np.random.Generator, words: list[str]) -> tuple[list, list[bool]]:
     """A page of a known layout and its labels."""
-    say = lambda low, high: " ".join(rng.choice(words, int(rng.integers(low, high))))
+    say = lambda low, high: " ".join([words[i] for i in rng.integers(0, len(words), int(rng.integers(low, high)))])
     one = lambda *x: x[int(rng.integers(len(x)))]
     end = lambda: one(".", ".", "!", "", "?")
     parts: list[tuple[str, bool]] = []
@@ -340,7 +340,7 @@ def train(sample: list[str], seed: int = 11, epochs: int = 10, rate: float = 0.0
     rng = np.random.default_rng(seed)
     pages = [(b, l) for b in (blocks(p) for p in sample) if b and (l := markup_labels(b))]
     words = sorted({w for b, _ in pages for _, t, _ in b for w in t.split(" ")[:200]})[:20_000] or ["the", "of", "and", "a", "to", "in"]
-    for _ in range(max(300, len(pages))):
+    for _ in range(2 * MAX_PAGES):
         b, l = composed_page(rng, words)
         if b:
             pages.append((b, l))

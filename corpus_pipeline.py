@@ -1,8 +1,57 @@
-"""The corpus pipeline: quality, near duplicates, repeated passages, benchmark leaks, token ids."""
+"""The corpus pipeline: quality, near duplicates, repeated passages, benchmark leaks, token ids.
 
-STAGES: list = []
+Each stage takes (spark, docs, sf_dir) and returns a DataFrame; all but the last keep the columns of ``documents``. A
+stage works on all rows that its predecessor kept. ``run`` writes each stage's result as Parquet to the folder that the
+cluster shares and hands the next stage what it reads back.
+
+No stage is expressible in SQL over the tables (a trained model, 64-bit fingerprints, exact repeats of byte strings and
+a BPE vocabulary), so ORACLE_SQL is None and tests hold every stage and the whole against brute force.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+
+from caseledger.llm.bpe import token_digests
+from caseledger.llm.common import materialize, table
+from caseledger.llm.decontam import decontaminate
+from caseledger.llm.quality import select_quality
+from caseledger.llm.queries import tokenizer_path
+from caseledger.llm.repeats import remove_repeats
+from caseledger.llm.simhash import drop_near_duplicates
+
+
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose probability of grade 1 or more is at least one half."""
+    return select_quality(docs, table(spark, sf_dir, "labels"))
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each component of fingerprints within three bits, over shingles of five words."""
+    return drop_near_duplicates(docs, shingle=5)
+
+
+def repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts without the 400-byte strings that start anywhere else as well."""
+    return remove_repeats(docs)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that contain less than 0.8 of every benchmark item's shingles of five words."""
+    return decontaminate(docs, table(spark, sf_dir, "benchmark"))
+
+
+def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token counts and digests of every kept text."""
+    return token_digests(docs, tokenizer_path())
+
+
+STAGES = [("quality", quality), ("near_duplicates", near_duplicates), ("repeats", repeats), ("decontamination", decontamination), ("tokens", tokens)]
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    raise NotImplementedError("no stage yet")
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    for name, stage in STAGES[:-1]:
+        docs = materialize(stage(spark, docs, sf_dir), f"pipeline-{name}", "snappy")
+    return STAGES[-1][1](spark, docs, sf_dir)
