@@ -27,8 +27,8 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each component of fingerprints within three bits, over shingles of five words."""
-    return drop_near_duplicates(docs, shingle=5)
+    """One document of each component of fingerprints within three bits, the operator's own contract."""
+    return drop_near_duplicates(docs)
 
 
 def repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
