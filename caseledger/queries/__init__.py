@@ -1,4 +1,4 @@
-"""Registries of the engine's own queries."""
+"""The engine's own queries, one module per family of operators, and their DuckDB oracles."""
 
-QUERIES: dict = {}
-ORACLE_SQL: dict = {}
+from caseledger.queries import aggregates, kpi, ledger, ordered, text  # noqa: F401  (they register themselves)
+from caseledger.queries.base import ORACLE_SQL, QUERIES  # noqa: F401
