@@ -19,7 +19,7 @@ def iso_text(c: Column) -> Column:
 
 def to_date(c: Column) -> Column:
     """M/D/Y, else Y-M-D, else null."""
-    return F.coalesce(F.try_to_date(c, F.lit("M/d/yyyy")), F.try_to_date(c, F.lit("yyyy-M-d")))
+    return F.coalesce(F.try_to_date(c, "M/d/yyyy"), F.try_to_date(c, "yyyy-M-d"))
 
 
 def military_time(c: Column) -> Column:
@@ -62,7 +62,7 @@ def shift_iso_dates(text: Column, days: int):
     pieces = F.split(text, r"(?=\d{4}-\d{2}-\d{2})")
 
     def move(s):
-        d = F.try_to_date(F.substring(s, 1, 10), F.lit("yyyy-MM-dd"))
+        d = F.try_to_date(F.substring(s, 1, 10), "yyyy-MM-dd")
         ok = s.rlike(r"^\d{4}-\d{2}-\d{2}") & d.isNotNull()
         return F.when(ok, F.concat(F.date_format(F.date_add(d, days), "yyyy-MM-dd"), F.substr(s, F.lit(11)))).otherwise(s)
 
@@ -71,4 +71,4 @@ def shift_iso_dates(text: Column, days: int):
 
 def iso_dates_in(text: Column) -> Column:
     """All valid ISO dates inside a text, in order."""
-    return F.filter(F.transform(F.regexp_extract_all(text, F.lit(r"(\d{4}-\d{2}-\d{2})"), F.lit(1)), lambda s: F.try_to_date(s, F.lit("yyyy-MM-dd"))), lambda d: d.isNotNull())
+    return F.filter(F.transform(F.regexp_extract_all(text, F.lit(r"(\d{4}-\d{2}-\d{2})"), F.lit(1)), lambda s: F.try_to_date(s, "yyyy-MM-dd")), lambda d: d.isNotNull())

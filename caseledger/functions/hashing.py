@@ -37,8 +37,11 @@ def rate_hit(rate: float, *parts: Column | str, sep: str = "|") -> Column:
 
 def weighted_pick(weights: Mapping[str, int], *parts: Column | str, by_key: bool = False, sep: str = "|") -> Column:
     """A key drawn by weight, walking keys as listed, or sorted with ``by_key``."""
-    items = sorted(weights.items()) if by_key else list(weights.items())
-    roll, upto, out = draw(sum(weights.values()), *parts, sep=sep), 0, None
+    items, total = sorted(weights.items()) if by_key else list(weights.items()), sum(weights.values())
+    roll = draw(total, *parts, sep=sep)
+    if total <= 1024:  # one literal table, so the draw stands in the expression once
+        return F.element_at(F.array(*[F.lit(k) for k, w in items for _ in range(w)]), roll.cast("int") + 1)
+    upto, out = 0, None
     for key, w in items:
         upto += w
         out = F.when(roll < upto, key) if out is None else out.when(roll < upto, key)

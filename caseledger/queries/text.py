@@ -130,22 +130,22 @@ def iso_from_text(spark, t):
     return t("orders").select("o_orderkey", D.iso_text(text).alias("day"), D.iso_text(F.lit("01-FOO-1999")).alias("bad"))
 
 
-@query("SELECT o_orderkey, o_orderdate::DATE AS us, o_orderdate::DATE AS iso FROM orders")
+@query("SELECT o_orderkey, o_orderdate::DATE::VARCHAR AS us, o_orderdate::DATE::VARCHAR AS iso FROM orders")
 def date_forms(spark, t):
     d = F.col("o_orderdate").cast("date")
-    return t("orders").select("o_orderkey", D.to_date(F.date_format(d, "M/d/yyyy")).alias("us"), D.to_date(F.date_format(d, "yyyy-M-d")).alias("iso"))
+    return t("orders").select("o_orderkey", D.to_date(F.date_format(d, "M/d/yyyy")).cast("string").alias("us"), D.to_date(F.date_format(d, "yyyy-M-d")).cast("string").alias("iso"))
 
 
 _CHAIN = (("report", 5, 15), ("approval", 14, 45), ("closeout", 30, 90))
 
 
-@query("SELECT o_orderkey, report, approval, approval + (30 + " + sql_mod("'closeout|' || o_orderkey", 61) + ")::INTEGER AS closeout FROM (SELECT *, report + (14 + " + sql_mod("'approval|' || o_orderkey", 32) + ")::INTEGER AS approval FROM (SELECT o_orderkey, o_orderdate::DATE + (5 + " + sql_mod("'report|' || o_orderkey", 11) + ")::INTEGER AS report FROM orders))")
+@query("SELECT o_orderkey, report::DATE::VARCHAR AS report, approval::DATE::VARCHAR AS approval, (approval + (30 + " + sql_mod("'closeout|' || o_orderkey", 61) + ")::INTEGER)::DATE::VARCHAR AS closeout FROM (SELECT *, report + (14 + " + sql_mod("'approval|' || o_orderkey", 32) + ")::INTEGER AS approval FROM (SELECT o_orderkey, o_orderdate::DATE + (5 + " + sql_mod("'report|' || o_orderkey", 11) + ")::INTEGER AS report FROM orders))")
 def date_chain(spark, t):
     """Each date rests on the one before it, with offsets drawn by hash."""
     d, before = t("orders").select("o_orderkey", F.col("o_orderdate").cast("date").alias("day")), "day"
     for name, low, high in _CHAIN:
         d, before = d.withColumn(name, F.date_add(before, (F.lit(low) + draw(high - low + 1, F.lit(name), F.col("o_orderkey"))).cast("int"))), name
-    return d.drop("day")
+    return d.select("o_orderkey", *[F.col(n).cast("string").alias(n) for n, *_ in _CHAIN])
 
 
 @query("SELECT o_orderkey, CASE WHEN date_diff('day', o_orderdate::DATE, DATE '1998-08-09') > 730 THEN 'Completed' WHEN date_diff('day', o_orderdate::DATE, DATE '1998-08-09') > 183 THEN 'In Progress' ELSE 'Pending' END AS status FROM orders")
@@ -160,10 +160,10 @@ def shift_dates_in_text(spark, t):
     return t("orders").select("o_orderkey", D.shift_iso_dates(text, 45).alias("text"))
 
 
-@query("SELECT o_orderkey, 1::INTEGER AS n, o_orderdate::DATE AS first FROM orders")
+@query("SELECT o_orderkey, 1::INTEGER AS n, o_orderdate::DATE::VARCHAR AS first FROM orders")
 def find_dates_in_text(spark, t):
     found = D.iso_dates_in(F.concat(F.lit("on "), F.date_format("o_orderdate", "yyyy-MM-dd"), F.lit(" not 2001-13-40")))
-    return t("orders").select("o_orderkey", F.size(found).alias("n"), F.element_at(found, 1).alias("first"))
+    return t("orders").select("o_orderkey", F.size(found).alias("n"), F.element_at(found, 1).cast("string").alias("first"))
 
 
 @query()
