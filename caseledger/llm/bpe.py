@@ -19,6 +19,7 @@ import json
 from functools import lru_cache
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
@@ -349,21 +350,16 @@ def encode(docs: DataFrame, path: str, text_col: str = "text", out_col: str = "t
     """docs plus an array column of ids; decode with :func:`decode`."""
 
     @F.pandas_udf("array<int>")
-    def ids(texts):
-        import pandas as pd
-
+    def ids(texts: pd.Series) -> pd.Series:
         bpe, plain = load(path), [t or "" for t in texts.tolist()]
         return pd.Series([x.astype(np.int32) for s, e in _groups(plain) for x in bpe.encode_batch(plain[s:e])])
 
-    ids.__annotations__ = {}
     return docs.withColumn(out_col, ids(F.col(text_col)))
 
 
 def decode(docs: DataFrame, path: str, ids_col: str = "token_ids", out_col: str = "text") -> DataFrame:
     @F.pandas_udf("string")
-    def text(ids):
-        import pandas as pd
-
+    def text(ids: pd.Series) -> pd.Series:
         bpe = load(path)
         return pd.Series([bpe.decode(np.asarray(x if x is not None else [], dtype=np.int64)) for x in ids])
 

@@ -60,3 +60,15 @@ def arrow_rows(batches: Iterator, *names: str) -> Iterator[tuple[list, ...]]:
     """Arrow batches as tuples of Python lists, one list per column."""
     for batch in batches:
         yield tuple(batch.column(batch.schema.get_field_index(n)).to_pylist() for n in names)
+
+
+def fresh(df: DataFrame, *bases: str) -> list[str]:
+    """Names that no column of df has, for helpers beside columns of any name."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for b in bases:
+        while b.lower() in taken:
+            b += "_"
+        taken.add(b.lower())
+        out.append(b)
+    return out

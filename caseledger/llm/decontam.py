@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from caseledger.llm.common import SHINGLE_WORDS, SIMILARITY, norm_words
+from caseledger.llm.common import SHINGLE_WORDS, SIMILARITY, fresh, norm_words
 
 #: 16 bytes each: at most some 10 MB in a broadcast hash table.
 BROADCAST_ROWS = 300_000
@@ -95,5 +95,6 @@ def contained_items(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", t
 
 def decontaminate(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", **kw) -> DataFrame:
     """docs without the rows whose text contains an item; all columns stay as they are."""
-    found = contained_items(docs.select(id_col, text_col), items, id_col, text_col, **kw).select(F.col(id_col).alias("_id"), F.col("text_hash").alias("_th")).distinct()
-    return docs.join(found, F.col(id_col).eqNullSafe(F.col("_id")) & (F.xxhash64(F.col(text_col)) == F.col("_th")), "left_anti")
+    ident, digest = fresh(docs, "_id", "_th")
+    found = contained_items(docs.select(id_col, text_col), items, id_col, text_col, **kw).select(F.col(id_col).alias(ident), F.col("text_hash").alias(digest)).distinct()
+    return docs.join(found, F.col(id_col).eqNullSafe(F.col(ident)) & (F.xxhash64(F.col(text_col)) == F.col(digest)), "left_anti")

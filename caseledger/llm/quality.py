@@ -9,8 +9,8 @@ Fitting takes at most ``max_rows`` labelled rows (a documented bound), by hash a
 crc32 mod 5 holds out are not learnt from. Everything else covers all rows.
 
 Defined results: null, empty and wordless texts have no features but the constant of emptiness and are graded by the
-thresholds alone with the lowest expected grade; with fewer than two grades known every row gets that grade (or null
-grade and probability 1 without labels); repeated labels count once with the highest grade; extra columns are kept by
+thresholds alone with the lowest expected grade; with fewer than two grades known every row gets that grade (or no
+number and probability 1 without labels); repeated labels count once with the highest grade; extra columns are kept by
 ``select_quality`` and ignored by ``quality_scores``.
 """
 
@@ -97,6 +97,8 @@ class Scorer:
 
     def rows(self, texts: Iterable[str], keep: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         s = np.array([self.score(t) for t in texts], dtype=np.float64)
+        if not self.model.grades:
+            return s, np.full(len(s), np.nan), np.ones(len(s))
         p = self.model.probabilities(s)
         grades = np.array(self.model.grades)
         return s, p @ grades, p[:, grades >= keep].sum(axis=1)
@@ -106,7 +108,7 @@ def fit(texts: list[str], grades: list[int], steps: int = 300, rate: float = 0.1
     """Adam on the negative log likelihood over mean token features; thresholds stay ordered by exponential gaps."""
     levels = sorted(set(grades))
     if len(levels) < 2:
-        return Ordinal(levels or [0], np.zeros(BUCKETS), np.zeros(STATS), np.zeros(0))
+        return Ordinal(levels, np.zeros(BUCKETS), np.zeros(STATS), np.zeros(0))
     known: dict[str, tuple[int, ...]] = {}
     rows, cols, vals, stats, y = [], [], [], [], []
     for text, grade in zip(texts, grades, strict=True):
@@ -124,6 +126,8 @@ def fit(texts: list[str], grades: list[int], steps: int = 300, rate: float = 0.1
         vals.append(c / len(tokens))
         stats.append(statistics(text, len(tokens), len(set(tokens))))
         y.append(levels.index(grade))
+    if not rows:
+        return Ordinal(levels[:1], np.zeros(BUCKETS), np.zeros(STATS), np.zeros(0))
     r, c, v = np.concatenate(rows), np.concatenate(cols), np.concatenate(vals)
     x, y_ = np.array(stats), np.array(y)
     k = len(levels)

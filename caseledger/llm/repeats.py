@@ -36,6 +36,8 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from caseledger.llm.common import fresh
+
 LENGTH, WINDOW, GRAM = 400, 160, 16
 CORE = LENGTH - WINDOW + 1
 SIDE = WINDOW - 1
@@ -401,15 +403,15 @@ def removed_texts(texts: DataFrame, hot: int = HOT, with_text: bool = False) ->
     return placed.mapInArrow(cut, "tid binary, n_removed long, n_spans long, kept_sha256 string" + (", kept string" if with_text else ""))
 
 
-def _with_tid(docs: DataFrame, text_col: str) -> DataFrame:
-    return docs.withColumn("_text", F.coalesce(F.col(text_col), F.lit(""))).withColumn("_tid", F.unhex(F.md5(F.col("_text").cast("binary"))))
+def _with_tid(docs: DataFrame, text_col: str, text: str, tid: str) -> DataFrame:
+    return docs.withColumn(text, F.coalesce(F.col(text_col), F.lit(""))).withColumn(tid, F.unhex(F.md5(F.col(text).cast("binary"))))
 
 
 def repeat_digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", hot: int = HOT) -> DataFrame:
     """(doc_id, n_bytes, n_removed, n_spans, kept_sha256) of every row."""
-    keyed = _with_tid(docs.select(id_col, text_col), text_col)
+    keyed = _with_tid(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")), "text", "_text", "_tid")
     removed = removed_texts(keyed.select(F.col("_tid").alias("tid"), F.col("_text").alias("text")), hot)
-    rows = keyed.select(F.col(id_col).cast("long").alias("doc_id"), F.col("_tid").alias("tid"), F.octet_length("_text").cast("long").alias("n_bytes"), F.sha2(F.col("_text").cast("binary"), 256).alias("sha"))
+    rows = keyed.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("_tid").alias("tid"), F.octet_length("_text").cast("long").alias("n_bytes"), F.sha2(F.col("_text").cast("binary"), 256).alias("sha"))
     zero = F.lit(0).cast("long")
     return rows.join(removed, "tid", "left").select("doc_id", "n_bytes", F.coalesce("n_removed", zero).alias("n_removed"), F.coalesce("n_spans", zero).alias("n_spans"), F.coalesce("kept_sha256", "sha").alias("kept_sha256"))
 
@@ -419,9 +421,10 @@ def remove_repeats(docs: DataFrame, text_col: str = "text", size_col: str | None
 
     Other columns stay; ``size_col``, if there, follows the new text. Rows without repeats are untouched.
     """
-    keyed = _with_tid(docs, text_col)
-    removed = removed_texts(keyed.select(F.col("_tid").alias("tid"), F.col("_text").alias("text")), hot, with_text=True).select(F.col("tid").alias("_tid"), F.col("kept").alias("_kept"))
-    out = keyed.join(removed, "_tid", "left").withColumn(text_col, F.coalesce("_kept", F.col(text_col)))
+    text, tid, kept = fresh(docs, "_text", "_tid", "_kept")
+    keyed = _with_tid(docs, text_col, text, tid)
+    removed = removed_texts(keyed.select(F.col(tid).alias("tid"), F.col(text).alias("text")), hot, with_text=True).select(F.col("tid").alias(tid), F.col("kept").alias(kept))
+    out = keyed.join(removed, tid, "left").withColumn(text_col, F.coalesce(kept, F.col(text_col)))
     if size_col and size_col in docs.columns:
-        out = out.withColumn(size_col, F.when(F.col("_kept").isNull(), F.col(size_col)).otherwise(F.length(text_col)).cast(docs.schema[size_col].dataType))
+        out = out.withColumn(size_col, F.when(F.col(kept).isNull(), F.col(size_col)).otherwise(F.length(text_col)).cast(docs.schema[size_col].dataType))
     return out.select(*docs.columns)

@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from caseledger.llm.common import materialize
+from caseledger.llm.common import fresh, materialize
 from caseledger.llm.graph import connected_components
 
 BITS, RADIUS, BANDS, SEED = 64, 3, 4, 42
@@ -167,7 +167,8 @@ def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
     order = F.struct(F.col("doc_id").isNull().alias("x"), "doc_id", "text_hash")
     # A component without any identifier is told apart by its fingerprint.
     key = [F.coalesce(F.col("component_id"), F.col("fp")).alias("c"), F.col("component_id").isNull().alias("u")]
-    kept = classes.groupBy(*key).agg(F.min(order).alias("k")).select(F.col("k.doc_id").alias("_id"), F.col("k.text_hash").alias("_th"))
-    match = F.col(id_col).cast("long").eqNullSafe(F.col("_id")) & (F.xxhash64(F.col(text_col)) == F.col("_th"))
+    ident, digest = fresh(docs, "_id", "_th")
+    kept = classes.groupBy(*key).agg(F.min(order).alias("k")).select(F.col("k.doc_id").alias(ident), F.col("k.text_hash").alias(digest))
+    match = F.col(id_col).cast("long").eqNullSafe(F.col(ident)) & (F.xxhash64(F.col(text_col)) == F.col(digest))
     # Rows equal in identifier and text are one document.
     return docs.join(kept, match, "left_semi").dropDuplicates([id_col, text_col])
