@@ -8,6 +8,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
+import numpy as np
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -40,7 +41,8 @@ def weighted_pick(weights: Mapping[str, int], *parts: Column | str, by_key: bool
     items, total = sorted(weights.items()) if by_key else list(weights.items()), sum(weights.values())
     roll = draw(total, *parts, sep=sep)
     if total <= 1024:  # one literal table, so the draw stands in the expression once
-        return F.element_at(F.array(*[F.lit(k) for k, w in items for _ in range(w)]), roll.cast("int") + 1)
+        place = F.lit(np.array([i for i, (_, w) in enumerate(items, 1) for _ in range(w)], dtype=np.int32))
+        return F.element_at(F.array(*[F.lit(k) for k, _ in items]), F.element_at(place, roll.cast("int") + 1))
     upto, out = 0, None
     for key, w in items:
         upto += w
@@ -50,7 +52,7 @@ def weighted_pick(weights: Mapping[str, int], *parts: Column | str, by_key: bool
 
 def table_draw(values: Sequence[int], *parts: Column | str, sep: str = "|") -> Column:
     """An entry of a fixed table, by digest modulo its length."""
-    return F.element_at(F.array(*[F.lit(int(v)) for v in values]), draw(len(values), *parts, sep=sep).cast("int") + 1)
+    return F.element_at(F.lit(np.array(values, dtype=np.int32)), draw(len(values), *parts, sep=sep).cast("int") + 1)
 
 
 def quantile_table(median: float, sigma: float, buckets: int = 1024) -> list[int]:
