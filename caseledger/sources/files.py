@@ -45,7 +45,7 @@ def read_csv(spark: SparkSession, path: str, columns: Sequence[str], encoding: s
     With ``missing_ok`` an absent path is an empty table of the same schema."""
     if missing_ok and not exists(spark, path):
         return spark.createDataFrame([], strings(columns))
-    raw = spark.read.schema(strings(columns)).csv(path, header=True, multiLine=True, quote='"', escape='"', encoding=encoding, enforceSchema=False)
+    raw = spark.read.schema(strings(columns)).csv(path, header=True, multiLine=True, quote='"', escape='"', encoding=encoding, enforceSchema=False, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
     return raw.fillna("")
 
 
@@ -57,7 +57,7 @@ def first_existing(spark: SparkSession, paths: Sequence[str]) -> str | None:
 def write_csv(df: DataFrame, path: str, columns: Sequence[str]) -> None:
     """Fixed column order; absent columns are blank, extra ones left out; LF line ends."""
     cols = [F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("")).alias(c) if c in df.columns else F.lit("").alias(c) for c in columns]
-    df.select(*cols).write.mode("overwrite").csv(path, header=True, quote='"', escape='"', quoteAll=True, lineSep="\n")
+    df.select(*cols).write.mode("overwrite").csv(path, header=True, quote='"', escape='"', quoteAll=True, lineSep="\n", ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
 
 
 def read_json(spark: SparkSession, path: str, schema: str, multi_line: bool = False) -> DataFrame:
