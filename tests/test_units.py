@@ -11,7 +11,8 @@ from caseledger.functions import dates as D
 from caseledger.functions import hashing as H
 from caseledger.functions import prose as P
 from caseledger.functions import text as X
-from caseledger.operators import joins, ordered, provenance, scenario
+from caseledger.functions import forms as R
+from caseledger.operators import joins, layout, ordered, provenance, scenario
 from caseledger.plans.projection import compile_projection
 from caseledger.sources import files
 
@@ -221,3 +222,31 @@ def test_register_lateness_follows_its_expectation(spark):
     p = scenario.plan(spark.range(2000).select(F.col("id").cast("string").alias("id")), "id", "littoral", k)
     m = scenario.manifest(p, scenario.closeout(p), k)
     assert m["incidents"] == 2000 and abs(m["overdue_rate"] - m["expected_overdue_rate"]) < 0.04
+
+
+def test_forms(spark):
+    assert one(spark, R.section(F.col("t"), "LIST:", ["NOTE", "END"]), t="x LIST: a b END c NOTE d") == "a b"
+    assert one(spark, R.section(F.col("t"), "LIST:", ["NOTE"]), t="nothing here") == "nothing here"
+    assert one(spark, R.tail_from(F.col("t"), "SEQUENCE"), t="a SEQUENCE b") == "SEQUENCE b"
+    assert one(spark, R.field_class(F.lit(None).cast("string"), ["n/a"])) == "parse_failed"
+    for raw, want in (('{"category": "a", "element": 3}', ("a", 3)), ('{"category": "a", "element": 0}', None), ('{"category": "z", "element": 3}', None), ('x {"category": "none"} y', ("none", None)), ("", None)):
+        got = one(spark, R.response(F.col("t"), ["a"], "none"), t=raw)
+        assert (got and tuple(got)) == want
+
+
+def test_nearest_labels(spark):
+    words = spark.createDataFrame([(1, "Yes", 15.0, 25.0, 100.0), (1, "sir", 30.0, 40.0, 101.0), (1, "far", 60.0, 70.0, 100.0), (1, "other", 15.0, 25.0, 120.0)], "page int, text string, x0 double, x1 double, y double")
+    marks = spark.createDataFrame([(1, 1, 5.0, 99.0), (1, 2, 5.0, 121.0)], "page int, mark int, x double, y double")
+    assert {r.mark: r.label for r in layout.labels_of_marks(marks, words, "page").collect()} == {1: "Yes sir", 2: "other"}
+
+
+def test_disjoint_matches(spark):
+    d = spark.createDataFrame([(1, 0, 0, 5, "a"), (1, 1, 3, 8, "b"), (1, 2, 5, 9, "c"), (1, 3, 8, 10, "d")], "g int, priority int, start int, end int, what string")
+    assert {r.what for r in layout.disjoint_matches(d, "g").collect()} == {"a", "c"}
+
+
+def test_covering_bands(spark):
+    rows = [(1, k, [(0.0, 290.0), (310.0, 600.0)] if k >= 4 else [(0.0, 600.0)]) for k in range(12)]
+    d = spark.createDataFrame(rows, "page int, row long, spans array<struct<x0:double,x1:double>>")
+    got = layout.covering_bands(d, "page").collect()
+    assert got and all(290 <= r.gutter <= 310 and r.last == 11 for r in got)
