@@ -4,10 +4,10 @@ A text's words are its lower-cased runs of letters and digits; its shingles are
 words if there are fewer. An item of n distinct shingles is contained if a document has at least ceil(0.8 n) of them.
 
 Items are partitioned by n. A partition's sketch keeps the first n - ceil(0.8 n) + 1 shingles of an item by (number of
-items that share it, hash): a document that misses all of these has too few left, so the search can lose no match. The
-documents stream past the sketches once; what survives is counted by hash against the item's whole shingle set and then
-verified by exact comparison of shingle strings. All items' shingle hashes are broadcast only after a count has shown
-them to be under ``BROADCAST_ROWS``; a larger benchmark takes a shuffled join.
+items that share it, hash): a document that misses all of these has too few left, so the search can lose no match. All
+documents' shingle hashes stream past the sketches once, which leaves candidate pairs; a second pass over the candidates'
+documents alone counts exact shingle strings. Sketches and candidates are broadcast only after a count has shown them to
+be under ``BROADCAST_ROWS``; beyond it, the same joins shuffle.
 
 Defined results: null and empty texts, and texts without a letter or digit, hold and match nothing; an item shorter than
 five words is searched with shingles of its own length; a pair is reported once however often rows repeat; empty tables
@@ -20,9 +20,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from caseledger.llm.common import SHINGLE_WORDS, SIMILARITY, fresh, norm_words
+from caseledger.llm.common import SHINGLE_WORDS, SIMILARITY, fresh, materialize, norm_words
 
-#: 16 bytes each: at most some 10 MB in a broadcast hash table.
+#: Of some 16 to 100 bytes each: at most some 30 MB in a broadcast hash table.
 BROADCAST_ROWS = 300_000
 
 
@@ -61,35 +61,29 @@ def contained_items(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", t
     sketch = shingles.join(sizes, "item").join(shared, ["k", "shingle"]).withColumn("need", F.ceil(F.col("n") * F.lit(least) - 1e-9).cast("long")).withColumn("rank", F.row_number().over(order))
     # The size partition, n, decides how long the sketch is.
     sketch = sketch.withColumn("probe", F.col("rank") <= F.col("n") - F.col("need") + 1).select("item", "k", "shingle", "h", "n", "need", "probe").cache()
-    n_hashes = sketch.select("k", "h").distinct().count()
     lengths = sorted(r["k"] for r in sketch.select("k").distinct().collect())  # at most `words` values
-    small = n_hashes <= BROADCAST_ROWS
-    hint = (lambda d: F.broadcast(d)) if small else (lambda d: d)
 
-    text_hash = F.xxhash64(F.col(text_col)).alias("text_hash")
-    worded = docs.select(F.col(id_col), text_hash, norm_words(F.col(text_col)).alias("w"))
+    def small(df: DataFrame) -> DataFrame:
+        return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
+
+    base = docs.select(F.col(id_col).alias("_id"), F.xxhash64(F.col(text_col)).alias("_th"), F.col(text_col).alias("_text"))
     out = None
     for k in lengths or [words]:
         own = sketch.filter(F.col("k") == k)
-        probes = own.select("h").distinct()
-        seen = worded.filter(F.size("w") >= k).select(id_col, "text_hash", F.explode(_hashes("w", k)).alias("h"))
-        hits = seen.join(hint(probes), "h").distinct()
-        counted = hits.join(hint(own.select("h", "item", "n", "need", "probe")), "h").groupBy(id_col, "text_hash", "item", "n", "need").agg(F.count("*").alias("found"), F.max("probe").alias("probed"))
-        cand = counted.filter(F.col("probed") & (F.col("found") >= F.col("need"))).select(F.col(id_col).alias("_id"), F.col("text_hash").alias("_th"), "item", "n", "need")
-        # Exact: shingle strings of the candidates' documents against those of the candidate items.
-        again = cand.select("_id", "_th").distinct()
-        full = worded.filter(F.size("w") >= k).join(again, F.col(id_col).eqNullSafe(F.col("_id")) & (F.col("text_hash") == F.col("_th")), "left_semi").dropDuplicates([id_col, "text_hash"])
-        strings = full.select(F.col(id_col).alias("_id2"), F.col("text_hash").alias("_th2"), F.explode(F.array_distinct(_strings("w", k))).alias("shingle"))
-        exact = (
-            strings.join(hint(own.select("shingle", "item", "n", "need")), "shingle")
-            .groupBy("_id2", "_th2", "item", "n", "need")
-            .agg(F.count("*").alias("n_found"))
-            .filter(F.col("n_found") >= F.col("need"))
-        )
+        worded = base.select("_id", "_th", norm_words(F.col("_text")).alias("w")).filter(F.size("w") >= k)
+        seen = worded.select("_id", "_th", F.explode(_hashes("w", k)).alias("h"))
+        hit = seen.join(small(own.filter("probe").select("h", "item")), "h").select("_id", "_th", "item").distinct()
+        cand = materialize(hit, "candidates")
+        # Exact: shingle strings of the candidates' documents against those of the items.
+        again = cand.select(F.col("_id").alias("_ci"), F.col("_th").alias("_ct")).distinct()
+        full = base.join(small(again), F.col("_id").eqNullSafe(F.col("_ci")) & (F.col("_th") == F.col("_ct")), "left_semi").dropDuplicates(["_id", "_th"])
+        strings = full.select("_id", "_th", norm_words(F.col("_text")).alias("w")).filter(F.size("w") >= k)
+        strings = strings.select("_id", "_th", F.explode(F.array_distinct(_strings("w", k))).alias("shingle"))
+        exact = strings.join(small(own.select("shingle", "item", "n", "need")), "shingle").groupBy("_id", "_th", "item", "n", "need").agg(F.count("*").alias("n_found")).filter(F.col("n_found") >= F.col("need"))
         out = exact if out is None else out.unionByName(exact)
     ids = items.select(F.col(item_col), F.md5(F.col(item_text).cast("binary")).alias("item")).distinct()
     return out.join(ids, "item").select(
-        F.col("_id2").alias(id_col), F.col("_th2").alias("text_hash"), F.col(item_col), F.col("n").alias("n_shingles"), "n_found", (F.col("n_found") / F.col("n")).alias("containment")
+        F.col("_id").alias(id_col), F.col("_th").alias("text_hash"), F.col(item_col), F.col("n").alias("n_shingles"), "n_found", (F.col("n_found") / F.col("n")).alias("containment")
     )
 
 
