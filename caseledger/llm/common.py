@@ -8,8 +8,6 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Iterator
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -47,21 +45,11 @@ def materialize(df: DataFrame, label: str, compression: str = "zstd") -> DataFra
     return df.sparkSession.read.schema(schema).parquet(path)
 
 
-def text_or_empty(column: str = "text") -> Column:
-    return F.coalesce(F.col(column), F.lit(""))
-
-
 def norm_words(column: Column) -> Column:
     """Lower-cased runs of letters and digits; an empty array where there are none."""
     return F.filter(F.split(F.lower(column), r"[^\p{L}\p{N}]+"), lambda w: w != "")
 
 
-def arrow_rows(batches: Iterator, *names: str) -> Iterator[tuple[list, ...]]:
-    """Arrow batches as tuples of Python lists, one list per column."""
-    for batch in batches:
-        yield tuple(batch.column(batch.schema.get_field_index(n)).to_pylist() for n in names)
-
-
 def fresh(df: DataFrame, *bases: str) -> list[str]:
     """Names that no column of df has, for helpers beside columns of any name."""
     taken = {c.lower() for c in df.columns}
