@@ -32,11 +32,10 @@ PATH_BUCKETS, WORD_BUCKETS, PATH_DIM, WORD_DIM, COUNTS, HIDDEN = 1 << 11, 1 << 1
 MAX_PAGES = 400
 MAX_TRAIN_BLOCKS = 80
 CACHE = 200_000
-#: Elements whose text is never shown.
-SILENT = "script style noscript template svg math iframe object canvas audio video head select datalist"
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd label mark q s samp small span strike strong sub sup time tt u var wbr".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 CLOSES_P = frozenset("address article aside blockquote details div dl fieldset figure footer form h1 h2 h3 h4 h5 h6 header hr main nav ol p pre section table ul".split())
+HEADINGS = frozenset(("h1", "h2", "h3", "h4", "h5", "h6"))
 CLOSED_BY_SAME = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table"}, "td": {"tr", "table"}, "th": {"tr", "table"}, "option": {"select"}}
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(script|style|noscript|template|svg|math|iframe|object|canvas|audio|video|select|datalist)\b[^>]*>.*?(?:</\1\s*>|\Z)|<!?[/?]?[a-zA-Z][^<>]*(?:>|\Z)|[^<]+|<", re.S | re.I)
 _TAG = re.compile(r"<(/?)([a-zA-Z][a-zA-Z0-9:-]*)", re.S)
@@ -83,7 +82,7 @@ def blocks(page: str | None) -> list[tuple[tuple[str, ...], str, int]]:
             close()
         if t[1]:
             for at in range(len(stack) - 1, -1, -1):
-                if stack[at][0] == tag:
+                if stack[at][0] == tag or tag in HEADINGS and stack[at][0] in HEADINGS:
                     pop_to(at)
                     break
                 if tag in INLINE and stack[at][0] not in INLINE:
@@ -285,7 +284,8 @@ def composed_page(rng: np.random.Generator, words: list[str]) -> tuple[list, lis
         if kind == 1:
             return f'<div class="{one("menu", "navbar", "main-menu", "site-nav", "breadcrumbs", "toolbar")}">{one("<ul>" + links(4) + "</ul>", say(2, 6), "<a href=/>" + say(1, 3) + "</a>")}</div>'
         if kind == 2:
-            return f"<header><{one('h1', 'h2', 'div', 'p')}>{say(1, 6)}</{one('h1', 'div')}></header>"
+            kind = one("h1", "h2", "div", "p")
+            return f"<header><{kind}>{say(1, 6)}</{kind}></header>"
         if kind == 3:
             return f"<footer>{one('', '<p>')}&copy; {say(1, 14)}{end()}</footer>"
         if kind == 4:
@@ -299,8 +299,9 @@ def composed_page(rng: np.random.Generator, words: list[str]) -> tuple[list, lis
         if kind == 8:
             return f'<form action="/s"><label>{say(1, 4)}</label><input name="q"><p>{say(1, 12)}</p><button>{say(1, 2)}</button></form>'
         if kind in (9, 10):
-            item = lambda: f'<{one("div", "li", "article")} class="{one("comment", "comment-body", "reply", "comment")}">{one("", "<b>" + say(1, 2) + "</b>")}<p>{say(3, 90)}{end()}</p>'
-            return f'<{one("section", "div", "ol")} {one("class", "id")}="{one("comments", "comment-list", "comments-area", "discussion", "responses")}">{one("", "<h3>" + say(1, 3) + "</h3>")}{"".join(item() for _ in range(int(rng.integers(1, 6))))}</div></section>'
+            each, whole = one("div", "li", "article"), one("section", "div", "ol")
+            item = lambda: f'<{each} class="{one("comment", "comment-body", "reply", "comment")}">{one("", "<b>" + say(1, 2) + "</b>")}<p>{say(3, 90)}{end()}{one("</p>", "")}</{each}>'
+            return f'<{whole} {one("class", "id")}="{one("comments", "comment-list", "comments-area", "discussion", "responses")}">{one("", "<h3>" + say(1, 3) + "</h3>")}{"".join(item() for _ in range(int(rng.integers(1, 6))))}</{whole}>'
         return f'<div {one("class", "id")}="{one("newsletter", "subscribe", "site-header", "site-footer", "page-footer", "copyright", "pagination", "search", "login")}">{say(2, 24)}{end()}</div>'
 
     def body() -> str:
@@ -308,7 +309,7 @@ def composed_page(rng: np.random.Generator, words: list[str]) -> tuple[list, lis
         if kind < 9:
             return f"<p>{one('', '', '<b>', '<a href=/y>' + say(1, 3) + '</a> ')}{say(1, 120)}{end()}{one('</p>', '')}"
         if kind == 9:
-            return f"<h{int(rng.integers(2, 4))}>{say(1, 8)}</h2>"
+            return "<h{0}>{1}</h{0}>".format(int(rng.integers(2, 4)), say(1, 8))
         if kind == 10:
             return f"<ul>{''.join(f'<li>{say(1, 20)}{end()}</li>' for _ in range(int(rng.integers(1, 5))))}</ul>"
         if kind == 11:
@@ -396,7 +397,10 @@ def main_text(page: list[tuple[tuple[str, ...], str, int]], label: np.ndarray) -
 
 def extract_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", max_pages: int = MAX_PAGES) -> DataFrame:
     """(page_id, url, text, n_chars, n_blocks) of every row, from its whole html."""
-    sample = pages.select(F.col(html_col).alias("h")).filter("h is not null").orderBy(F.xxhash64("h"), "h").limit(max_pages).collect()
+    hashed = pages.select(F.col(html_col).alias("h"), F.xxhash64(F.col(html_col)).alias("k")).filter("h is not null")
+    # Hashes choose the pages, so tasks send the driver numbers first and then no page that is not trained on.
+    chosen = [r["k"] for r in hashed.select("k").distinct().orderBy("k").limit(max_pages).collect()]
+    sample = hashed.filter(F.col("k") <= max(chosen)).groupBy("k").agg(F.min("h").alias("h")).orderBy("k").collect() if chosen else []
     shared = pages.sparkSession.sparkContext.broadcast(train([r["h"] for r in sample]))  # under 1 MB whatever the table
 
     def run(batches):
