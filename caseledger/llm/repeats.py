@@ -36,7 +36,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from caseledger.llm.common import fresh
+from caseledger.llm.common import fresh, materialize
 
 LENGTH, WINDOW, GRAM = 400, 160, 16
 CORE = LENGTH - WINDOW + 1
@@ -277,7 +277,8 @@ def repeated_spans(texts: DataFrame, hot: int = HOT) -> tuple[DataFrame, DataFra
     once = texts.mapInArrow(unique, texts.schema)
     found = once.mapInArrow(joined, "h long, tid binary, pos int")
     # A core that only recurs as a copy of its own text costs a look, not a wrong answer.
-    counts = found.groupBy("h").agg(F.count("*").alias("n")).filter("n > 1")
+    # Written, so that the join deals both sides anew and a core that a third of the texts share can be split.
+    counts = materialize(found.groupBy("h").agg(F.count("*").alias("n")).filter("n > 1"), "cores")
     cand = found.join(counts, "h").groupBy("tid").agg(F.collect_set(F.when(F.col("n") <= hot, F.col("pos"))).alias("at"), F.collect_set(F.when(F.col("n") > hot, F.col("pos"))).alias("hot_at"))
     placed = once.join(cand.hint("shuffle_hash"), "tid")
 
