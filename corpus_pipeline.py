@@ -15,10 +15,10 @@ from pyspark.sql import DataFrame, SparkSession
 from caseledger.llm.bpe import token_digests
 from caseledger.llm.common import materialize, table
 from caseledger.llm.decontam import decontaminate
+from caseledger.llm.near import drop_similar
 from caseledger.llm.quality import select_quality
 from caseledger.llm.queries import tokenizer_path
 from caseledger.llm.repeats import remove_repeats
-from caseledger.llm.simhash import drop_near_duplicates
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -27,8 +27,8 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each component of fingerprints within three bits, the operator's own contract."""
-    return drop_near_duplicates(docs)
+    """One document of each component of texts whose five-word shingles have a Jaccard similarity of 0.8 or more."""
+    return drop_similar(docs)
 
 
 def repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
