@@ -41,6 +41,8 @@ from caseledger.llm.common import fresh, materialize
 LENGTH, WINDOW, GRAM = 400, 160, 16
 CORE = LENGTH - WINDOW + 1
 SIDE = WINDOW - 1
+#: Bytes of a word's code where passages are matched by words.
+CODE = 6
 DIGEST = 16
 #: A class of equal cores with more members than this is counted by hashes of strings.
 HOT = 20_000
@@ -60,9 +62,15 @@ def _slide(a: np.ndarray, width: int, best) -> np.ndarray:
     return best(a[: len(a) - (width - done)], a[width - done :]) if done < width else a
 
 
-def anchors(b: np.ndarray) -> np.ndarray:
+def window_of(length: int) -> int:
+    """WINDOW in proportion to the length."""
+    return length * WINDOW // LENGTH
+
+
+def anchors(b: np.ndarray, length: int = LENGTH) -> np.ndarray:
     """Anchor positions of a text's bytes that a whole core follows."""
-    if len(b) < LENGTH:
+    window = window_of(length)
+    if len(b) < length:
         return np.zeros(0, dtype=np.int64)
     h, k, mult = _MIX[b], 1, 0x01000193
     while k < GRAM:
@@ -71,10 +79,10 @@ def anchors(b: np.ndarray) -> np.ndarray:
     h ^= h >> np.uint32(16)
     h *= np.uint32(0xC2B2AE35)
     h ^= h >> np.uint32(13)
-    low = _slide(h, WINDOW, np.minimum)
-    pad = np.zeros(WINDOW - 1, dtype=np.uint32)
-    at = np.flatnonzero(h == _slide(np.concatenate([pad, low, pad]), WINDOW, np.maximum))
-    return at[at + CORE <= len(b)]
+    low = _slide(h, window, np.minimum)
+    pad = np.zeros(window - 1, dtype=np.uint32)
+    at = np.flatnonzero(h == _slide(np.concatenate([pad, low, pad]), window, np.maximum))
+    return at[at + length - window + 1 <= len(b)]
 
 
 def shared(a: bytes, b: bytes) -> int:
@@ -178,7 +186,7 @@ def merge_runs(runs: list[Run]) -> Iterator[tuple[int, bytes, tuple[bytes, int]]
             node >>= 1
 
 
-def class_strings(right: list[int], lefts: list[bytes]) -> list[tuple[int, int, int]]:
+def class_strings(right: list[int], lefts: list[bytes], side: int = SIDE) -> list[tuple[int, int, int]]:
     """(member, least o, greatest o) of the repeated strings of a class of equal cores.
 
     right[i]: bytes after the core that member i shares with member i - 1, members in order of those bytes; lefts: the
@@ -188,10 +196,10 @@ def class_strings(right: list[int], lefts: list[bytes]) -> list[tuple[int, int,
     if m <= 8:
         out = []
         for i in range(m):
-            r = SIDE
+            r = side
             for j in range(i + 1, m):
                 r = min(r, right[j])
-                low, high = SIDE - r, shared(lefts[i], lefts[j])
+                low, high = side - r, shared(lefts[i], lefts[j])
                 if high >= low:
                     out += [(i, low, high), (j, low, high)]
         return out
@@ -199,9 +207,9 @@ def class_strings(right: list[int], lefts: list[bytes]) -> list[tuple[int, int,
     ll = np.array([0] + [shared(lefts[order[i - 1]], lefts[order[i]]) for i in range(1, m)])
     rr, place = np.array(right), np.empty(m, dtype=np.int64)
     place[order] = np.arange(m)
-    valid = np.zeros((SIDE + 2, m), dtype=bool)
-    for o in range(SIDE + 1):
-        new_r, new_l = rr < SIDE - o, ll < o
+    valid = np.zeros((side + 2, m), dtype=bool)
+    for o in range(side + 1):
+        new_r, new_l = rr < side - o, ll < o
         new_r[0] = new_l[0] = True
         both = np.cumsum(new_r) * (m + 1) + np.cumsum(new_l)[place]
         _, inverse, counts = np.unique(both, return_inverse=True, return_counts=True)
@@ -238,9 +246,11 @@ RUN_DDL = "bucket int, lcp binary, rest_len binary, rest binary, left_len binary
 SPAN_SCHEMA = pa.schema([("tid", pa.binary()), ("start", pa.int64()), ("end", pa.int64())])
 
 
-def repeated_spans(texts: DataFrame, hot: int = HOT) -> tuple[DataFrame, DataFrame]:
+def repeated_spans(texts: DataFrame, hot: int = HOT, length: int = LENGTH) -> tuple[DataFrame, DataFrame]:
     """(tid, start, end) of repeated strings, and the texts dealt by tid. texts: tid, text; copies may repeat."""
     spark = texts.sparkSession
+    side = window_of(length) - 1
+    core = length - side
     buckets = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
 
     def unique(batches):
@@ -254,8 +264,8 @@ def repeated_spans(texts: DataFrame, hot: int = HOT) -> tuple[DataFrame, DataFra
         def rows():
             for tid, raw, *_ in _unique_rows(batches, 0, 1):
                 b = np.frombuffer(raw, np.uint8)
-                at = anchors(b)
-                h = np.array([xxhash.xxh64_intdigest(raw[p : p + CORE]) for p in at.tolist()], dtype=np.uint64).view(np.int64)
+                at = anchors(b, length)
+                h = np.array([xxhash.xxh64_intdigest(raw[p : p + core]) for p in at.tolist()], dtype=np.uint64).view(np.int64)
                 yield tid, at, h
 
         for tid, at, h in rows():
@@ -296,8 +306,8 @@ def repeated_spans(texts: DataFrame, hot: int = HOT) -> tuple[DataFrame, DataFra
             nonlocal held, n
             for tid, raw, i, b in _unique_rows(batches, b_tid, b_text):
                 for p in b.column(b_at)[i].as_py():
-                    digest = xxhash.xxh3_128_digest(raw[p : p + CORE])
-                    held[int.from_bytes(digest[:4], "big") * buckets >> 32].append((digest + raw[p + CORE : p + LENGTH], raw[max(0, p - SIDE) : p][::-1], tid, p))
+                    digest = xxhash.xxh3_128_digest(raw[p : p + core])
+                    held[int.from_bytes(digest[:4], "big") * buckets >> 32].append((digest + raw[p + core : p + length], raw[max(0, p - side) : p][::-1], tid, p))
                     n += 1
                 if n >= RUN_ITEMS:
                     yield from flush()
@@ -331,9 +341,9 @@ def repeated_spans(texts: DataFrame, hot: int = HOT) -> tuple[DataFrame, DataFra
 
             def close():
                 if len(places) > 1:
-                    for i, low, high in class_strings(right, lefts):
+                    for i, low, high in class_strings(right, lefts, side):
                         tid, p = places[i]
-                        yield tid, p - high, p - low + LENGTH
+                        yield tid, p - high, p - low + length
 
             for n, before, where in merge_runs(held):
                 if n < DIGEST:
@@ -351,16 +361,16 @@ def repeated_spans(texts: DataFrame, hot: int = HOT) -> tuple[DataFrame, DataFra
     def hot_strings(batches):
         def rows():
             for tid, raw, i, b in _unique_rows(batches, b_tid, b_text):
-                at = sorted({p - o for p in b.column(b_hot)[i].as_py() for o in range(min(p, SIDE) + 1) if p - o + LENGTH <= len(raw)})
+                at = sorted({p - o for p in b.column(b_hot)[i].as_py() for o in range(min(p, side) + 1) if p - o + length <= len(raw)})
                 for s in at:
-                    d = xxhash.xxh3_128_intdigest(raw[s : s + LENGTH])
+                    d = xxhash.xxh3_128_intdigest(raw[s : s + length])
                     yield (d >> 64) - (1 << 63), (d & (1 << 64) - 1) - (1 << 63), tid, s
 
         yield from _batched(rows(), pa.schema([("d1", pa.int64()), ("d2", pa.int64()), ("tid", pa.binary()), ("start", pa.int64())]))
 
     shown = placed.filter(F.size("hot_at") > 0).mapInArrow(hot_strings, "d1 long, d2 long, tid binary, start long")
     often = shown.groupBy("d1", "d2").agg(F.count("*").alias("n")).filter("n > 1")
-    spans = spans.unionAll(shown.join(often, ["d1", "d2"]).select("tid", "start", (F.col("start") + LENGTH).alias("end")))
+    spans = spans.unionAll(shown.join(often, ["d1", "d2"]).select("tid", "start", (F.col("start") + length).alias("end")))
     return spans, once
 
 
@@ -375,21 +385,95 @@ def union_spans(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
-def removed_texts(texts: DataFrame, hot: int = HOT, with_text: bool = False) -> DataFrame:
-    """(tid, n_removed, n_spans, kept_sha256[, kept]) of the texts that lose bytes. texts: one row per document."""
-    spans, once = repeated_spans(texts, hot)
-    copies = texts.groupBy("tid").agg(F.count("*").alias("n"), F.max(F.octet_length("text")).alias("size")).filter((F.col("n") > 1) & (F.col("size") >= LENGTH))
-    whole = copies.select("tid", F.lit(0).cast("long").alias("start"), F.col("size").cast("long").alias("end"))
-    by_text = spans.unionAll(whole).groupBy("tid").agg(F.collect_set(F.struct("start", "end")).alias("spans"))
+def word_bounds(raw: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and ends of the words that ``bytes.split`` gives."""
+    b = np.frombuffer(raw, np.uint8)
+    ink = np.concatenate([[False], (b != 32) & ((b < 9) | (b > 13)), [False]])
+    return np.flatnonzero(ink[1:] & ~ink[:-1]), np.flatnonzero(~ink[1:] & ink[:-1])
+
+
+def sparse(raw: bytes, words: int) -> bool:
+    """Whether some LENGTH bytes may hold fewer than ``words`` whole words, so that matching by words is not enough."""
+    starts, ends = word_bounds(raw)
+    before = np.concatenate([[-1], starts])
+    after = np.concatenate([ends[words - 1 :], np.full(min(words, len(before)), len(raw) + 1)])[: len(before)]
+    return len(raw) >= LENGTH and bool((after - before > LENGTH).any())
+
+
+class _Codes(dict):
+    def __missing__(self, word: bytes) -> int:
+        if len(self) > 400_000:
+            self.clear()
+        h = self[word] = xxhash.xxh3_64_intdigest(word)
+        return h
+
+
+def passage_spans(texts: DataFrame, words: int, hot: int = HOT) -> tuple[DataFrame, DataFrame]:
+    """(tid, start, end, unit) of passages of ``words`` words, or of LENGTH bytes with fewer words, that start at two places.
+
+    Each word becomes a code of CODE bytes, so that the search for strings of words * CODE bytes finds passages of words
+    whatever their size; unit says in how many bytes start and end count one. Strings of LENGTH bytes are sought only in
+    texts where they can hold fewer words (long words, scripts without spaces).
+    """
+
+    def few(batches):
+        for b in batches:
+            raw = b.column(1).cast(pa.binary()).to_pylist()
+            yield b.filter(pa.array([sparse(t, words) for t in raw], pa.bool_()))
+
+    def coded(batches):
+        known = _Codes()
+        for b in batches:
+            for at in range(0, len(b), 500):
+                part = b.slice(at, 500)
+                codes = []
+                for t in part.column(1).cast(pa.binary()).to_pylist():
+                    w = t.split()
+                    h = np.fromiter(map(known.__getitem__, w), dtype="<u8", count=len(w))
+                    codes.append(h.view(np.uint8).reshape(-1, 8)[:, :CODE].tobytes())
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(codes, pa.binary())], names=["tid", "text"])
+
+    source = texts.select("tid", "text")
+    by_bytes, _ = repeated_spans(source.mapInArrow(few, source.schema), hot)
+    by_words, _ = repeated_spans(source.mapInArrow(coded, "tid binary, text binary"), hot, words * CODE)
+    return by_bytes.withColumn("unit", F.lit(1)).unionAll(by_words.withColumn("unit", F.lit(CODE))), source
+
+
+def removed_texts(texts: DataFrame, hot: int = HOT, with_text: bool = False, words: int | None = None) -> DataFrame:
+    """(tid, n_removed, n_spans, kept_sha256[, kept]) of the texts that lose bytes. texts: one row per document.
+
+    With ``words``, passages of so many words go as well, whatever their bytes.
+    """
+    if words:
+        spans, once = passage_spans(texts, words, hot)
+        least = min(LENGTH, 2 * words - 1)
+    else:
+        spans, once = repeated_spans(texts, hot)
+        spans, least = spans.withColumn("unit", F.lit(1)), LENGTH
+    copies = texts.groupBy("tid").agg(F.count("*").alias("n"), F.max(F.octet_length("text")).alias("size")).filter((F.col("n") > 1) & (F.col("size") >= least))
+    whole = copies.select("tid", F.lit(0).cast("long").alias("start"), F.col("size").cast("long").alias("end"), F.lit(0).alias("unit"))
+    by_text = spans.unionAll(whole).groupBy("tid").agg(F.collect_set(F.struct("start", "end", "unit")).alias("spans"))
     placed = once.join(by_text.hint("shuffle_hash"), "tid")
     names = placed.columns
     at = [names.index(x) for x in ("tid", "text", "spans")]
     kinds = pa.schema([("tid", pa.binary()), ("n_removed", pa.int64()), ("n_spans", pa.int64()), ("kept_sha256", pa.string()), *([("kept", pa.string())] if with_text else [])])
 
+    def in_bytes(raw, found):
+        starts = None
+        for s in found:
+            if s["unit"] == CODE:
+                if starts is None:
+                    starts, ends = (x.tolist() for x in word_bounds(raw))
+                yield starts[-(-s["start"] // CODE)], ends[s["end"] // CODE - 1]
+            elif s["unit"] == 1 or len(raw) >= LENGTH or len(raw.split()) >= words:
+                yield s["start"], s["end"]
+
     def cut(batches):
         def rows():
             for tid, raw, i, b in _unique_rows(batches, at[0], at[1]):
-                spans = union_spans([(s["start"], s["end"]) for s in b.column(at[2])[i].as_py()])
+                spans = union_spans(list(in_bytes(raw, b.column(at[2])[i].as_py())))
+                if not spans:
+                    continue
                 kept, last = [], 0
                 for s, e in spans:
                     kept.append(raw[last:s])
@@ -417,14 +501,16 @@ def repeat_digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     return rows.join(removed, "tid", "left").select("doc_id", "n_bytes", F.coalesce("n_removed", zero).alias("n_removed"), F.coalesce("n_spans", zero).alias("n_spans"), F.coalesce("kept_sha256", "sha").alias("kept_sha256"))
 
 
-def remove_repeats(docs: DataFrame, text_col: str = "text", size_col: str | None = "n_chars", hot: int = HOT) -> DataFrame:
+def remove_repeats(docs: DataFrame, text_col: str = "text", size_col: str | None = "n_chars", hot: int = HOT, words: int | None = None) -> DataFrame:
     """docs with the repeated strings cut out of their texts; a cut inside a character drops the character's rest.
 
+    With ``words``, repeated passages of so many words go as well, though they have fewer than LENGTH bytes.
+
     Other columns stay; ``size_col``, if there, follows the new text. Rows without repeats are untouched.
     """
     text, tid, kept = fresh(docs, "_text", "_tid", "_kept")
     keyed = _with_tid(docs, text_col, text, tid)
-    removed = removed_texts(keyed.select(F.col(tid).alias("tid"), F.col(text).alias("text")), hot, with_text=True).select(F.col("tid").alias(tid), F.col("kept").alias(kept))
+    removed = removed_texts(keyed.select(F.col(tid).alias("tid"), F.col(text).alias("text")), hot, with_text=True, words=words).select(F.col("tid").alias(tid), F.col("kept").alias(kept))
     out = keyed.join(removed, tid, "left").withColumn(text_col, F.coalesce(kept, F.col(text_col)))
     if size_col and size_col in docs.columns:
         out = out.withColumn(size_col, F.when(F.col(kept).isNull(), F.col(size_col)).otherwise(F.length(text_col)).cast(docs.schema[size_col].dataType))

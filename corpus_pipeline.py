@@ -32,8 +32,8 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without the 400-byte strings that start anywhere else as well."""
-    return remove_repeats(docs)
+    """Texts without the passages of more than 50 words, or of 400 bytes in fewer words, that start anywhere else as well."""
+    return remove_repeats(docs, words=51)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -48,3 +48,25 @@ def test_near_duplicates_are_all_pairs_of_similarity(spark):
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
     got = {r["doc_id"] for r in corpus_pipeline.near_duplicates(spark, df, "").collect()}
     assert got == {top(i) for i in range(len(texts))}
+
+
+def test_repeats_of_more_than_fifty_words_go(spark):
+    short = ["".join(RNG.choices("abcdefgh", k=3)) for _ in range(300)]
+    some = lambda n: " ".join(RNG.choices(short, k=n))
+    passages = [some(n) for n in (49, 50, 51, 52, 80, 130)]
+    cjk = "".join(chr(0x4E00 + RNG.randrange(3000)) for _ in range(140))
+    copy = some(51)
+    texts = [f"{some(RNG.randint(1, 30))}\n{p}  {some(RNG.randint(1, 30))}" for p in passages for _ in range(3)]
+    texts += [some(300) for _ in range(5)] + [f"A{cjk}B", f"C{cjk}D " + some(9), copy, copy, some(50), "", "q " * 52, "z " * 51]
+    found = [t.split() for t in texts]
+    seen = {}
+    for i, w in enumerate(found):
+        for j in range(len(w) - 50):
+            seen.setdefault(tuple(w[j : j + 51]), []).append((i, j))
+    gone = {(i, k) for places in seen.values() if len(places) > 1 for i, j in places for k in range(j, j + 51)}
+    want = [[x for k, x in enumerate(w) if (i, k) not in gone] for i, w in enumerate(found)]
+    want = [[x.replace(cjk, "") for x in w] for w in want]
+    df = spark.createDataFrame([(i, t, len(t)) for i, t in enumerate(texts)], "doc_id long, text string, n_chars long").repartition(4)
+    got = {r["doc_id"]: r for r in corpus_pipeline.repeats(spark, df, "").collect()}
+    assert [got[i]["text"].split() for i in range(len(texts))] == want
+    assert all(r["n_chars"] == len(r["text"]) for r in got.values())
