@@ -38,7 +38,7 @@ _ODD = [np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(
 
 class _Hashes(dict):
     def __missing__(self, word: str) -> int:
-        if len(self) > 400_000:
+        if len(self) > 100_000:
             self.clear()
         h = self[word] = xxhash.xxh64_intdigest(word.encode("utf-8", "surrogatepass"), 42)
         return h
@@ -90,7 +90,7 @@ def common_shingles(docs: DataFrame, text_col: str) -> np.ndarray:
     def run(batches):
         known = _Hashes()
         for b in batches:
-            for t in b.column(0).to_pylist():
+            for t in map(pa.Scalar.as_py, b.column(0)):
                 yield pa.RecordBatch.from_arrays([pa.array(shingle_hashes(t, known).view(np.int64))], names=["h"])
 
     often = sample.distinct().mapInArrow(run, "h long").groupBy("h").agg(F.count("*").alias("n")).filter("n > 2").orderBy(F.desc("n"), "h").limit(COMMON)
@@ -105,8 +105,8 @@ def with_prefixes(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     def run(batches):
         known = _Hashes()
         for b in batches:
-            for at in range(0, len(b), 500):
-                part = b.slice(at, 500)
+            for at in range(0, len(b), 200):
+                part = b.slice(at, 200)
                 sets = [shingle_hashes(t, known) for t in part.column(2).to_pylist()]
                 nodes = np.array([xxhash.xxh3_64_intdigest(s.tobytes()) for s in sets], dtype=np.uint64).view(np.int64)
                 first = [prefix(s, common).view(np.int64) for s in sets]

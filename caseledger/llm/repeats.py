@@ -402,7 +402,7 @@ def sparse(raw: bytes, words: int) -> bool:
 
 class _Codes(dict):
     def __missing__(self, word: bytes) -> int:
-        if len(self) > 400_000:
+        if len(self) > 100_000:
             self.clear()
         h = self[word] = xxhash.xxh3_64_intdigest(word)
         return h
@@ -418,14 +418,14 @@ def passage_spans(texts: DataFrame, words: int, hot: int = HOT) -> tuple[DataFra
 
     def few(batches):
         for b in batches:
-            raw = b.column(1).cast(pa.binary()).to_pylist()
-            yield b.filter(pa.array([sparse(t, words) for t in raw], pa.bool_()))
+            texts = b.column(1).cast(pa.binary())
+            yield b.filter(pa.array([sparse(t.as_py(), words) for t in texts], pa.bool_()))
 
     def coded(batches):
         known = _Codes()
         for b in batches:
-            for at in range(0, len(b), 500):
-                part = b.slice(at, 500)
+            for at in range(0, len(b), 200):
+                part = b.slice(at, 200)
                 codes = []
                 for t in part.column(1).cast(pa.binary()).to_pylist():
                     w = t.split()
