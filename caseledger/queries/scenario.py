@@ -63,9 +63,9 @@ def scenario_greedy_pairs(spark, t):
 @query()
 def tfidf_topterms(spark, t):
     """Top terms by language of the mean of TF-IDF vectors (sublinear counts, L2 norm)."""
-    from caseledger.operators.learning import tfidf, top_terms
+    from caseledger.operators.learning import top_terms
 
-    return top_terms(*tfidf(t("documents").select("doc_id", "lang", "text")), "lang", 6)
+    return top_terms(t("documents").select("doc_id", "lang", "text"), "doc_id", "lang", 6)
 
 
 @query()
