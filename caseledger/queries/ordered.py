@@ -62,7 +62,7 @@ def floor_rank_percentiles(spark, t):
 @query()
 def header_distribution(spark, t):
     """Statements built from a conversation's turns: system lines head, user lines are bullets."""
-    line = F.when(F.col("role") == "user", F.concat(F.lit("- "), F.substring("text", 1, 20))).when(F.col("role") == "system", F.concat(F.substring("text", 1, 12), F.lit(":"))).otherwise(F.substring("text", 1, 20))
+    line = F.when(F.col("role") == "user", F.concat(F.lit("- "), F.col("text"))).when(F.col("role") == "system", F.concat(F.col("text"), F.lit(":"))).otherwise(F.col("text"))
     lines = t("conversations").groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("turn", line.alias("s")))).alias("a"))
     return lines.select("conv_id", distribute_headers(F.transform("a", lambda x: x["s"])).alias("statements"))
 

@@ -195,6 +195,12 @@ def cid_share(spark, t):
     return t("documents").select("doc_id", F.round(X.glyph_share(F.concat(F.substring("text", 1, 93), F.lit("(cid:1)"))), 6).alias("share"))
 
 
+@query(r"SELECT doc_id, round(coalesce((length(x) - length(regexp_replace(x, '\(cid:\d+\)', '', 'g')))::DOUBLE / nullif(length(x), 0), 0.0), 6)::DOUBLE AS share FROM (SELECT doc_id, text || '(cid:1)' AS x FROM documents)")
+def cid_share_whole(spark, t):
+    """Over all characters of the text, where ``cid_share`` reads a prefix."""
+    return t("documents").select("doc_id", F.round(X.glyph_share(F.concat("text", F.lit("(cid:1)"))), 6).alias("share"))
+
+
 @query("SELECT page_id, count(*) AS links, count(DISTINCT href)::BIGINT AS distinct_links FROM (SELECT page_id, unnest(regexp_extract_all(html, 'href=\"([^\"]*)\"', 1)) AS href FROM pages) GROUP BY 1")
 def html_links(spark, t):
     return t("pages").select("page_id", F.explode(F.regexp_extract_all("html", F.lit('href="([^"]*)"'), F.lit(1))).alias("href")).groupBy("page_id").agg(F.count("*").alias("links"), F.count_distinct("href").alias("distinct_links"))
