@@ -145,6 +145,12 @@ def splits_by_regime(spark, t):
     return d.agg(F.count("*").alias("n"), F.md5(ids.cast("binary")).alias("ids"))
 
 
+@query("SELECT doc_id, CASE WHEN n_chars < 500 THEN 'short' ELSE 'long' END AS split FROM documents")
+def splits_by_regime_whole(spark, t):
+    """The split of every document, where ``splits_by_regime`` reads every twentieth."""
+    return t("documents").select("doc_id", F.when(F.col("n_chars") < 500, "short").otherwise("long").alias("split"))
+
+
 @query("SELECT l_orderkey, count(*) AS n, md5(string_agg(l_linenumber || ':' || l_partkey || ':' || l_suppkey, ';' ORDER BY l_linenumber, l_partkey, l_suppkey)) AS causes FROM lineitem GROUP BY 1")
 def donor_views(spark, t):
     """Donor rows by identifier, in order of their number."""
@@ -177,6 +183,13 @@ def disjoint_match_priority(spark, t):
     return L.disjoint_matches(s, "user_id").groupBy("user_id").agg(F.min("priority").alias("best"))
 
 
+@query()
+def disjoint_matches_whole(spark, t):
+    """The kept matches of every user; the fold is tested against brute force, since SQL cannot express it."""
+    s = t("events").select("user_id", (F.col("event_id") % 4).alias("priority"), F.hour("ts").alias("start"), (F.hour("ts") + 3).alias("end"), F.col("event_type").alias("what"))
+    return L.disjoint_matches(s, "user_id")
+
+
 @query("SELECT page, md5(string_agg(event_type, ' ' ORDER BY band, col, top, event_type)) AS text FROM (SELECT user_id AS page, event_type, (hour(ts) // 6)::BIGINT AS band, (event_id % 2)::BIGINT AS col, event_id AS top FROM events) GROUP BY 1")
 def reading_order(spark, t):
     d = t("events").select(F.col("user_id").alias("page"), F.floor(F.hour("ts") / 6).alias("band"), (F.col("event_id") % 2).alias("column"), F.col("event_id").alias("top"), F.col("event_type").alias("text"))
