@@ -60,13 +60,26 @@ def agreement_matrix(spark, t):
 _PASS_SQL = "SELECT o_orderkey AS k, i, CASE " + " ".join(f"WHEN {sql_mod('o_orderkey || ' + chr(39) + '|' + chr(39) + ' || i', 7)} = {n} THEN {v}" for n, v in ((0, "'abstain'"), (1, "NULL"), (2, "'b'"), (3, "'c'"))) + " ELSE 'a' END AS label FROM orders, (SELECT unnest([1, 2, 3]) AS i) WHERE o_orderkey % 4 = 0"
 
 
-@query(f"""WITH p AS ({_PASS_SQL}), v AS (SELECT k, label, count(*) AS n, min(i) AS f FROM p WHERE label IS NOT NULL GROUP BY ALL),
+_VOTE_SQL = """WITH p AS ({}), v AS (SELECT k, label, count(*) AS n, min(i) AS f FROM p WHERE label IS NOT NULL GROUP BY ALL),
 w AS (SELECT *, row_number() OVER (PARTITION BY k ORDER BY n DESC, f) AS r, bool_or(label = 'abstain') OVER (PARTITION BY k) AS ab FROM v)
-SELECT k, label, n AS votes, CASE WHEN ab OR n <= 1 THEN 'low' WHEN n = 3 THEN 'high' ELSE 'medium' END AS confidence FROM w WHERE r = 1""")
+SELECT k, label, n AS votes, CASE WHEN ab OR n <= 1 THEN 'low' WHEN n = 3 THEN 'high' ELSE 'medium' END AS confidence FROM w WHERE r = 1"""
+
+
+@query(_VOTE_SQL.format(_PASS_SQL))
 def consolidate_passes(spark, t):
     """Mode of three passes, first seen among equals; unparsed passes drop out of the vote but count in its size."""
+    return _consolidated(t("orders").filter("o_orderkey % 4 = 0"))
+
+
+@query(_VOTE_SQL.format(_PASS_SQL.removesuffix(" WHERE o_orderkey % 4 = 0")))
+def consolidate_passes_whole(spark, t):
+    """Every order's label, where ``consolidate_passes`` reads every fourth."""
+    return _consolidated(t("orders"))
+
+
+def _consolidated(orders):
     i = F.explode(F.array(F.lit(1), F.lit(2), F.lit(3))).alias("i")
-    p = t("orders").filter("o_orderkey % 4 = 0").select(F.col("o_orderkey").alias("k"), i)
+    p = orders.select(F.col("o_orderkey").alias("k"), i)
     r = draw(7, F.col("k"), F.col("i"))
     p = p.withColumn("label", F.when(r == 0, "abstain").when(r == 1, None).when(r == 2, "b").when(r == 3, "c").otherwise("a"))
     return consolidate(p, "k", "i", "label", passes=3, abstain="abstain")
