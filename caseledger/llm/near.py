@@ -90,8 +90,8 @@ def common_shingles(docs: DataFrame, text_col: str) -> np.ndarray:
     def run(batches):
         known = _Hashes()
         for b in batches:
-            for t in map(pa.Scalar.as_py, b.column(0)):
-                yield pa.RecordBatch.from_arrays([pa.array(shingle_hashes(t, known).view(np.int64))], names=["h"])
+            for t in b.column(0):
+                yield pa.RecordBatch.from_arrays([pa.array(shingle_hashes(t.as_py(), known).view(np.int64))], names=["h"])
 
     often = sample.distinct().mapInArrow(run, "h long").groupBy("h").agg(F.count("*").alias("n")).filter("n > 2").orderBy(F.desc("n"), "h").limit(COMMON)
     return np.sort(np.array([r["h"] for r in often.select("h").collect()], dtype=np.int64).view(np.uint64))
