@@ -34,6 +34,15 @@ MAX_ROWS = 4000
 CACHE_TOKENS = 400_000
 _MARKS = re.compile(r"[^\w\s]+$")
 EMPTY_SCORE = -30.0
+#: A longer token (a script without spaces) is read as pieces of so many characters, each a token.
+LONG, PIECE = 40, 4
+
+
+def tokens_of(text: str) -> list[str]:
+    tokens = text.split()
+    if max(map(len, tokens), default=0) <= LONG:
+        return tokens
+    return [p for t in tokens for p in ([t] if len(t) <= LONG else [t[i : i + PIECE] for i in range(0, len(t), PIECE)])]
 
 
 def shape(token: str, word: str, marks: str) -> str:
@@ -41,11 +50,11 @@ def shape(token: str, word: str, marks: str) -> str:
     if word.isalpha():
         return ("a" if word.islower() else "Aa" if word.istitle() else "A" if word.isupper() else "aA") + marks
     out = []
-    for c in token[:40]:
+    for c in token:
         k = "A" if c.isupper() else "a" if c.isalpha() else "0" if c.isdigit() else c
         if not out or out[-1] != k:
             out.append(k)
-    return "".join(out[:8])
+    return "".join(out)
 
 
 def features(token: str) -> tuple[int, ...]:
@@ -55,7 +64,7 @@ def features(token: str) -> tuple[int, ...]:
         found = _MARKS.search(token)
         end = found[0][:4] if found else ""
         word = token[: found.start()] if found else token
-    crc, low = zlib.crc32, word.lower()[:24].encode("utf-8", "surrogatepass")
+    crc, low = zlib.crc32, word.lower().encode("utf-8", "surrogatepass")
     return crc(low, 1) % BUCKETS, crc(shape(token, word, end).encode("utf-8", "surrogatepass"), 2) % BUCKETS, crc(end.encode("utf-8", "surrogatepass"), 3) % BUCKETS, crc(b"%d" % (min(len(token), 24) // 3), 4) % BUCKETS
 
 
@@ -84,7 +93,7 @@ class Scorer:
         self.model, self.known = model, {}
 
     def score(self, text: str) -> float:
-        tokens = text.split()
+        tokens = tokens_of(text)
         if not tokens:
             return EMPTY_SCORE
         if len(self.known) > CACHE_TOKENS:
@@ -112,7 +121,7 @@ def fit(texts: list[str], grades: list[int], steps: int = 300, rate: float = 0.1
     known: dict[str, tuple[int, ...]] = {}
     rows, cols, vals, stats, y = [], [], [], [], []
     for text, grade in zip(texts, grades, strict=True):
-        tokens = text.split()
+        tokens = tokens_of(text)
         if not tokens:
             continue
         at: list[int] = []
