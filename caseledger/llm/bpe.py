@@ -16,7 +16,6 @@ from __future__ import annotations
 
 import hashlib
 import json
-from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -25,11 +24,13 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from caseledger.llm.common import worker_state
+
 #: The pre-tokenizer's pattern (public, that of byte-level BPE).
 PATTERN = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
 _CUT = regex.compile(r" (?=\S)")
 _ODD_SPACES = [c for c in map(chr, [*range(0x09, 0x0E), *range(0x1C, 0x20), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]) if c != "\n"]
-CACHE_PIECES = 400_000
+CACHE_PIECES = 300_000
 LONG = 256
 NONE = np.iinfo(np.int64).max
 
@@ -310,10 +311,9 @@ class ByteBpe:
         return b"".join(map(self.bytes_of.__getitem__, ids.tolist())).decode("utf-8", "replace")
 
 
-@lru_cache(maxsize=2)
 def load(path: str) -> ByteBpe:
     """One tokenizer per worker process."""
-    return ByteBpe(path)
+    return worker_state(path, lambda: ByteBpe(path))
 
 
 def _groups(texts: list[str], chars: int = 2_000_000):

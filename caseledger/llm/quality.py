@@ -10,7 +10,8 @@ crc32 mod 5 holds out are not learnt from. Everything else covers all rows.
 
 Defined results: null, empty and wordless texts have no features but the constant of emptiness and are graded by the
 thresholds alone with the lowest expected grade; with fewer than two grades known every row gets that grade (or no
-number and probability 1 without labels); repeated labels count once with the highest grade; extra columns are kept by
+number and probability 1 without labels); repeated labels count once with the highest grade; of several texts under one
+identifier the least is learnt from; extra columns are kept by
 ``select_quality`` and ignored by ``quality_scores``.
 """
 
@@ -26,12 +27,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from caseledger.llm.toxicity import held_out, labelled_sample, worker_scorer
+from caseledger.llm.common import worker_state
+from caseledger.llm.toxicity import held_out, labelled_sample
 
 BUCKETS = 1 << 14
 STATS = 5
 MAX_ROWS = 4000
-CACHE_TOKENS = 400_000
+CACHE_TOKENS = 150_000
 _MARKS = re.compile(r"[^\w\s]+$")
 EMPTY_SCORE = -30.0
 #: A longer token (a script without spaces) is read as pieces of so many characters, each a token.
@@ -175,7 +177,7 @@ def quality_scores(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", t
     shared = docs.sparkSession.sparkContext.broadcast(model)  # 128 KB whatever the corpus
 
     def run(batches):
-        scorer = worker_scorer(shared, Scorer)
+        scorer = worker_state(shared, lambda: Scorer(shared.value))
         for b in batches:
             s, e, t = scorer.rows((x or "" for x in b.column(3).to_pylist()), keep_grade)
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), b.column(2), pa.array(s), pa.array(e), pa.array(t)], names=["doc_id", "text_hash", "held_out", "score", "expected_grade", "tail_probability"])
@@ -192,7 +194,7 @@ def select_quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", t
     text_at = docs.columns.index(text_col)
 
     def run(batches):
-        scorer = worker_scorer(shared, Scorer)
+        scorer = worker_state(shared, lambda: Scorer(shared.value))
         for b in batches:
             *_, tail = scorer.rows((x or "" for x in b.column(text_at).to_pylist()), keep_grade)
             yield b.filter(pa.array(tail >= least))

@@ -14,7 +14,7 @@ extra columns are ignored.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from caseledger.llm.common import fresh, materialize
+from caseledger.llm.common import fresh, materialize, release_worker
 from caseledger.llm.graph import connected_components
 
 BITS, RADIUS, BANDS, SEED = 64, 3, 4, 42
@@ -32,6 +32,13 @@ _COLUMN = (np.arange(8, dtype=np.int64) * 256)[None, :]
 _BIT_OF = ((np.arange(256)[:, None] >> np.arange(8)[None, :]) & 1).astype(np.int64)
 
 
+def majority(h: np.ndarray) -> int:
+    """The fingerprint of 64-bit hashes: a bit is 1 if set in over half of them."""
+    by_byte = np.bincount((h.view(np.uint8).reshape(-1, 8) + _COLUMN).ravel(), minlength=2048).reshape(8, 256)
+    bits = (by_byte @ _BIT_OF).ravel() * 2 > len(h)
+    return int.from_bytes(np.packbits(bits, bitorder="little").tobytes(), "little")
+
+
 def fingerprint(text: str | None, shingle: int = 3, _hash=xxhash.xxh64_intdigest) -> int:
     """The unsigned fingerprint of one whole text."""
     words = (text or "").encode("utf-8", "surrogatepass").lower().split()
@@ -40,10 +47,7 @@ def fingerprint(text: str | None, shingle: int = 3, _hash=xxhash.xxh64_intdigest
     if len(words) <= shingle:
         return _hash(b" ".join(words), SEED)
     grams = map(b" ".join, zip(*(words[i:] for i in range(shingle)), strict=False))
-    h = np.fromiter((_hash(g, SEED) for g in grams), dtype="<u8", count=len(words) - shingle + 1)
-    by_byte = np.bincount((h.view(np.uint8).reshape(-1, 8) + _COLUMN).ravel(), minlength=2048).reshape(8, 256)
-    bits = (by_byte @ _BIT_OF).ravel() * 2 > len(h)
-    return int.from_bytes(np.packbits(bits, bitorder="little").tobytes(), "little")
+    return majority(np.fromiter((_hash(g, SEED) for g in grams), dtype="<u8", count=len(words) - shingle + 1))
 
 
 def with_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3) -> DataFrame:
@@ -51,6 +55,7 @@ def with_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(F.col(text_col)).alias("text_hash"), F.col(text_col).alias("text"))
 
     def run(batches):
+        release_worker()
         for b in batches:
             fps = [fingerprint(t, shingle) for t in b.column(2).to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(np.array(fps, dtype=np.uint64).view(np.int64))], names=["doc_id", "text_hash", "fp"])
@@ -65,17 +70,28 @@ def bit_planes(fps: np.ndarray) -> list[int]:
     return [int.from_bytes(p.tobytes(), "little") for p in packed]
 
 
-def within(planes: list[int], probe: int, full: int, order: Iterable[int] = range(BITS)) -> int:
-    """Members within RADIUS (three) of the probe, as a bit set; 0 as soon as the block is abandoned."""
-    c0 = c1 = over = 0
-    for b in order:
-        d = planes[b] ^ full if probe >> b & 1 else planes[b]
-        carry = c0 & d
-        c0 ^= d
-        over |= c1 & carry
-        c1 ^= carry
-        if over == full:
-            return 0
+def within(planes: list[int], probe: int, full: int, radius: int = RADIUS) -> int:
+    """Members of ``full`` within the radius of the probe, as a bit set; 0 as soon as all of them exceed it.
+
+    Bit i of counter plane k is bit k of member i's count. Counts start so high that the carry out of the last plane
+    says that a distance has passed the radius.
+    """
+    width = radius.bit_length()
+    start = (1 << width) - 1 - radius
+    counters = [full if start >> k & 1 else 0 for k in range(width)]
+    over = 0
+    for b, plane in enumerate(planes):
+        carry = (plane ^ full if probe >> b & 1 else plane) & full
+        for k in range(width):
+            c = counters[k]
+            counters[k] = c ^ carry
+            carry &= c
+            if not carry:
+                break
+        else:
+            over |= carry
+            if over == full:
+                return 0
     return full & ~over
 
 
@@ -93,7 +109,7 @@ def block_links(fps: np.ndarray, left: int) -> Iterator[tuple[int, int]]:
     later = full
     for i, fp in enumerate(fps[:left].tolist()):
         later &= ~(1 << i)
-        found = within(planes, fp, full) & later
+        found = within(planes, fp, later) if later else 0
         while found:
             low = found & -found
             a, b = top(i), top(low.bit_length() - 1)
@@ -161,14 +177,22 @@ def near_duplicate_classes(docs: DataFrame, id_col: str = "doc_id", text_col: st
     return rows.join(component, "fp")
 
 
+def one_of_each(docs: DataFrame, kept: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """The rows of docs that ``kept`` (doc_id, text_hash) names, one of those equal in both; all columns stay.
+
+    Identifier and hash are columns on both sides, so that the join and the removal of repeated rows share one exchange.
+    """
+    ident, digest, null = fresh(docs, "_id", "_th", "_null")
+    keyed = docs.withColumns({ident: F.coalesce(F.col(id_col).cast("long"), F.lit(0)), null: F.col(id_col).isNull(), digest: F.coalesce(F.xxhash64(F.col(text_col)), F.lit(0))})
+    named = kept.select(F.coalesce("doc_id", F.lit(0)).alias(ident), F.col("doc_id").isNull().alias(null), F.coalesce("text_hash", F.lit(0)).alias(digest))
+    return keyed.join(named, [ident, null, digest], "left_semi").dropDuplicates([ident, null, digest]).select(*docs.columns)
+
+
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3) -> DataFrame:
     """docs with one row of each component: that of the smallest (identifier, text hash); other columns stay."""
     classes = near_duplicate_classes(docs, id_col, text_col, shingle)
     order = F.struct(F.col("doc_id").isNull().alias("x"), "doc_id", "text_hash")
     # A component without any identifier is told apart by its fingerprint.
     key = [F.coalesce(F.col("component_id"), F.col("fp")).alias("c"), F.col("component_id").isNull().alias("u")]
-    ident, digest = fresh(docs, "_id", "_th")
-    kept = classes.groupBy(*key).agg(F.min(order).alias("k")).select(F.col("k.doc_id").alias(ident), F.col("k.text_hash").alias(digest))
-    match = F.col(id_col).cast("long").eqNullSafe(F.col(ident)) & (F.xxhash64(F.col(text_col)) == F.col(digest))
-    # Rows equal in identifier and text are one document.
-    return docs.join(kept, match, "left_semi").dropDuplicates([id_col, text_col])
+    kept = classes.groupBy(*key).agg(F.min(order).alias("k")).select("k.doc_id", "k.text_hash")
+    return one_of_each(docs, kept, id_col, text_col)

@@ -12,7 +12,7 @@ a score. Rows whose crc32(identifier as text) mod 5 is 0 are never learnt from.
 
 Defined results: null, empty and wordless texts get the score that the filters give to no words at all; without
 labelled rows of both kinds every score is the known rate (0 without labels); repeated labels of one identifier count as
-toxic if any is; null labels are left out; extra columns are ignored; equal texts get equal scores.
+toxic if any is; of several texts under one identifier the least is learnt from; null labels are left out; extra columns are ignored; equal texts get equal scores.
 """
 
 from __future__ import annotations
@@ -26,10 +26,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from caseledger.llm.common import worker_state
+
 BUCKETS, DIM, FILTERS, WIDTHS = 1 << 15, 16, 8, (1, 2, 3)
 FEATURES = 5
 MAX_ROWS = 6000
-CACHE_WORDS = 300_000
+CACHE_WORDS = 150_000
 STRIP = ".,;:!?\"'()[]{}*#$%&@|<>«»¿¡-_/\\"
 #: Frequent function words, by language.
 FUNCTION_WORDS = {
@@ -79,18 +81,6 @@ def convolve(m: np.ndarray) -> list[np.ndarray]:
     return out
 
 
-_SCORERS: list[tuple[object, object]] = []
-
-
-def worker_scorer(shared, make):
-    """One scorer per worker process and broadcast model, so that what it learns about words serves all of its tasks."""
-    for held, scorer in _SCORERS:
-        if held is shared:
-            return scorer
-    _SCORERS[:] = [(shared, make(shared.value))]
-    return _SCORERS[0][1]
-
-
 def _sigmoid(x):
     return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
 
@@ -238,7 +228,7 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, target: str, max_rows: i
     else:
         chosen = known.orderBy(*order).limit(max_rows)
     # At most max_rows rows of 12 bytes are broadcast.
-    got = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_t")).join(F.broadcast(chosen), "_id").dropDuplicates(["_id"]).collect()
+    got = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_t")).join(F.broadcast(chosen), "_id").groupBy("_id", "_y").agg(F.min("_t").alias("_t")).collect()
     got.sort(key=lambda r: (zlib.crc32(str(r["_id"]).encode()), r["_id"]))
     return [(r["_t"] or "", r["_y"]) for r in got]
 
@@ -250,7 +240,7 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id",
     shared = docs.sparkSession.sparkContext.broadcast(model)  # about 2 MB whatever the corpus
 
     def run(batches):
-        scorer = worker_scorer(shared, Scorer)
+        scorer = worker_state(shared, lambda: Scorer(shared.value))
         for b in batches:
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(scorer.scores([t or "" for t in b.column(2).to_pylist()]), pa.float64())], names=["doc_id", "held_out", "score"])
 

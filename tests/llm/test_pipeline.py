@@ -3,7 +3,11 @@
 import random
 import re
 
+import numpy as np
+import pytest
+
 import corpus_pipeline
+from caseledger.llm import near
 
 RNG = random.Random(11)
 WORDS = [f"w{i}" for i in range(500)]
@@ -25,12 +29,8 @@ def shingles(text: str) -> set:
     return {tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if w else set()
 
 
-def test_near_duplicates_are_all_pairs_of_similarity(spark):
-    texts = [prose(RNG.randint(1, 200)) for _ in range(40)]
-    for n in (6, 9, 30, 100, 300, 600):
-        base = prose(n)
-        texts += [base, base.upper() + "!", base + " tail", *(changed(base, min(n, k)) for k in (1, 2, 4, 7, 9, 14, 20))]
-    texts += ["", "...", "one two", "One, two", *(f"{prose(60)} {' '.join(WORDS[:50])}" for _ in range(30))]
+def brute_keepers(texts: list[str]) -> set[int]:
+    """The first document of each component of texts of similarity 0.8 or more."""
     sets = [shingles(t) for t in texts]
     root = list(range(len(texts)))
 
@@ -45,9 +45,64 @@ def test_near_duplicates_are_all_pairs_of_similarity(spark):
             if 5 * both >= 4 * (len(sets[i]) + len(sets[j]) - both):
                 a, b = top(i), top(j)
                 root[max(a, b)] = min(a, b)
+    return {top(i) for i in range(len(texts))}
+
+
+def test_bit_sliced_distances_are_those_of_popcounts():
+    rng = np.random.default_rng(2)
+    for m in (1, 63, 64, 65, 200, 512):
+        base = rng.integers(0, 1 << 63, (4, near.WORDS), dtype=np.uint64)
+        few = lambda: rng.integers(0, 1 << 63, (m, near.WORDS), dtype=np.uint64)
+        fp = base[rng.integers(0, 4, m)] ^ (few() & few() & few())
+        for radius in (0, 3, 22, 63, 90):
+            want = [[sum((int(x) ^ int(y)).bit_count() for x, y in zip(a, b, strict=True)) <= radius for b in fp] for a in fp[:30]]
+            assert near.close(fp[:30], fp, radius).tolist() == want
+
+
+def test_forests_span_the_graph():
+    rng = np.random.default_rng(5)
+    for _ in range(60):
+        m = int(rng.integers(2, 40))
+        hit = rng.random((m, m)) < 0.05
+        both = np.arange(m)
+        if rng.random() < 0.5:
+            hit = (hit | hit.T) & ~np.eye(m, dtype=bool)
+            left = right = both
+        else:
+            left, right = both, both + m
+        edges = [(int(left[i]), int(right[j])) for i, j in zip(*np.nonzero(hit), strict=True)]
+
+        def parts(edges):
+            root = {k: k for k in range(2 * m)}
+            for a, b in edges:
+                a, b = root[a], root[b]
+                root = {k: min(a, b) if r in (a, b) else r for k, r in root.items()}
+            return root
+
+        got = list(near.forest(left, right, hit))
+        assert set(got) <= set(edges) and parts(got) == parts(edges) and len(got) == sum(k != r for k, r in parts(edges).items())
+
+
+@pytest.mark.parametrize("dense", [near.DENSE, 0])
+def test_hot_groups_are_dealt_by_tiles(spark, monkeypatch, dense):
+    monkeypatch.setattr(near, "GROUP_TILE", 8)
+    monkeypatch.setattr(near, "TILE", 8)
+    monkeypatch.setattr(near, "DENSE", dense)
+    base = prose(150)
+    texts = [changed(base, k % 8) for k in range(90)] + [prose(80) for _ in range(10)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    assert {r["doc_id"] for r in corpus_pipeline.near_duplicates(spark, df, "").collect()} == brute_keepers(texts)
+
+
+def test_near_duplicates_are_all_pairs_of_similarity(spark):
+    texts = [prose(RNG.randint(1, 200)) for _ in range(40)]
+    for n in (6, 9, 30, 100, 300, 600):
+        base = prose(n)
+        texts += [base, base.upper() + "!", base + " tail", *(changed(base, min(n, k)) for k in (1, 2, 4, 7, 9, 14, 20))]
+    texts += ["", "...", "one two", "One, two", *(f"{prose(60)} {' '.join(WORDS[:50])}" for _ in range(30))]
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
     got = {r["doc_id"] for r in corpus_pipeline.near_duplicates(spark, df, "").collect()}
-    assert got == {top(i) for i in range(len(texts))}
+    assert got == brute_keepers(texts)
 
 
 def test_repeats_of_more_than_fifty_words_go(spark):
