@@ -12,8 +12,9 @@ the ``CORE`` bytes that follow that anchor lie inside the string. Hence:
    length it shares with the last winner, a longer shared length wins without looking at a byte, and bytes are compared
    only beyond it. The merge so yields the order and the shared lengths at once.
 3. In a class of equal cores a string at offset o before the anchor is repeated if two members agree in o bytes to the
-   left and LENGTH - o to the right. Small classes compare pairs; larger ones number, for every o, the classes of equal
-   left and right parts and look for two members with both numbers equal: work in proportion to members, not pairs.
+   left and LENGTH - o to the right. Small classes compare pairs; those of more than ``PAIRS`` members number, for every
+   o, the classes of equal left and right parts and look for two members with both numbers equal: work in proportion to
+   members, not pairs.
 4. Cores with more than ``hot`` members never meet in a task: their strings are hashed at each o and counted by
    partial aggregation instead, which gives the same strings.
 
@@ -36,7 +37,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from caseledger.llm.common import fresh, materialize
+from caseledger.llm.common import fresh, key_filter, materialize, release_worker, small_batches
 
 LENGTH, WINDOW, GRAM = 400, 160, 16
 CORE = LENGTH - WINDOW + 1
@@ -46,6 +47,8 @@ CODE = 6
 DIGEST = 16
 #: A class of equal cores with more members than this is counted by hashes of strings.
 HOT = 20_000
+#: Up to so many members a class is compared by pairs, as arrays.
+PAIRS = 256
 RUN_ITEMS = 50_000
 _MIX = np.array([(i * 0x9E3779B1 + 0x7F4A7C15) & 0xFFFFFFFF for i in range(256)], dtype=np.uint32)
 _MIX ^= _MIX >> np.uint32(15)
@@ -186,6 +189,25 @@ def merge_runs(runs: list[Run]) -> Iterator[tuple[int, bytes, tuple[bytes, int]]
             node >>= 1
 
 
+def _lcp(step: np.ndarray) -> np.ndarray:
+    """Shared lengths of all pairs of a sorted list, above the diagonal, from those of neighbours."""
+    m = len(step)
+    return np.minimum.accumulate(np.where(np.arange(m)[None, :] > np.arange(m)[:, None], step[None, :], np.iinfo(np.int32).max), axis=1)
+
+
+def _by_pairs(rr: np.ndarray, ll: np.ndarray, place: np.ndarray, side: int) -> np.ndarray:
+    """valid[o + 1, i]: whether some other member agrees with i in o bytes to the left and side - o to the right."""
+    m = len(rr)
+    i, j = np.triu_indices(m, 1)
+    low = side - _lcp(rr)[i, j]
+    a, b = place[i], place[j]
+    high = _lcp(ll)[np.minimum(a, b), np.maximum(a, b)]
+    hit = high >= low
+    low, high, at = np.tile(low[hit], 2), np.tile(high[hit], 2), np.concatenate([i[hit], j[hit]])
+    change = np.bincount((low + 1) * m + at, minlength=(side + 3) * m) - np.bincount((high + 2) * m + at, minlength=(side + 3) * m)
+    return np.cumsum(change.reshape(side + 3, m), axis=0)[: side + 2] > 0
+
+
 def class_strings(right: list[int], lefts: list[bytes], side: int = SIDE) -> list[tuple[int, int, int]]:
     """(member, least o, greatest o) of the repeated strings of a class of equal cores.
 
@@ -193,41 +215,47 @@ def class_strings(right: list[int], lefts: list[bytes], side: int = SIDE) -> lis
     bytes before the anchors, backwards.
     """
     m = len(lefts)
-    if m <= 8:
-        out = []
-        for i in range(m):
-            r = side
-            for j in range(i + 1, m):
-                r = min(r, right[j])
-                low, high = side - r, shared(lefts[i], lefts[j])
-                if high >= low:
-                    out += [(i, low, high), (j, low, high)]
-        return out
+    if m == 2:
+        low, high = side - right[1], shared(lefts[0], lefts[1])
+        return [(0, low, high), (1, low, high)] if high >= low else []
     order = sorted(range(m), key=lefts.__getitem__)
     ll = np.array([0] + [shared(lefts[order[i - 1]], lefts[order[i]]) for i in range(1, m)])
     rr, place = np.array(right), np.empty(m, dtype=np.int64)
     place[order] = np.arange(m)
-    valid = np.zeros((side + 2, m), dtype=bool)
-    for o in range(side + 1):
-        new_r, new_l = rr < side - o, ll < o
-        new_r[0] = new_l[0] = True
-        both = np.cumsum(new_r) * (m + 1) + np.cumsum(new_l)[place]
-        _, inverse, counts = np.unique(both, return_inverse=True, return_counts=True)
-        valid[o + 1] = counts[inverse] > 1
+    if m <= PAIRS:
+        valid = _by_pairs(rr, ll, place, side)
+    else:
+        valid = np.zeros((side + 2, m), dtype=bool)
+        for o in range(side + 1):
+            new_r, new_l = rr < side - o, ll < o
+            new_r[0] = new_l[0] = True
+            both = np.cumsum(new_r) * (m + 1) + np.cumsum(new_l)[place]
+            _, inverse, counts = np.unique(both, return_inverse=True, return_counts=True)
+            valid[o + 1] = counts[inverse] > 1
     edge = np.diff(np.concatenate([valid, np.zeros((1, m), dtype=bool)]).astype(np.int8), axis=0)
     starts, ends = np.nonzero(edge.T == 1), np.nonzero(edge.T == -1)
     return [(int(i), int(a), int(b) - 1) for i, a, b in zip(starts[0], starts[1], ends[1], strict=True)]
 
 
-def _unique_rows(batches, tid_at: int, text_at: int) -> Iterator[tuple[bytes, bytes, int, object]]:
-    """(tid, text bytes, row, batch) of the first row of each text in a task."""
+def _first_texts(batches, view=None, wanted=None, own: int | None = None) -> Iterator[tuple[int, bytes, bytes, bytes, int, pa.RecordBatch]]:
+    """(key, tid, text bytes, what view makes of them, row, batch) of the first row of each text in a task.
+
+    Columns: key, tid, text. wanted: a broadcast filter of keys; view may give None for texts to leave out; own: a column
+    that has to hold the tid as well (rows that were joined by key alone).
+    """
     seen: set[bytes] = set()
     for b in batches:
-        texts = b.column(text_at).cast(pa.binary())
-        for i, t in enumerate(b.column(tid_at).to_pylist()):
-            if t not in seen:
+        keys = b.column(0).to_numpy()
+        rows = np.flatnonzero(wanted.value.may_hold(keys)) if wanted is not None else np.arange(len(b))
+        texts, tids = b.column(2).cast(pa.binary()), b.column(1)
+        for i in rows.tolist():
+            t = tids[i].as_py()
+            if t not in seen and (own is None or b.column(own)[i].as_py() == t):
                 seen.add(t)
-                yield t, texts[i].as_py(), i, b
+                raw = texts[i].as_py()
+                made = view(raw) if view else raw
+                if made is not None:
+                    yield int(keys[i]), t, raw, made, i, b
 
 
 def _batched(rows: Iterator[tuple], schema: pa.Schema, size: int = 20_000) -> Iterator[pa.RecordBatch]:
@@ -246,53 +274,73 @@ RUN_DDL = "bucket int, lcp binary, rest_len binary, rest binary, left_len binary
 SPAN_SCHEMA = pa.schema([("tid", pa.binary()), ("start", pa.int64()), ("end", pa.int64())])
 
 
-def repeated_spans(texts: DataFrame, hot: int = HOT, length: int = LENGTH) -> tuple[DataFrame, DataFrame]:
-    """(tid, start, end) of repeated strings, and the texts dealt by tid. texts: tid, text; copies may repeat."""
+TEXT_DDL = "key long, tid binary, text binary"
+_TEXT = pa.schema([("key", pa.int64()), ("tid", pa.binary()), ("text", pa.binary())])
+
+
+def _sized(rows: Iterator[tuple], schema: pa.Schema, most: int = 4_000_000) -> Iterator[pa.RecordBatch]:
+    """Batches of rows whose last value is a text, of about ``most`` bytes."""
+    held, size = [], 0
+    for r in rows:
+        held.append(r)
+        size += len(r[-1])
+        if size >= most:
+            yield from _batched(iter(held), schema)
+            held, size = [], 0
+    yield from _batched(iter(held), schema)
+
+
+def wanted_texts(texts: DataFrame, keys: DataFrame, view=None) -> DataFrame:
+    """(key, tid, text) of the texts whose key is in ``keys`` (a filter lets few others pass), dealt by key.
+
+    view makes the text that goes on. Each task sends a text once. They are dealt by an exchange that adaptive execution
+    never splits, so all copies of a text meet in one task, which drops all but the first.
+    """
+    wanted = texts.sparkSession.sparkContext.broadcast(key_filter(keys, "key"))  # at most 8 MB
+
+    def some(batches):
+        release_worker()
+        make = view() if view else None
+        yield from _sized(((key, tid, made) for key, tid, _, made, *_ in _first_texts(batches, make, wanted)), _TEXT)
+
+    return texts.mapInArrow(some, TEXT_DDL).repartition("key")
+
+
+def repeated_spans(texts: DataFrame, hot: int = HOT, length: int = LENGTH, view=None) -> DataFrame:
+    """(tid, start, end) of repeated strings. texts: key, tid, text; copies may repeat; key is a hash of tid.
+
+    view: makes, once a task, the function that gives the bytes to search from a text's (None: leave the text out).
+    """
     spark = texts.sparkSession
     side = window_of(length) - 1
     core = length - side
     buckets = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
 
-    def unique(batches):
-        for b in batches:
-            keep: dict = {}
-            for i, t in enumerate(b.column(0).to_pylist()):
-                keep.setdefault(t, i)
-            yield b.take(pa.array(list(keep.values()), pa.int64()))
-
     def cores(batches):
-        def rows():
-            for tid, raw, *_ in _unique_rows(batches, 0, 1):
-                b = np.frombuffer(raw, np.uint8)
-                at = anchors(b, length)
-                h = np.array([xxhash.xxh64_intdigest(raw[p : p + core]) for p in at.tolist()], dtype=np.uint64).view(np.int64)
-                yield tid, at, h
-
-        for tid, at, h in rows():
-            if len(at):
-                yield pa.RecordBatch.from_arrays([pa.array(h), pa.array([tid] * len(at), pa.binary()), pa.array(at.astype(np.int32))], names=["h", "tid", "pos"])
-
-    def joined(batches):
-        """Small batches of one text each as fewer, larger ones."""
+        release_worker()
         held, n = [], 0
-        for b in cores(batches):
-            held.append(b)
-            n += len(b)
+        for key, _, _, raw, *_ in _first_texts(batches, view() if view else None):
+            at = anchors(np.frombuffer(raw, np.uint8), length)
+            if len(at):
+                h = np.fromiter((xxhash.xxh64_intdigest(raw[p : p + core]) for p in at.tolist()), dtype=np.uint64, count=len(at)).view(np.int64)
+                held.append((h, np.full(len(at), key, dtype=np.int64), at.astype(np.int32)))
+                n += len(at)
             if n > 20_000:
-                yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*held, strict=True)], names=["h", "key", "pos"])
                 held, n = [], 0
         if held:
-            yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*held, strict=True)], names=["h", "key", "pos"])
 
-    once = texts.mapInArrow(unique, texts.schema)
-    found = once.mapInArrow(joined, "h long, tid binary, pos int")
+    found = materialize(texts.mapInArrow(cores, "h long, key long, pos int"), "anchors")
     # A core that only recurs as a copy of its own text costs a look, not a wrong answer.
     # Written, so that the join deals both sides anew and a core that a third of the texts share can be split.
     counts = materialize(found.groupBy("h").agg(F.count("*").alias("n")).filter("n > 1"), "cores")
-    cand = found.join(counts, "h").groupBy("tid").agg(F.collect_set(F.when(F.col("n") <= hot, F.col("pos"))).alias("at"), F.collect_set(F.when(F.col("n") > hot, F.col("pos"))).alias("hot_at"))
-    placed = once.join(cand.hint("shuffle_hash"), "tid")
+    cand = found.join(counts, "h").groupBy("key").agg(F.collect_set(F.when(F.col("n") <= hot, F.col("pos"))).alias("at"), F.collect_set(F.when(F.col("n") > hot, F.col("pos"))).alias("hot_at"))
+    cand = materialize(cand, "suffix-places")
+    placed = wanted_texts(texts, cand, view).join(cand.hint("shuffle_hash"), "key").select("key", "tid", "text", "at", "hot_at")
 
     def runs(batches):
+        release_worker()
         held: list[list] = [[] for _ in range(buckets)]
         n = 0
 
@@ -304,9 +352,11 @@ def repeated_spans(texts: DataFrame, hot: int = HOT, length: int = LENGTH) -> tu
 
         def rows():
             nonlocal held, n
-            for tid, raw, i, b in _unique_rows(batches, b_tid, b_text):
-                for p in b.column(b_at)[i].as_py():
-                    digest = xxhash.xxh3_128_digest(raw[p : p + core])
+            for _, tid, raw, _, i, b in _first_texts(batches):
+                for p in b.column(3)[i].as_py():
+                    if p + core > len(raw):
+                        continue
+                    digest = hashlib.sha256(raw[p : p + core]).digest()[:DIGEST]
                     held[int.from_bytes(digest[:4], "big") * buckets >> 32].append((digest + raw[p + core : p + length], raw[max(0, p - side) : p][::-1], tid, p))
                     n += 1
                 if n >= RUN_ITEMS:
@@ -316,11 +366,11 @@ def repeated_spans(texts: DataFrame, hot: int = HOT, length: int = LENGTH) -> tu
 
         yield from _batched(rows(), RUN_SCHEMA, 64)
 
-    names = placed.columns
-    b_tid, b_text, b_at, b_hot = (names.index(x) for x in ("tid", "text", "at", "hot_at"))
     dealt = placed.filter(F.size("at") > 0).mapInArrow(runs, RUN_DDL).repartition(buckets, "bucket").sortWithinPartitions("bucket")
 
     def merged(batches):
+        release_worker()
+
         def classes():
             now, held = None, []
             for b in batches:
@@ -359,19 +409,21 @@ def repeated_spans(texts: DataFrame, hot: int = HOT, length: int = LENGTH) -> tu
     spans = dealt.mapInArrow(merged, "tid binary, start long, end long")
 
     def hot_strings(batches):
+        release_worker()
+
         def rows():
-            for tid, raw, i, b in _unique_rows(batches, b_tid, b_text):
-                at = sorted({p - o for p in b.column(b_hot)[i].as_py() for o in range(min(p, side) + 1) if p - o + length <= len(raw)})
+            for _, tid, raw, _, i, b in _first_texts(batches):
+                at = sorted({p - o for p in b.column(4)[i].as_py() for o in range(min(p, side) + 1) if p - o + length <= len(raw)})
                 for s in at:
-                    d = xxhash.xxh3_128_intdigest(raw[s : s + length])
-                    yield (d >> 64) - (1 << 63), (d & (1 << 64) - 1) - (1 << 63), tid, s
+                    d = hashlib.sha256(raw[s : s + length]).digest()
+                    yield int.from_bytes(d[:8], "big", signed=True), int.from_bytes(d[8:16], "big", signed=True), tid, s
 
         yield from _batched(rows(), pa.schema([("d1", pa.int64()), ("d2", pa.int64()), ("tid", pa.binary()), ("start", pa.int64())]))
 
     shown = placed.filter(F.size("hot_at") > 0).mapInArrow(hot_strings, "d1 long, d2 long, tid binary, start long")
-    often = shown.groupBy("d1", "d2").agg(F.count("*").alias("n")).filter("n > 1")
-    spans = spans.unionAll(shown.join(often, ["d1", "d2"]).select("tid", "start", (F.col("start") + length).alias("end")))
-    return spans, once
+    # Written as well, so that a hot string's join can be split.
+    often = materialize(shown.groupBy("d1", "d2").agg(F.count("*").alias("n")).filter("n > 1").select("d1", "d2"), "hot-strings")
+    return spans.unionAll(shown.join(often, ["d1", "d2"]).select("tid", "start", (F.col("start") + length).alias("end")))
 
 
 def union_spans(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -408,7 +460,19 @@ class _Codes(dict):
         return h
 
 
-def passage_spans(texts: DataFrame, words: int, hot: int = HOT) -> tuple[DataFrame, DataFrame]:
+def word_codes():
+    """A function from a text's bytes to ``CODE`` bytes for each of its words."""
+    known = _Codes()
+
+    def code(raw: bytes) -> bytes:
+        w = raw.split()
+        h = np.fromiter(map(known.__getitem__, w), dtype="<u8", count=len(w))
+        return h.view(np.uint8).reshape(-1, 8)[:, :CODE].tobytes()
+
+    return code
+
+
+def passage_spans(texts: DataFrame, words: int, hot: int = HOT) -> DataFrame:
     """(tid, start, end, unit) of passages of ``words`` words, or of LENGTH bytes with fewer words, that start at two places.
 
     Each word becomes a code of CODE bytes, so that the search for strings of words * CODE bytes finds passages of words
@@ -416,46 +480,28 @@ def passage_spans(texts: DataFrame, words: int, hot: int = HOT) -> tuple[DataFra
     texts where they can hold fewer words (long words, scripts without spaces).
     """
 
-    def few(batches):
-        for b in batches:
-            texts = b.column(1).cast(pa.binary())
-            yield b.filter(pa.array([sparse(t.as_py(), words) for t in texts], pa.bool_()))
-
-    def coded(batches):
-        known = _Codes()
-        for b in batches:
-            for at in range(0, len(b), 200):
-                part = b.slice(at, 200)
-                codes = []
-                for t in part.column(1).cast(pa.binary()).to_pylist():
-                    w = t.split()
-                    h = np.fromiter(map(known.__getitem__, w), dtype="<u8", count=len(w))
-                    codes.append(h.view(np.uint8).reshape(-1, 8)[:, :CODE].tobytes())
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(codes, pa.binary())], names=["tid", "text"])
-
-    source = texts.select("tid", "text")
-    by_bytes, _ = repeated_spans(source.mapInArrow(few, source.schema), hot)
-    by_words, _ = repeated_spans(source.mapInArrow(coded, "tid binary, text binary"), hot, words * CODE)
-    return by_bytes.withColumn("unit", F.lit(1)).unionAll(by_words.withColumn("unit", F.lit(CODE))), source
+    def few():
+        return lambda raw: raw if sparse(raw, words) else None
+
+    by_bytes = repeated_spans(texts, hot, LENGTH, few)
+    by_words = repeated_spans(texts, hot, words * CODE, word_codes)
+    return by_bytes.withColumn("unit", F.lit(1)).unionAll(by_words.withColumn("unit", F.lit(CODE)))
 
 
 def removed_texts(texts: DataFrame, hot: int = HOT, with_text: bool = False, words: int | None = None) -> DataFrame:
-    """(tid, n_removed, n_spans, kept_sha256[, kept]) of the texts that lose bytes. texts: one row per document.
+    """(tid, n_removed, n_spans, kept_sha256[, kept]) of the texts that lose bytes. texts: key, tid, text of every document.
 
     With ``words``, passages of so many words go as well, whatever their bytes.
     """
     if words:
-        spans, once = passage_spans(texts, words, hot)
-        least = min(LENGTH, 2 * words - 1)
+        spans, least = passage_spans(texts, words, hot), min(LENGTH, 2 * words - 1)
     else:
-        spans, once = repeated_spans(texts, hot)
-        spans, least = spans.withColumn("unit", F.lit(1)), LENGTH
+        spans, least = repeated_spans(texts, hot).withColumn("unit", F.lit(1)), LENGTH
     copies = texts.groupBy("tid").agg(F.count("*").alias("n"), F.max(F.octet_length("text")).alias("size")).filter((F.col("n") > 1) & (F.col("size") >= least))
     whole = copies.select("tid", F.lit(0).cast("long").alias("start"), F.col("size").cast("long").alias("end"), F.lit(0).alias("unit"))
-    by_text = spans.unionAll(whole).groupBy("tid").agg(F.collect_set(F.struct("start", "end", "unit")).alias("spans"))
-    placed = once.join(by_text.hint("shuffle_hash"), "tid")
-    names = placed.columns
-    at = [names.index(x) for x in ("tid", "text", "spans")]
+    by_text = spans.unionAll(whole).groupBy("tid").agg(F.collect_set(F.struct("start", "end", "unit")).alias("spans")).withColumn("key", F.xxhash64("tid"))
+    by_text = materialize(by_text, "spans")
+    placed = wanted_texts(texts, by_text).join(by_text.withColumnRenamed("tid", "own").hint("shuffle_hash"), "key").select("key", "tid", "text", "spans", "own")
     kinds = pa.schema([("tid", pa.binary()), ("n_removed", pa.int64()), ("n_spans", pa.int64()), ("kept_sha256", pa.string()), *([("kept", pa.string())] if with_text else [])])
 
     def in_bytes(raw, found):
@@ -469,9 +515,11 @@ def removed_texts(texts: DataFrame, hot: int = HOT, with_text: bool = False, wor
                 yield s["start"], s["end"]
 
     def cut(batches):
+        release_worker()
+
         def rows():
-            for tid, raw, i, b in _unique_rows(batches, at[0], at[1]):
-                spans = union_spans(list(in_bytes(raw, b.column(at[2])[i].as_py())))
+            for _, tid, raw, _, i, b in _first_texts(batches, own=4):
+                spans = union_spans(list(in_bytes(raw, b.column(3)[i].as_py())))
                 if not spans:
                     continue
                 kept, last = [], 0
@@ -483,19 +531,25 @@ def removed_texts(texts: DataFrame, hot: int = HOT, with_text: bool = False, wor
                 out = (tid, sum(e - s for s, e in spans), len(spans), hashlib.sha256(rest).hexdigest())
                 yield (*out, rest.decode("utf-8", "ignore")) if with_text else out
 
-        yield from _batched(rows(), kinds, 500 if with_text else 20_000)
+        yield from _sized(rows(), kinds)
 
     return placed.mapInArrow(cut, "tid binary, n_removed long, n_spans long, kept_sha256 string" + (", kept string" if with_text else ""))
 
 
 def _with_tid(docs: DataFrame, text_col: str, text: str, tid: str) -> DataFrame:
-    return docs.withColumn(text, F.coalesce(F.col(text_col), F.lit(""))).withColumn(tid, F.unhex(F.md5(F.col(text).cast("binary"))))
+    """docs with the text, never null, and its identity: 128 bits of its SHA-256, which no crafted text can share."""
+    small_batches(docs.sparkSession)
+    return docs.withColumn(text, F.coalesce(F.col(text_col), F.lit(""))).withColumn(tid, F.unhex(F.substring(F.sha2(F.col(text).cast("binary"), 256), 1, 2 * DIGEST)))
+
+
+def _texts(keyed: DataFrame, text: str, tid: str) -> DataFrame:
+    return keyed.select(F.xxhash64(F.col(tid)).alias("key"), F.col(tid).alias("tid"), F.col(text).alias("text"))
 
 
 def repeat_digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", hot: int = HOT) -> DataFrame:
     """(doc_id, n_bytes, n_removed, n_spans, kept_sha256) of every row."""
     keyed = _with_tid(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")), "text", "_text", "_tid")
-    removed = removed_texts(keyed.select(F.col("_tid").alias("tid"), F.col("_text").alias("text")), hot)
+    removed = removed_texts(_texts(keyed, "_text", "_tid"), hot)
     rows = keyed.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("_tid").alias("tid"), F.octet_length("_text").cast("long").alias("n_bytes"), F.sha2(F.col("_text").cast("binary"), 256).alias("sha"))
     zero = F.lit(0).cast("long")
     return rows.join(removed, "tid", "left").select("doc_id", "n_bytes", F.coalesce("n_removed", zero).alias("n_removed"), F.coalesce("n_spans", zero).alias("n_spans"), F.coalesce("kept_sha256", "sha").alias("kept_sha256"))
@@ -510,7 +564,7 @@ def remove_repeats(docs: DataFrame, text_col: str = "text", size_col: str | None
     """
     text, tid, kept = fresh(docs, "_text", "_tid", "_kept")
     keyed = _with_tid(docs, text_col, text, tid)
-    removed = removed_texts(keyed.select(F.col(tid).alias("tid"), F.col(text).alias("text")), hot, with_text=True, words=words).select(F.col("tid").alias(tid), F.col("kept").alias(kept))
+    removed = removed_texts(_texts(keyed, text, tid), hot, with_text=True, words=words).select(F.col("tid").alias(tid), F.col("kept").alias(kept))
     out = keyed.join(removed, tid, "left").withColumn(text_col, F.coalesce(kept, F.col(text_col)))
     if size_col and size_col in docs.columns:
         out = out.withColumn(size_col, F.when(F.col(kept).isNull(), F.col(size_col)).otherwise(F.length(text_col)).cast(docs.schema[size_col].dataType))
