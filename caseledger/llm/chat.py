@@ -86,8 +86,18 @@ def read_turn(formatted: str, template: Template) -> tuple[str, str]:
     return found["{role}"], found["{text}"]
 
 
+def render(segments: list[tuple[str, bool]]) -> tuple[str, list[tuple[int, int]]]:
+    """The formatted string and its loss mask: the ranges of code points that count for the loss."""
+    at, mask = 0, []
+    for s, flag in segments:
+        if flag:
+            mask.append((at, at + len(s)))
+        at += len(s)
+    return "".join(s for s, _ in segments), mask
+
+
 class Conversation:
-    """Running digests of one conversation, all of them taken from what is read back."""
+    """Running digests of one conversation, all of them taken from the formatted string and its mask, read back."""
 
     def __init__(self, ident, template: Template):
         self.ident, self.template, self.state = ident, template, template.start
@@ -95,23 +105,21 @@ class Conversation:
         self.n = self.loss_chars = self.chars = 0
         self.bad: int | None = None
 
-    def add(self, role: str, text: str, sink: list[tuple[str, bool]] | None = None) -> None:
+    def add(self, role: str, text: str) -> None:
         moved = self.template.moves.get((self.state, role))
         if moved is None and self.bad is None:
             self.bad = self.n
         self.state = moved or role
-        segments = list(format_turn(role, text, self.template))
-        if sink is not None:
-            sink.extend(segments)
-        formatted = "".join(s for s, _ in segments)
+        self.read(*render(list(format_turn(role, text, self.template))))
+
+    def read(self, formatted: str, mask: list[tuple[int, int]]) -> None:
         self.chars += len(formatted)
-        back_role, back_text = read_turn(formatted, self.template)
-        self.turns.update(f"{back_role}\n{back_text}\n".encode("utf-8", "surrogatepass"))
-        for s, flag in segments:
-            if flag:
-                plain = unescape(s)
-                self.loss_chars += len(plain)
-                self.loss.update(plain.encode("utf-8", "surrogatepass"))
+        role, text = read_turn(formatted, self.template)
+        self.turns.update(f"{role}\n{text}\n".encode("utf-8", "surrogatepass"))
+        for start, end in mask:
+            plain = unescape(formatted[start:end])
+            self.loss_chars += len(plain)
+            self.loss.update(plain.encode("utf-8", "surrogatepass"))
         self.n += 1
 
     def row(self) -> tuple:
