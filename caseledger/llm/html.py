@@ -26,18 +26,25 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from caseledger.llm.toxicity import worker_scorer
+from caseledger.llm.common import worker_state
 
 PATH_BUCKETS, WORD_BUCKETS, PATH_DIM, WORD_DIM, COUNTS, HIDDEN = 1 << 11, 1 << 12, 20, 8, 5, 20
 MAX_PAGES = 400
-MAX_TRAIN_BLOCKS = 80
-CACHE = 200_000
+#: Words, by hash, of which pages are composed; blocks of a training sequence.
+MAX_WORDS, TRAIN_WINDOW = 20_000, 80
+CACHE = 100_000
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd label mark q s samp small span strike strong sub sup time tt u var wbr".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 CLOSES_P = frozenset("address article aside blockquote details div dl fieldset figure footer form h1 h2 h3 h4 h5 h6 header hr main nav ol p pre section table ul".split())
 HEADINGS = frozenset(("h1", "h2", "h3", "h4", "h5", "h6"))
 CLOSED_BY_SAME = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table"}, "td": {"tr", "table"}, "th": {"tr", "table"}, "option": {"select"}}
-_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(script|style|noscript|template|svg|math|iframe|object|canvas|audio|video|select|datalist)\b[^>]*>.*?(?:</\1\s*>|\Z)|<!?[/?]?[a-zA-Z][^<>]*(?:>|\Z)|[^<]+|<", re.S | re.I)
+#: The rest of a tag: quoted values may hold any character, ">" included.
+_REST = r"""(?>=\s*"[^"]*"|=\s*'[^']*'|[^>])*"""
+_TOKEN = re.compile(
+    rf"<!--.*?(?:-->|\Z)|<(script|style|noscript|template|svg|math|iframe|object|canvas|audio|video|select|datalist)\b{_REST}>.*?(?:</\1\s*>|\Z)"
+    rf"|<[!?][a-zA-Z][^>]*(?:>|\Z)|</?[a-zA-Z]{_REST}(?:>|\Z)|[^<]+|<",
+    re.S | re.I,
+)
 _TAG = re.compile(r"<(/?)([a-zA-Z][a-zA-Z0-9:-]*)", re.S)
 _NAMES = re.compile(r"""(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>"']+))""", re.I)
 _WORDS = re.compile(r"[A-Za-z][a-z]*")
@@ -337,15 +344,16 @@ def composed_page(rng: np.random.Generator, words: list[str]) -> tuple[list, lis
     return page, labels
 
 
-def train(sample: list[str], seed: int = 11, epochs: int = 10, rate: float = 0.01) -> Labeller:
+def train(sample: list[str], seed: int = 11, epochs: int = 10, rate: float = 0.01, max_words: int = MAX_WORDS) -> Labeller:
     rng = np.random.default_rng(seed)
     pages = [(b, l) for b in (blocks(p) for p in sample) if b and (l := markup_labels(b))]
-    words = sorted({w for b, _ in pages for _, t, _ in b for w in t.split(" ")[:200]})[:20_000] or ["the", "of", "and", "a", "to", "in"]
+    words = sorted({w for b, _ in pages for _, t, _ in b for w in t.split(" ")}, key=lambda w: (zlib.crc32(w.encode("utf-8", "surrogatepass")), w))[:max_words] or ["the", "of", "and", "a", "to", "in"]
     for _ in range(2 * MAX_PAGES):
         b, l = composed_page(rng, words)
         if b:
             pages.append((b, l))
-    pages = [(b[:MAX_TRAIN_BLOCKS], l[:MAX_TRAIN_BLOCKS]) for b, l in pages]  # of the training pages only
+    # A long page is learnt from in windows of its blocks, from its first to its last.
+    pages = [(b[k : k + TRAIN_WINDOW], l[k : k + TRAIN_WINDOW]) for b, l in pages for k in range(0, len(b), TRAIN_WINDOW)]
     width = PATH_DIM + WORD_DIM + COUNTS
     init = lambda *s: rng.normal(0, 0.2, s).astype(np.float32)
     m = Labeller(init(PATH_BUCKETS, PATH_DIM), init(WORD_BUCKETS, WORD_DIM) * 0.5, init(2, width, 4 * HIDDEN), init(2, HIDDEN, 4 * HIDDEN), np.zeros((2, 4 * HIDDEN), np.float32), init(width + 2 * HIDDEN), np.zeros(1, np.float32))
@@ -404,7 +412,7 @@ def extract_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url"
     shared = pages.sparkSession.sparkContext.broadcast(train([r["h"] for r in sample]))  # under 1 MB whatever the table
 
     def run(batches):
-        reader = worker_scorer(shared, Reader)
+        reader = worker_state(shared, lambda: Reader(shared.value))
         for b in batches:
             texts, n = [], []
             for at in range(0, len(b), 512):
