@@ -155,6 +155,19 @@ def test_decontamination(spark):
     assert {(r.doc_id, r.item_id) for r in got.collect()} == want and len(want) >= 10
 
 
+def test_sketches_are_minimum_hashes_and_lose_no_match(spark):
+    items = [" ".join(f"w{i}x{j}" for j in range(n)) for i, n in enumerate([1, 3, 5, 6, 8, 9, 12, 19, 20, 36, 67, 68, 131, 400])]
+    rows = decontam.item_sketches(spark.createDataFrame([(t,) for t in items], "text string"), "text").collect()
+    assert len(rows) == len(items)
+    for r in rows:
+        hashes = sorted(g.h for g in r.grams)
+        assert r.n == len(hashes) and r.need == -(-4 * r.n // 5) and r.sketch == hashes[: len(r.sketch)]
+        largest = 2 ** r.n.bit_length() - 1
+        assert len(r.sketch) == min(r.n, largest - -(-4 * largest // 5) + decontam.SPARE)
+        # Whatever n - need shingles a document lacks, it has this many of the sketch.
+        assert r.hits == len(r.sketch) - (r.n - r.need) >= min(decontam.SPARE, r.need)
+
+
 @pytest.mark.parametrize("law", ["bytes", "rows"])
 def test_sharding(spark, law):
     rows = [(i, prose(RNG.randint(1, 60))) for i in range(900)] + [(1000 + i, "the same hot text") for i in range(500)]
@@ -177,18 +190,34 @@ def test_sharding(spark, law):
     assert max(loads.values()) - min(loads.values()) <= 2 * max(weight.values())
 
 
-def test_media(spark):
+@pytest.mark.parametrize("law", ["bytes", "rows"])
+def test_sharding_cuts_repeated_rows(spark, law, monkeypatch):
+    monkeypatch.setattr(sharding, "BIN_ROWS", 200)
+    rows = [(i, prose(RNG.randint(1, 60))) for i in range(1000)] + [(7777, "the same row again and again")] * 4000
+    got = sharding.shard_documents(spark.createDataFrame(rows, "doc_id long, text string").repartition(5), 16, law).collect()
+    assert sorted(r.doc_id for r in got) == sorted(i for i, _ in rows)
+    loads, slots = Counter(), {}
+    for r in got:
+        loads[r.shard] += r.size if law == "bytes" else 1
+        slots.setdefault(r.shard, []).append(r.slot)
+    assert all(sorted(x) == list(range(len(x))) for x in slots.values())
+    assert len(loads) == 16 and max(loads.values()) - min(loads.values()) <= (2 * max(r.size for r in got) if law == "bytes" else 1)
+
+
+def test_media(spark, tmp_path):
     long = prose(9000)
     texts = planted() + [long, "z" + long, long[3000:], "\0" * 100]
-    got = {r.doc_id: r for r in media.media_features(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)).collect()}
+    path = str(tmp_path / "store")
+    got = {r.doc_id: r for r in media.media_features(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3), path=path).collect()}
+    stored = {(len(r.media), hashlib.sha256(r.media).hexdigest()) for r in spark.read.parquet(path).collect()}
+    assert {(r.media_bytes, r.media_sha256) for r in got.values()} == stored and len(stored) == len(set(texts))
     for i, t in enumerate(texts):
         p = media.payload(t)
         parts = media.chunks(p)
         assert b"".join(parts) == p and all(len(c) <= media.MOST for c in parts)
-        form = media.stored_form(parts, [hashlib.sha256(c).digest() for c in parts])
         r = got[i]
         assert (r.n_bytes, r.payload_bytes, r.payload_sha256) == (len(t.encode()), len(p), hashlib.sha256(p).hexdigest())
-        assert (r.tail_crc32, r.media_bytes, r.media_sha256) == (zlib.crc32(p[-64:]), len(form), hashlib.sha256(form).hexdigest())
+        assert r.tail_crc32 == zlib.crc32(p[-64:])
     assert sum(r.n_foreign for r in got.values()) > 5  # shared chunks are stored once
 
 
@@ -255,6 +284,32 @@ def test_html_on_composed_pages():
     assert wrong / sum(len(y) for _, y in made) < 0.05
 
 
+def test_html_quoted_attributes_are_markup():
+    texts = lambda page: [t for _, t, _ in html.blocks(page)]
+    assert texts('<p title="a > b">q') == ["q"]
+    assert texts('<p data-x="<nav>">hello</p>') == ["hello"]
+    assert texts("<p title='x>\"y'>a</p><script type=\"a>b\">no</script><p title=it's>b</p>") == ["a", "b"]
+    assert texts('<p class="open>a quote that never closes ends with its tag') == ["a quote that never closes ends with its tag"]
+    assert texts("1 < 2 and <b>3</b> > 2<br>") == ["1 < 2 and 3 > 2"]
+
+
+#: Layouts written by hand; text of the article, in order.
+HAND = [
+    ("<html><head><title>T</title></head><body><div class='top-nav'><a href='/'>Home</a> <a href='/b'>Blog</a></div><article><h1>Bread at home</h1><p>Flour &amp; water make a dough.</p>"
+     "<blockquote>It rises</blockquote></article><section id='comments'><div class='comment'><p>Great recipe, thank you!</p></div></section><footer>Copyright 2020</footer></body></html>", ["Bread at home", "Flour & water make a dough.", "It rises"]),
+    ("<body><header><p>The Daily</p></header><main><h2>Harbour opens</h2><p>The harbour was opened on Monday by the mayor.<p>Boats came from all sides.</main><aside><p>Most read this week</p></aside>"
+     "<form><label>Mail</label><button>Join</button></form></body>", ["Harbour opens", "The harbour was opened on Monday by the mayor.", "Boats came from all sides."]),
+    ("<body><ul class='menu'><li><a href=a>One</a></li><li><a href=b>Two</a></li></ul><div id='content'><h1>On moss</h1><p>Moss grows in the shade.</p><div class='advert'>Buy boots now</div>"
+     "<p>It needs little light.</p></div><div class='cookie-notice'>We use cookies</div></body>", ["On moss", "Moss grows in the shade.", "It needs little light."]),
+]
+
+
+def test_html_on_pages_written_by_hand(spark):
+    rows = [(i, "u", h) for i, (h, _) in enumerate(HAND)]
+    got = {r.page_id: r.text for r in html.extract_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert [got[i] for i in range(len(HAND))] == [" ".join(t) for _, t in HAND]
+
+
 def test_html_blocks():
     page = "<title>t</title><nav><li><a href=x>m</a></nav><article><p>a\n <b>b</b>c<p>d&nbsp;&amp;</article><script>if (a<b) '</p>'</script><style>p{}</style><!-- <p>no -->tail"
     assert [t for _, t, _ in html.blocks(page)] == ["t", "m", "a bc", "d &", "tail"]
