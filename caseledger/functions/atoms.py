@@ -30,10 +30,17 @@ def ceiling_band(value: Column, tops: Sequence[tuple[float | None, object]]) ->
 
 
 def rank_of(atom: Column, precedence: Sequence[str]) -> Column:
-    """Position in the precedence list by case-insensitive substring; unlisted last."""
+    """Position in the precedence list by case-insensitive substring; unlisted last.
+
+    ``Scale`` stands for atoms with a dollar sign, ``Injury`` also for lost time and restricted work."""
     out = None
     for i, p in enumerate(precedence):
-        hit = F.contains(F.lower(atom), F.lit(p.lower()))
+        if p == "Scale":
+            hit = F.contains(atom, F.lit("$"))
+        elif p == "Injury":
+            hit = F.contains(atom, F.lit("Injury")) | atom.startswith("LTA") | atom.startswith("RW/JT")
+        else:
+            hit = F.contains(F.lower(atom), F.lit(p.lower()))
         out = F.when(hit, i) if out is None else out.when(hit, i)
     return out.otherwise(len(precedence))
 
@@ -52,6 +59,23 @@ def lookup(value: Column, table: dict[str, object]) -> Column:
     return out
 
 
+def resolve_types(atoms: Column, outcome: dict, scale: dict, mechanism: dict, response: Sequence[str], precedence: Sequence[str]) -> Column:
+    """struct(type_a, type_b, type_c, type_d).
+
+    Types B and C come from the best-ranked outcome or scale atom alone: a null there is a decision and never gives way to
+    a later atom. Type D is the first value that a mechanism atom has. Any outcome, scale or mechanism atom makes a loss
+    event; a response alone a near hit. outcome and scale: atom -> (B, C); mechanism: atom -> D."""
+    both = {**scale, **outcome}
+    keys = lambda *names: F.array(*[F.lit(n) for d in names for n in d]).cast("array<string>")
+    top = top_atom(F.filter(atoms, lambda a: F.array_contains(keys(both), a)), precedence)
+    first = F.get(F.filter(F.transform(atoms, lambda a: lookup(a, mechanism)), lambda d: d.isNotNull()), F.lit(0))
+    happened, responded = F.arrays_overlap(atoms, keys(both, mechanism)), F.arrays_overlap(atoms, keys(response))
+    return F.struct(
+        F.when(happened, "Loss Event").when(responded, "Near Hit").alias("type_a"), lookup(top, {k: b for k, (b, _) in both.items()}).alias("type_b"),
+        lookup(top, {k: c for k, (_, c) in both.items()}).alias("type_c"), first.alias("type_d"),
+    )
+
+
 #: Hazard energy, outcome floor and observed rate by atom; likelihood and class bands (fixed values).
 ENERGY = {"Blowout": "E", "Explosion": "E", "Fire": "D", "Shutdown from Gas Release": "D", "Collision": "D", "Crane": "D", "Structural Damage": "D", "Pollution": "C"}
 FLOOR = {"Fatality": "E", "LTA >3 days": "C", "LTA 1-3 days": "B", "RW/JT >3 days": "B", "Injury": "B", "RW/JT 1-3 days": "A"}

@@ -75,7 +75,7 @@ VERY_SERIOUS, SERIOUS = ("Fatality", "Blowout", "Explosion"), ("Injury", "LWC",
 
 def severity(types: Column, damage: Column) -> Column:
     """struct(tier, score, financial, money_score, mitigated): worst tier by overlap, mitigation two lower, one at least."""
-    tier = F.when(F.arrays_overlap(types, F.array(*[F.lit(x) for x in VERY_SERIOUS])), "Very Serious").when(F.arrays_overlap(types, F.array(*[F.lit(x) for x in SERIOUS])), "Serious").otherwise("Minor")
+    tier = F.when(F.arrays_overlap(types, F.array(*[F.lit(x) for x in VERY_SERIOUS])), "Very Serious").when(F.arrays_overlap(types, F.array(*[F.lit(x) for x in SERIOUS])), "Serious").otherwise("Incident")
     score = F.when(tier == "Very Serious", 9).when(tier == "Serious", 5).otherwise(2)
     fin = F.when(damage.isNull(), F.lit(None).cast("string")).when(damage <= 25000, "Minor").when(damage <= 500000, "Moderate").otherwise("Major")
     money = F.when(fin == "Minor", 2).when(fin == "Moderate", 5).when(fin == "Major", 9)

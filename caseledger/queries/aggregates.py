@@ -7,7 +7,7 @@ from pyspark.sql.window import Window
 
 from caseledger.functions.dates import regime
 from caseledger.functions.hashing import draw
-from caseledger.operators.aggregates import agreement, consolidate, contingency_scores, total_variation
+from caseledger.operators.aggregates import agreement, consolidate, contingency_scores, disagreements, total_variation
 from caseledger.queries.base import query, sql_mod
 
 
@@ -57,7 +57,7 @@ def agreement_matrix(spark, t):
     return agreement(j, "lang", "quality", "rule")
 
 
-_PASS_SQL = "SELECT o_orderkey AS k, i, CASE " + " ".join(f"WHEN {sql_mod('o_orderkey || ' + chr(39) + '|' + chr(39) + ' || i', 7)} = {n} THEN {v}" for n, v in ((0, "'abstain'"), (1, "NULL"), (2, "'b'"), (3, "'c'"))) + " ELSE 'a' END AS label FROM orders, (SELECT unnest([1, 2, 3]) AS i) WHERE o_orderkey % 4 = 0"
+_PASS_SQL = "SELECT o_orderkey AS k, i, CASE " + " ".join(f"WHEN {sql_mod('o_orderkey || ' + chr(39) + '|' + chr(39) + ' || i', 7)} = {n} THEN {v}" for n, v in ((0, "'abstain'"), (1, "NULL"), (2, "'b'"), (3, "'c'"))) + " ELSE 'a' END AS label FROM orders, (SELECT unnest([1, 2, 3]) AS i)"
 
 
 _VOTE_SQL = """WITH p AS ({}), v AS (SELECT k, label, count(*) AS n, min(i) AS f FROM p WHERE label IS NOT NULL GROUP BY ALL),
@@ -68,12 +68,6 @@ SELECT k, label, n AS votes, CASE WHEN ab OR n <= 1 THEN 'low' WHEN n = 3 THEN '
 @query(_VOTE_SQL.format(_PASS_SQL))
 def consolidate_passes(spark, t):
     """Mode of three passes, first seen among equals; unparsed passes drop out of the vote but count in its size."""
-    return _consolidated(t("orders").filter("o_orderkey % 4 = 0"))
-
-
-@query(_VOTE_SQL.format(_PASS_SQL.removesuffix(" WHERE o_orderkey % 4 = 0")))
-def consolidate_passes_whole(spark, t):
-    """Every order's label, where ``consolidate_passes`` reads every fourth."""
     return _consolidated(t("orders"))
 
 
@@ -161,7 +155,23 @@ def quality_counts(spark, t):
     return one.unpivot([], ["header_drift", "non_ascii", "blank", "padded", "bad_source"], "kind", "n")
 
 
-@query("SELECT o_orderpriority, o_orderstatus, o_totalprice FROM (SELECT *, row_number() OVER (PARTITION BY o_orderpriority ORDER BY o_totalprice DESC, o_orderkey) AS r FROM orders) WHERE r <= 3")
-def disagreement_ranked(spark, t):
+_TOP_SQL = "SELECT o_orderpriority, o_orderstatus, o_totalprice FROM (SELECT *, row_number() OVER (PARTITION BY o_orderpriority ORDER BY o_totalprice DESC, o_orderkey) AS r FROM orders) WHERE r <= 3"
+
+
+@query(_TOP_SQL)
+def top_by_group(spark, t):
     w = Window.partitionBy("o_orderpriority").orderBy(F.desc("o_totalprice"), "o_orderkey")
     return t("orders").withColumn("r", F.row_number().over(w)).filter("r <= 3").select("o_orderpriority", "o_orderstatus", "o_totalprice")
+
+
+@query("""SELECT o_orderkey, rule, model, confidence, (CASE confidence WHEN 'high' THEN 0 WHEN 'medium' THEN 1 WHEN 'low' THEN 2 ELSE 3 END)::INTEGER AS place
+FROM (SELECT o_orderkey, CASE o_orderstatus WHEN 'F' THEN '15' WHEN 'O' THEN '3' ELSE '' END AS rule, CASE o_custkey % 4 WHEN 0 THEN '' WHEN 1 THEN '15' WHEN 2 THEN '3' ELSE '8' END AS model,
+CASE left(o_orderpriority, 1) WHEN '1' THEN 'high' WHEN '2' THEN 'medium' WHEN '3' THEN 'low' ELSE '' END AS confidence FROM orders) WHERE rule <> '' AND model <> '' AND rule <> model""")
+def disagreement_ranked(spark, t):
+    """Rows that two labellers both label and label differently, the confident ones first."""
+    d = t("orders").select(
+        "o_orderkey", F.when(F.col("o_orderstatus") == "F", "15").when(F.col("o_orderstatus") == "O", "3").otherwise("").alias("rule"),
+        F.element_at(F.array(*[F.lit(x) for x in ("", "15", "3", "8")]), (F.col("o_custkey") % 4 + 1).cast("int")).alias("model"),
+        F.coalesce(F.get(F.array(F.lit("high"), F.lit("medium"), F.lit("low")), F.substring("o_orderpriority", 1, 1).cast("int") - 1), F.lit("")).alias("confidence"),
+    )
+    return disagreements(d, "rule", "model", "confidence")

@@ -123,11 +123,15 @@ def parse_responses(spark, t):
     return d.select("o_orderkey", F.coalesce("r.category", F.lit("")).alias("category"), F.coalesce("r.element", F.lit(0)).alias("element"))
 
 
-@query("""SELECT o_orderkey, CASE WHEN o_orderkey % 3 = 0 THEN 'Very Serious' WHEN o_orderkey % 3 = 1 THEN 'Serious' ELSE 'Minor' END AS tier, CASE WHEN o_totalprice <= 25000 THEN 'Minor' WHEN o_totalprice <= 500000 THEN 'Moderate' ELSE 'Major' END AS financial,
-(CASE WHEN o_orderkey % 3 = 0 THEN 7 WHEN o_orderkey % 3 = 1 THEN 3 ELSE 1 END)::INTEGER AS mitigated FROM orders""")
+_TYPES = ("Blowout", "Fire", "Collision", "Muster", "Other")
+
+
+@query(f"""WITH o AS (SELECT *, [({list(_TYPES)})[o_orderkey % 5 + 1], ({list(_TYPES)})[o_custkey % 5 + 1]] AS types FROM orders),
+t AS (SELECT *, CASE WHEN list_contains(types, 'Blowout') THEN 'Very Serious' WHEN list_has_any(types, ['Fire', 'Collision']) THEN 'Serious' ELSE 'Incident' END AS tier FROM o)
+SELECT o_orderkey, tier, CASE WHEN o_totalprice <= 25000 THEN 'Minor' WHEN o_totalprice <= 500000 THEN 'Moderate' ELSE 'Major' END AS financial, (CASE tier WHEN 'Very Serious' THEN 7 WHEN 'Serious' THEN 3 ELSE 1 END)::INTEGER AS mitigated FROM t""")
 def severity_fields(spark, t):
-    m = F.col("o_orderkey") % 3
-    types = F.when(m == 0, F.array(F.lit("Blowout"), F.lit("Fire"))).when(m == 1, F.array(F.lit("Fire"))).otherwise(F.array(F.lit("Other")))
+    names = F.array(*[F.lit(x) for x in _TYPES])
+    types = F.array(*[F.element_at(names, (F.col(c) % 5 + 1).cast("int")) for c in ("o_orderkey", "o_custkey")])
     return t("orders").select("o_orderkey", R.severity(types, F.col("o_totalprice")).alias("s")).select("o_orderkey", "s.tier", "s.financial", "s.mitigated")
 
 
@@ -138,16 +142,9 @@ def anomaly_stream(spark, t):
     return t("events").select("event_id", F.explode(kinds).alias("type"), F.col("event_type").alias("detail"))
 
 
-@query("SELECT CASE WHEN n_chars < 500 THEN 'short' ELSE 'long' END AS split, count(*) AS n, md5(string_agg(doc_id::VARCHAR, ',' ORDER BY doc_id)) AS ids FROM documents WHERE doc_id % 20 = 0 GROUP BY 1")
-def splits_by_regime(spark, t):
-    d = t("documents").filter("doc_id % 20 = 0").groupBy(F.when(F.col("n_chars") < 500, "short").otherwise("long").alias("split"))
-    ids = F.array_join(F.transform(F.array_sort(F.collect_list("doc_id")), lambda x: x.cast("string")), ",")
-    return d.agg(F.count("*").alias("n"), F.md5(ids.cast("binary")).alias("ids"))
-
-
 @query("SELECT doc_id, CASE WHEN n_chars < 500 THEN 'short' ELSE 'long' END AS split FROM documents")
-def splits_by_regime_whole(spark, t):
-    """The split of every document, where ``splits_by_regime`` reads every twentieth."""
+def splits_by_regime(spark, t):
+    """The split of every document."""
     return t("documents").select("doc_id", F.when(F.col("n_chars") < 500, "short").otherwise("long").alias("split"))
 
 
@@ -176,15 +173,8 @@ def coincidence_pairs(spark, t):
     return found.exceptAll(found.filter("a % 2 = 0 AND b % 2 = 0"))
 
 
-@query("""WITH s AS (SELECT user_id, event_type AS what, (event_id % 4)::INTEGER AS priority, (hour(ts))::INTEGER AS start FROM events WHERE user_id % 7 = 0) SELECT user_id, min(priority)::INTEGER AS best FROM s GROUP BY 1""")
-def disjoint_match_priority(spark, t):
-    """The first kept match of each group has the best priority; overlap rules themselves are unit-tested."""
-    s = t("events").filter("user_id % 7 = 0").select("user_id", (F.col("event_id") % 4).alias("priority"), F.hour("ts").alias("start"), (F.hour("ts") + 3).alias("end"), F.col("event_type").alias("what"))
-    return L.disjoint_matches(s, "user_id").groupBy("user_id").agg(F.min("priority").alias("best"))
-
-
 @query()
-def disjoint_matches_whole(spark, t):
+def disjoint_matches(spark, t):
     """The kept matches of every user; the fold is tested against brute force, since SQL cannot express it."""
     s = t("events").select("user_id", (F.col("event_id") % 4).alias("priority"), F.hour("ts").alias("start"), (F.hour("ts") + 3).alias("end"), F.col("event_type").alias("what"))
     return L.disjoint_matches(s, "user_id")

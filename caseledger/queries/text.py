@@ -12,7 +12,7 @@ from caseledger.operators.joins import longest_prefix, ordered_pattern
 from caseledger.plans.projection import compile_projection
 from caseledger.queries.base import query, sql_mod
 
-_ATOMS = ("Fatality", "Injury", "Fire", "Explosion", "Crane", "Pollution", "LTA >3 days", "Collision")
+_ATOMS = ("Fatality", "Injury", "Fire", "Explosion", "Crane", "Pollution", "LTA >3 days", "Incident >$25K")
 _ATOM_SQL = "[" + ", ".join(f"'{a}'" for a in _ATOMS) + "]"
 _CELL_SQL = f"""WITH o AS (SELECT o_orderkey, o_orderpriority LIKE '1%' AS crewed, {sql_mod("'atoms|' || o_orderkey", 512)} AS r FROM orders),
 a AS (SELECT *, ({_ATOM_SQL})[r % 8 + 1] AS x, ({_ATOM_SQL})[(r // 8) % 8 + 1] AS y, r // 64 AS z FROM o), c AS (SELECT *, CASE WHEN z = 0 THEN [] WHEN z < 4 THEN [x] ELSE [x, y] END AS atoms FROM a)"""
@@ -33,7 +33,7 @@ def atom_split(spark, t):
     return _cells(t).select("o_orderkey", F.size("atoms").alias("n"), F.array_join("atoms", ";").alias("atoms"))
 
 
-_RANK = {"Fatality": 0, "Injury": 1, "Pollution": 2}
+_RANK = {"Fatality": 0, "Injury": 1, "LTA >3 days": 1, "Pollution": 2, "Incident >$25K": 4}
 _RANK_SQL = "CASE {} " + " ".join(f"WHEN '{k}' THEN {v}" for k, v in _RANK.items()) + " ELSE 5 END"
 
 
@@ -136,15 +136,22 @@ def date_forms(spark, t):
     return t("orders").select("o_orderkey", D.to_date(F.date_format(d, "M/d/yyyy")).cast("string").alias("us"), D.to_date(F.date_format(d, "yyyy-M-d")).cast("string").alias("iso"))
 
 
-_CHAIN = (("report", 5, 15), ("approval", 14, 45), ("closeout", 30, 90))
+#: Date, the one it rests on, least and most days between them (fixed rule values).
+_CHAIN = (
+    ("date_of_report", "incident_date", 5, 15), ("approval_date", "date_of_report", 14, 45), ("close_out_date", "approval_date", 30, 90),
+    ("action_due_date", "approval_date", 30, 180), ("agreed_completion_date", "approval_date", 30, 180),
+)
+_CHAIN_SQL = "SELECT o_orderkey, o_orderdate::DATE AS incident_date FROM orders"
+for _name, _base, _low, _high in _CHAIN:
+    _CHAIN_SQL = f"SELECT *, {_base} + ({_low} + {sql_mod(f'{chr(39)}{_name}|{chr(39)} || o_orderkey', _high - _low + 1)})::INTEGER AS {_name} FROM ({_CHAIN_SQL})"
 
 
-@query("SELECT o_orderkey, report::DATE::VARCHAR AS report, approval::DATE::VARCHAR AS approval, (approval + (30 + " + sql_mod("'closeout|' || o_orderkey", 61) + ")::INTEGER)::DATE::VARCHAR AS closeout FROM (SELECT *, report + (14 + " + sql_mod("'approval|' || o_orderkey", 32) + ")::INTEGER AS approval FROM (SELECT o_orderkey, o_orderdate::DATE + (5 + " + sql_mod("'report|' || o_orderkey", 11) + ")::INTEGER AS report FROM orders))")
+@query(f"SELECT o_orderkey, {', '.join(f'{n}::DATE::VARCHAR AS {n}' for n, *_ in _CHAIN)} FROM ({_CHAIN_SQL})")
 def date_chain(spark, t):
-    """Each date rests on the one before it, with offsets drawn by hash."""
-    d, before = t("orders").select("o_orderkey", F.col("o_orderdate").cast("date").alias("day")), "day"
-    for name, low, high in _CHAIN:
-        d, before = d.withColumn(name, F.date_add(before, (F.lit(low) + draw(high - low + 1, F.lit(name), F.col("o_orderkey"))).cast("int"))), name
+    """Each date rests on an earlier one, with offsets drawn by hash."""
+    d = t("orders").select("o_orderkey", F.col("o_orderdate").cast("date").alias("incident_date"))
+    for name, base, low, high in _CHAIN:
+        d = d.withColumn(name, F.date_add(base, (F.lit(low) + draw(high - low + 1, F.lit(name), F.col("o_orderkey"))).cast("int")))
     return d.select("o_orderkey", *[F.col(n).cast("string").alias(n) for n, *_ in _CHAIN])
 
 
@@ -190,14 +197,9 @@ def area_block_parse(spark, t):
     return t("orders").select("o_orderkey", X.area_block(F.concat(F.lit("at GC-"), F.lpad((F.col("o_custkey") % 900 + 1).cast("string"), 5, "0"), F.lit(" well"))).alias("lease"))
 
 
-@query("SELECT doc_id, round(CASE WHEN n_chars = 0 THEN 0.0 ELSE 7.0 / (length(substr(text, 1, 93)) + 7) END, 6)::DOUBLE AS share FROM documents")
-def cid_share(spark, t):
-    return t("documents").select("doc_id", F.round(X.glyph_share(F.concat(F.substring("text", 1, 93), F.lit("(cid:1)"))), 6).alias("share"))
-
-
 @query(r"SELECT doc_id, round(coalesce((length(x) - length(regexp_replace(x, '\(cid:\d+\)', '', 'g')))::DOUBLE / nullif(length(x), 0), 0.0), 6)::DOUBLE AS share FROM (SELECT doc_id, text || '(cid:1)' AS x FROM documents)")
-def cid_share_whole(spark, t):
-    """Over all characters of the text, where ``cid_share`` reads a prefix."""
+def cid_share(spark, t):
+    """Share of a text's characters that unmapped glyph codes make up."""
     return t("documents").select("doc_id", F.round(X.glyph_share(F.concat("text", F.lit("(cid:1)"))), 6).alias("share"))
 
 
@@ -206,9 +208,26 @@ def html_links(spark, t):
     return t("pages").select("page_id", F.explode(F.regexp_extract_all("html", F.lit('href="([^"]*)"'), F.lit(1))).alias("href")).groupBy("page_id").agg(F.count("*").alias("links"), F.count_distinct("href").alias("distinct_links"))
 
 
-@query("SELECT page_id, 'https://' || lower(regexp_extract(url, '^[a-zA-Z]+://([^/?#]+)', 1)) || regexp_replace(regexp_replace(regexp_replace(url, '^[a-zA-Z]+://[^/?#]+', ''), '#.*$', ''), '/+$', '') AS url FROM pages")
+@query("""SELECT page_id, 'https://' || CASE page_id % 3 WHEN 1 THEN 'live.example' ELSE 'site.example' END || '/a%20b/' || page_id || '.pdf' AS fetch,
+'https://' || CASE page_id % 3 WHEN 1 THEN 'live.example' ELSE 'site.example' END || '/a b/' || page_id || '.pdf' AS display, page_id % 3 = 1 AS canonicalised FROM pages""")
 def url_canonicalise(spark, t):
-    return t("pages").select("page_id", X.canonical_url(F.col("url")).alias("url"))
+    """Bare, dead-host and encoded links, all joined to the site's root."""
+    from caseledger.functions.prose import resolve_url
+
+    name, m = F.concat(F.col("page_id").cast("string"), F.lit(".pdf")), F.col("page_id") % 3
+    href = F.when(m == 0, F.concat(F.lit(" a b/"), name)).when(m == 1, F.concat(F.lit("http://dead.example/a%20b/"), name)).otherwise(F.concat(F.lit("/a%20b/"), name))
+    return t("pages").select("page_id", resolve_url(href, "https://site.example/", ("dead.example",), "live.example").alias("u")).select("page_id", "u.*")
+
+
+@query("""WITH o AS (SELECT o_orderkey, o_orderdate::DATE AS a, (o_orderdate + INTERVAL 40 DAY)::DATE AS b, (o_orderdate + INTERVAL 400 DAY)::DATE AS c FROM orders)
+SELECT o_orderkey, c || ';' || b || ';' || a AS dates FROM o""")
+def find_prose_dates(spark, t):
+    """Dates of several written forms in one text, whatever their letters' case; impossible ones are none."""
+    from caseledger.functions.prose import prose_dates
+
+    a, b, c = (F.date_add(F.col("o_orderdate").cast("date"), k) for k in (0, 40, 400))
+    text = F.concat(F.lit("on "), F.date_format(a, "yyyy-MM-dd"), F.lit(" and "), F.date_format(b, "dd-MMM-yyyy"), F.lit(", 31/31/2020, "), F.lower(F.date_format(c, "MMMM d, yyyy")), F.lit("."))
+    return t("orders").select("o_orderkey", F.array_join(prose_dates(text), ";").alias("dates"))
 
 
 @query()

@@ -91,7 +91,28 @@ def test_text_functions(spark):
     assert one(spark, X.last_sentence_with(F.col("t"), "should"), t="They should not have done this. Bye. They should have checked the valve first.") == "They should have checked the valve first."
 
 
+def test_types_of_an_incident(spark):
+    spec = ({"Fatality": ("HS", "Injury"), "Injury": ("HS", None), "Pollution": ("Env", "LOPC")}, {"Incident >$25K": ("Cost", None)}, {"Fire": "Fire", "Crane": None, "Blowout": "LOWC"}, ["Muster"], A.PRECEDENCE)
+    types = lambda *atoms: tuple(one(spark, A.resolve_types(F.split("t", ";"), *spec), t=";".join(atoms)))
+    assert types("Pollution", "Injury") == ("Loss Event", "HS", None, None)  # a null of the better-ranked atom stays
+    assert types("Incident >$25K", "Crane", "Blowout", "Fire") == ("Loss Event", "Cost", None, "LOWC")
+    assert types("Fire") == ("Loss Event", None, None, "Fire")
+    assert types("Muster") == ("Near Hit", None, None, None)
+    assert types("Unknown") == (None, None, None, None)
+    assert one(spark, A.top_atom(F.split("t", ";"), A.PRECEDENCE), t="Pollution;LTA >3 days") == "LTA >3 days"
+    assert one(spark, A.top_atom(F.split("t", ";"), A.PRECEDENCE), t="Other;Incident >$25K") == "Incident >$25K"
+
+
+def test_urls(spark):
+    url = lambda href: tuple(one(spark, P.resolve_url(F.col("h"), "https://site.example/", ("dead.example",), "live.example"), h=href))
+    assert url("sites/x y.pdf") == ("https://site.example/sites/x%20y.pdf", "https://site.example/sites/x y.pdf", False)
+    assert url(" http://dead.example/a%20b/c&d.pdf?q=1#p ") == ("https://live.example/a%20b/c&d.pdf?q=1#p", "https://live.example/a b/c&d.pdf?q=1#p", True)
+    assert url("http://other.example/z") == ("http://other.example/z", "http://other.example/z", False)
+
+
 def test_prose_dates(spark):
+    assert one(spark, P.prose_dates(F.col("t")), t="2020-05-31 then may 2, 2024, 7 JUNE 2021, 1-jan-1999, 05/02/2024 and 13/45/2020") == ["2024-05-02", "2021-06-07", "1999-01-01", "2024-05-02", "2020-05-31"]
+    assert one(spark, P.shift_prose_dates(F.col("t"), F.lit(1)), t="MAY 2, 2024; may 2, 2024; 05/02/2024; 9-Oct-2020") == "MAY 3, 2024; May 3, 2024; 5/3/2024; 10-OCT-2020"
     text = "On May 31, 2020 or 5/31/2020, 31-MAY-2020, 2020-05-31; 31 May 2020; never 2/30/2020."
     assert one(spark, P.shift_prose_dates(F.col("t"), F.lit(1)), t=text) == "On June 1, 2020 or 6/1/2020, 01-JUN-2020, 2020-06-01; 1 June 2020; never 2/30/2020."
 
