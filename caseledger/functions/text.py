@@ -101,6 +101,12 @@ def clause_list(items: Column) -> Column:
     return F.when(n == 0, "").when(n == 1, F.try_element_at(items, F.lit(1))).otherwise(F.concat(F.array_join(F.slice(items, 1, F.greatest(n - 1, F.lit(0))), ", "), F.lit(" and "), F.try_element_at(items, F.lit(-1))))
 
 
+def without_head(c: Column, head: Column) -> Column:
+    """The statement after a literal head and its mark; the statement itself without it."""
+    marked = c.startswith(head) & F.substr(c, F.length(head) + 1).rlike(r"^\s*[:\-]")
+    return F.when(marked, F.regexp_replace(F.substr(c, F.length(head) + 1), r"^\s*[:\-]+\s*", "")).otherwise(c)
+
+
 def control_safe(c: Column) -> Column:
     """Runs of control characters as one space."""
     return F.regexp_replace(c, r"[\x00-\x08\x0B\x0C\x0E-\x1F]+", " ")

@@ -12,7 +12,7 @@ from caseledger.functions import hashing as H
 from caseledger.functions import prose as P
 from caseledger.functions import text as X
 from caseledger.functions import forms as R
-from caseledger.operators import joins, layout, ordered, provenance, scenario
+from caseledger.operators import joins, layout, ordered, provenance, records, scenario
 from caseledger.plans.projection import compile_projection
 from caseledger.sources import files
 
@@ -271,3 +271,19 @@ def test_covering_bands(spark):
     d = spark.createDataFrame(rows, "page int, row long, spans array<struct<x0:double,x1:double>>")
     got = layout.covering_bands(d, "page").collect()
     assert got and all(290 <= r.gutter <= 310 and r.last == 11 for r in got)
+
+
+def test_records(spark, tmp_path):
+    d = spark.createDataFrame([(1, "a"), (2, "b")], "i int, v string")
+    twin = spark.createDataFrame([(1, "src")], "i int, v string")
+    with pytest.raises(Exception, match="differ in number"):
+        records.with_twin(d, twin, "i", ["v"]).collect()
+    with pytest.raises(Exception, match="unknown tag"):
+        records.templates_by_tag(spark.createDataFrame([("x", 1, "t")], "tag string, id int, text string"), ["y"]).collect()
+    assert records.numbered(["src_form", "src_f18_cause"], 18) == "src_f18_cause" and records.numbered(["src_f18x"], 18) is None
+    assert records.label_columns([("g", ["a", "b"]), ("h", ["b", "c"])], ["k"], ["h", "g"]) == ["k", "b", "c", "a"]
+    assert records.yaml_text({"b": {"x": [1, "two"]}, "a": None}) == '"b":\n  "x":\n    - 1\n    - "two"\n"a": null\n'
+    files.write_csv(d.select(F.col("i").cast("string").alias(" i"), "v"), f"{tmp_path}/t.csv", [" i", "v"])
+    assert records.header(spark, f"{tmp_path}/t.csv") == [" i", "v"]
+    assert one(spark, X.without_head(F.col("t"), F.lit("Cause")), t="Cause - it fell") == "it fell"
+    assert one(spark, X.without_head(F.col("t"), F.lit("Cause")), t="Causes: many") == "Causes: many"
