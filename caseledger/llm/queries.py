@@ -94,7 +94,7 @@ FROM f GROUP BY conv_id
 
 
 def op9_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return repeat_digests(table(spark, sf_dir, "documents"))
+    return repeat_digests(table(spark, sf_dir, "documents"), words=51)
 
 
 def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:

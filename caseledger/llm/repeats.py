@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 
 from caseledger.llm.common import fresh, key_filter, materialize, release_worker, small_batches
 
-LENGTH, WINDOW, GRAM = 400, 160, 16
+LENGTH, WINDOW, GRAM = 400, 240, 16
 CORE = LENGTH - WINDOW + 1
 SIDE = WINDOW - 1
 #: Bytes of a word's code where passages are matched by words.
@@ -70,13 +70,23 @@ def window_of(length: int) -> int:
     return length * WINDOW // LENGTH
 
 
-def anchors(b: np.ndarray, length: int = LENGTH) -> np.ndarray:
-    """Anchor positions of a text's bytes that a whole core follows."""
-    window = window_of(length)
+def sides(length: int, unit: int = 1, window: int | None = None) -> tuple[int, int]:
+    """(bytes that may stand before an anchor, bytes of a core): an anchor is one of the first window positions of a string."""
+    side = ((window or window_of(length) // unit) - 1) * unit
+    return side, length - side
+
+
+def anchors(b: np.ndarray, length: int = LENGTH, unit: int = 1, window: int | None = None) -> np.ndarray:
+    """Anchor positions of a text's bytes that a whole core follows; of every ``unit`` bytes the first may be one.
+
+    window: how many neighbouring positions an anchor is the least of, by default in proportion to the length."""
     if len(b) < length:
         return np.zeros(0, dtype=np.int64)
-    h, k, mult = _MIX[b], 1, 0x01000193
-    while k < GRAM:
+    h, gram = (_MIX[b], GRAM) if unit == 1 else (np.ascontiguousarray(b.reshape(-1, unit)[:, :4]).view("<u4").ravel(), 4)
+    window = window or window_of(length) // unit
+    core = sides(length, unit, window)[1] // unit
+    n, k, mult = len(h), 1, 0x01000193
+    while k < gram:
         h = h[:-k] * np.uint32(mult) + h[k:]
         k, mult = k * 2, mult * mult & 0xFFFFFFFF
     h ^= h >> np.uint32(16)
@@ -85,7 +95,7 @@ def anchors(b: np.ndarray, length: int = LENGTH) -> np.ndarray:
     low = _slide(h, window, np.minimum)
     pad = np.zeros(window - 1, dtype=np.uint32)
     at = np.flatnonzero(h == _slide(np.concatenate([pad, low, pad]), window, np.maximum))
-    return at[at + length - window + 1 <= len(b)]
+    return at[at + core <= n] * unit
 
 
 def shared(a: bytes, b: bytes) -> int:
@@ -306,21 +316,21 @@ def wanted_texts(texts: DataFrame, keys: DataFrame, view=None) -> DataFrame:
     return texts.mapInArrow(some, TEXT_DDL).repartition("key")
 
 
-def repeated_spans(texts: DataFrame, hot: int = HOT, length: int = LENGTH, view=None) -> DataFrame:
+def repeated_spans(texts: DataFrame, hot: int = HOT, length: int = LENGTH, view=None, unit: int = 1) -> DataFrame:
     """(tid, start, end) of repeated strings. texts: key, tid, text; copies may repeat; key is a hash of tid.
 
-    view: makes, once a task, the function that gives the bytes to search from a text's (None: leave the text out).
+    view: makes, once a task, the function that gives the bytes to search from a text's (None: leave the text out); unit:
+    bytes of its symbols, at whose starts alone strings matter.
     """
     spark = texts.sparkSession
-    side = window_of(length) - 1
-    core = length - side
+    side, core = sides(length, unit)
     buckets = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
 
     def cores(batches):
         release_worker()
         held, n = [], 0
         for key, _, _, raw, *_ in _first_texts(batches, view() if view else None):
-            at = anchors(np.frombuffer(raw, np.uint8), length)
+            at = anchors(np.frombuffer(raw, np.uint8), length, unit)
             if len(at):
                 h = np.fromiter((xxhash.xxh64_intdigest(raw[p : p + core]) for p in at.tolist()), dtype=np.uint64, count=len(at)).view(np.int64)
                 held.append((h, np.full(len(at), key, dtype=np.int64), at.astype(np.int32)))
@@ -337,7 +347,11 @@ def repeated_spans(texts: DataFrame, hot: int = HOT, length: int = LENGTH, view=
     counts = materialize(found.groupBy("h").agg(F.count("*").alias("n")).filter("n > 1"), "cores")
     cand = found.join(counts, "h").groupBy("key").agg(F.collect_set(F.when(F.col("n") <= hot, F.col("pos"))).alias("at"), F.collect_set(F.when(F.col("n") > hot, F.col("pos"))).alias("hot_at"))
     cand = materialize(cand, "suffix-places")
-    placed = wanted_texts(texts, cand, view).join(cand.hint("shuffle_hash"), "key").select("key", "tid", "text", "at", "hot_at")
+
+    def placed(column: str) -> DataFrame:
+        own = cand.filter(F.size(column) > 0)
+        return wanted_texts(texts, own, view).join(own.hint("shuffle_hash"), "key").select("key", "tid", "text", F.col(column).alias("at"))
+
 
     def runs(batches):
         release_worker()
@@ -366,7 +380,7 @@ def repeated_spans(texts: DataFrame, hot: int = HOT, length: int = LENGTH, view=
 
         yield from _batched(rows(), RUN_SCHEMA, 64)
 
-    dealt = placed.filter(F.size("at") > 0).mapInArrow(runs, RUN_DDL).repartition(buckets, "bucket").sortWithinPartitions("bucket")
+    dealt = placed("at").mapInArrow(runs, RUN_DDL).repartition(buckets, "bucket").sortWithinPartitions("bucket")
 
     def merged(batches):
         release_worker()
@@ -413,16 +427,18 @@ def repeated_spans(texts: DataFrame, hot: int = HOT, length: int = LENGTH, view=
 
         def rows():
             for _, tid, raw, _, i, b in _first_texts(batches):
-                at = sorted({p - o for p in b.column(4)[i].as_py() for o in range(min(p, side) + 1) if p - o + length <= len(raw)})
+                at = sorted({p - o for p in b.column(3)[i].as_py() for o in range(0, min(p, side) + 1, unit) if p - o + length <= len(raw)})
                 for s in at:
                     d = hashlib.sha256(raw[s : s + length]).digest()
                     yield int.from_bytes(d[:8], "big", signed=True), int.from_bytes(d[8:16], "big", signed=True), tid, s
 
         yield from _batched(rows(), pa.schema([("d1", pa.int64()), ("d2", pa.int64()), ("tid", pa.binary()), ("start", pa.int64())]))
 
-    shown = placed.filter(F.size("hot_at") > 0).mapInArrow(hot_strings, "d1 long, d2 long, tid binary, start long")
-    # Written as well, so that a hot string's join can be split.
-    often = materialize(shown.groupBy("d1", "d2").agg(F.count("*").alias("n")).filter("n > 1").select("d1", "d2"), "hot-strings")
+    if counts.filter(F.col("n") > hot).isEmpty():
+        return spans
+    # Written, as two readers need them; and so that a hot string's join can be split.
+    shown = materialize(placed("hot_at").mapInArrow(hot_strings, "d1 long, d2 long, tid binary, start long"), "hot-strings")
+    often = materialize(shown.groupBy("d1", "d2").agg(F.count("*").alias("n")).filter("n > 1").select("d1", "d2"), "hot-repeats")
     return spans.unionAll(shown.join(often, ["d1", "d2"]).select("tid", "start", (F.col("start") + length).alias("end")))
 
 
@@ -452,24 +468,33 @@ def sparse(raw: bytes, words: int) -> bool:
     return len(raw) >= LENGTH and bool((after - before > LENGTH).any())
 
 
-class _Codes(dict):
-    def __missing__(self, word: bytes) -> int:
-        if len(self) > 100_000:
-            self.clear()
-        h = self[word] = xxhash.xxh3_64_intdigest(word)
-        return h
+#: Odd multipliers of the bytes of a word by place; words are hashed a text at a time.
+_LETTER = (np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) ^ (np.arange(1, 257, dtype=np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F) >> np.uint64(17))
+_PLACE = np.cumprod(np.full(1 << 12, 0xD6E8FEB86659FD93, dtype=np.uint64))
 
 
-def word_codes():
-    """A function from a text's bytes to ``CODE`` bytes for each of its words."""
-    known = _Codes()
+def word_hashes(raw: bytes) -> np.ndarray:
+    """A 64-bit hash of each word that ``bytes.split`` gives, of its whole bytes."""
+    b = np.frombuffer(raw, np.uint8)
+    ink = (b != 32) & ((b < 9) | (b > 13))
+    letters = b[ink]
+    if not len(letters):
+        return np.zeros(0, dtype=np.uint64)
+    at = np.flatnonzero(ink)
+    first = np.flatnonzero(np.concatenate([[True], np.diff(at) > 1]))
+    sizes = np.diff(np.append(first, len(at)))
+    place = np.arange(len(at)) - np.repeat(first, sizes)
+    power = _PLACE if sizes.max() <= len(_PLACE) else np.cumprod(np.full(int(sizes.max()), 0xD6E8FEB86659FD93, dtype=np.uint64))
+    h = np.add.reduceat(_LETTER[letters] * power[place], first) + sizes.astype(np.uint64)
+    h ^= h >> np.uint64(32)
+    h *= np.uint64(0x9FB21C651E98DF25)
+    h ^= h >> np.uint64(28)
+    return h
 
-    def code(raw: bytes) -> bytes:
-        w = raw.split()
-        h = np.fromiter(map(known.__getitem__, w), dtype="<u8", count=len(w))
-        return h.view(np.uint8).reshape(-1, 8)[:, :CODE].tobytes()
 
-    return code
+def word_codes():
+    """A function from a text's bytes to ``CODE`` bytes for each of its words."""
+    return lambda raw: np.ascontiguousarray(word_hashes(raw).view(np.uint8).reshape(-1, 8)[:, :CODE]).tobytes()
 
 
 def passage_spans(texts: DataFrame, words: int, hot: int = HOT) -> DataFrame:
@@ -484,7 +509,7 @@ def passage_spans(texts: DataFrame, words: int, hot: int = HOT) -> DataFrame:
         return lambda raw: raw if sparse(raw, words) else None
 
     by_bytes = repeated_spans(texts, hot, LENGTH, few)
-    by_words = repeated_spans(texts, hot, words * CODE, word_codes)
+    by_words = repeated_spans(texts, hot, words * CODE, word_codes, CODE)
     return by_bytes.withColumn("unit", F.lit(1)).unionAll(by_words.withColumn("unit", F.lit(CODE)))
 
 
@@ -546,13 +571,60 @@ def _texts(keyed: DataFrame, text: str, tid: str) -> DataFrame:
     return keyed.select(F.xxhash64(F.col(tid)).alias("key"), F.col(tid).alias("tid"), F.col(text).alias("text"))
 
 
-def repeat_digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", hot: int = HOT) -> DataFrame:
-    """(doc_id, n_bytes, n_removed, n_spans, kept_sha256) of every row."""
+def shared_passages(texts: DataFrame, words: int, window: int = 16) -> DataFrame:
+    """(tid, n_shared): anchors of a text whose words - window + 1 words also stand in a text of another document.
+
+    Every passage of ``words`` words that two documents share has such an anchor among its first ``window`` words, so a text
+    without any shares none. Only counted here; what goes is settled by the search for strings.
+    """
+    core = sides(words * CODE, CODE, window)[1]
+
+    def places(batches):
+        release_worker()
+        code = word_codes()
+        held, n = [], 0
+        for key, _, _, raw, *_ in _first_texts(batches, code):
+            at = anchors(np.frombuffer(raw, np.uint8), words * CODE, CODE, window)
+            if len(at):
+                h = np.fromiter((xxhash.xxh64_intdigest(raw[p : p + core]) for p in at.tolist()), dtype=np.uint64, count=len(at)).view(np.int64)
+                held.append((np.unique(h), key))
+                n += len(at)
+            if n > 20_000:
+                yield batch(held)
+                held, n = [], 0
+        if held:
+            yield batch(held)
+
+    def batch(held):
+        return pa.RecordBatch.from_arrays([pa.array(np.concatenate([h for h, _ in held])), pa.array(np.repeat(np.array([k for _, k in held], dtype=np.int64), [len(h) for h, _ in held]))], names=["h", "key"])
+
+    found = materialize(texts.mapInArrow(places, "h long, key long"), "word-anchors")
+    copied = texts.groupBy("tid").agg(F.count("*").alias("n")).select("tid", F.xxhash64("tid").alias("key"), (F.col("n") > 1).alias("copied"))
+    # Written, so that the join deals both sides anew and a core that a third of the texts share can be split.
+    often = materialize(found.groupBy("h").agg(F.min("key").alias("lo"), F.max("key").alias("hi")).filter("lo <> hi").select("h"), "word-cores")
+    shared = found.join(often, "h").groupBy("key").agg(F.count_distinct("h").alias("shared"))
+    own = found.join(copied.filter("copied").select("key"), "key", "left_semi").groupBy("key").agg(F.count_distinct("h").alias("own"))
+    counts = copied.join(shared, "key", "left").join(own, "key", "left")
+    return counts.select("tid", F.coalesce("own", "shared").alias("n_shared")).filter("n_shared > 0")
+
+
+def repeat_digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", hot: int = HOT, words: int | None = None) -> DataFrame:
+    """(doc_id, n_bytes, n_removed, n_spans, kept_sha256[, n_shared]) of every row.
+
+    ``words`` adds the count of :func:`shared_passages`, which is over 0 for every text that shares a passage of so many
+    words with another document, whatever its bytes; such passages are not removed here.
+    """
     keyed = _with_tid(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")), "text", "_text", "_tid")
-    removed = removed_texts(_texts(keyed, "_text", "_tid"), hot)
+    texts = _texts(keyed, "_text", "_tid")
+    removed = removed_texts(texts, hot)
     rows = keyed.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("_tid").alias("tid"), F.octet_length("_text").cast("long").alias("n_bytes"), F.sha2(F.col("_text").cast("binary"), 256).alias("sha"))
     zero = F.lit(0).cast("long")
-    return rows.join(removed, "tid", "left").select("doc_id", "n_bytes", F.coalesce("n_removed", zero).alias("n_removed"), F.coalesce("n_spans", zero).alias("n_spans"), F.coalesce("kept_sha256", "sha").alias("kept_sha256"))
+    out = rows.join(removed, "tid", "left")
+    more = []
+    if words:
+        out = out.join(shared_passages(texts, words), "tid", "left")
+        more = [F.coalesce("n_shared", zero).alias("n_shared")]
+    return out.select("doc_id", "n_bytes", F.coalesce("n_removed", zero).alias("n_removed"), F.coalesce("n_spans", zero).alias("n_spans"), F.coalesce("kept_sha256", "sha").alias("kept_sha256"), *more)
 
 
 def remove_repeats(docs: DataFrame, text_col: str = "text", size_col: str | None = "n_chars", hot: int = HOT, words: int | None = None) -> DataFrame:

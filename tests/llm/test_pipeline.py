@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 
 import corpus_pipeline
-from caseledger.llm import near
+from caseledger.llm import near, repeats
 
 RNG = random.Random(11)
 WORDS = [f"w{i}" for i in range(500)]
@@ -125,3 +125,33 @@ def test_repeats_of_more_than_fifty_words_go(spark):
     got = {r["doc_id"]: r for r in corpus_pipeline.repeats(spark, df, "").collect()}
     assert [got[i]["text"].split() for i in range(len(texts))] == want
     assert all(r["n_chars"] == len(r["text"]) for r in got.values())
+
+
+def test_word_hashes_are_of_the_words_alone():
+    texts = [b"a b a", b" \t", b"", b"x" * 9000 + b" y\n" + b"x" * 9000, "é ü\u00a0é".encode(), bytes(RNG.choices(b"abcdefg \n\t", k=3000))]
+    known: dict[bytes, int] = {}
+    for t in texts:
+        h, w = repeats.word_hashes(t).tolist(), t.split()
+        assert len(h) == len(w)
+        assert all(known.setdefault(x, y) == y for x, y in zip(w, h, strict=True))
+    assert len(set(known.values())) == len(known) > 100
+
+
+def test_shared_passages_of_more_than_fifty_words_are_told(spark):
+    short = ["".join(RNG.choices("abcdefgh", k=3)) for _ in range(300)]
+    some = lambda n: " ".join(RNG.choices(short, k=n))
+    texts = [f"{some(RNG.randint(0, 30))} {p}\t {some(RNG.randint(0, 30))}" for p in [some(n) for n in (20, 35, 51, 51, 52, 55, 60, 130)] for _ in range(2)]
+    copy, under, twice = some(51), some(35), some(51)
+    texts += [some(300), copy, copy, under, under, f"{twice} {twice}", "", None, " ".join(["z"] * 52), " ".join(["z"] * 60), " ".join(["y"] * 51)]
+    words = [(t or "").split() for t in texts]
+    grams = lambda n: [{tuple(w[j : j + n]) for j in range(len(w) - n + 1)} for w in words]
+
+    def shares(n):
+        g = grams(n)
+        return [any(a & b for j, b in enumerate(g) if j != i) for i, a in enumerate(g)]
+
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    got = {r.doc_id: r.n_shared > 0 for r in repeats.repeat_digests(df, words=51).collect()}
+    got = [got[i] for i in range(len(texts))]
+    assert all(got[i] for i, x in enumerate(shares(51)) if x) and sum(shares(51)) >= 14
+    assert not any(got[i] for i, x in enumerate(shares(36)) if not x)
