@@ -30,7 +30,7 @@ from caseledger.llm.common import worker_state
 PATTERN = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
 _CUT = regex.compile(r" (?=\S)")
 _ODD_SPACES = [c for c in map(chr, [*range(0x09, 0x0E), *range(0x1C, 0x20), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]) if c != "\n"]
-CACHE_PIECES = 300_000
+CACHE_PIECES = 600_000
 LONG = 256
 NONE = np.iinfo(np.int64).max
 
