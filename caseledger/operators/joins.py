@@ -79,3 +79,31 @@ def column_difference(declared: Sequence[str], df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     rows = [(c, "missing") for c in declared if c not in df.columns] + [(c, "orphan") for c in df.columns if c not in set(declared)]
     return spark.createDataFrame(rows, "column string, side string")
+
+
+def near_values(values: DataFrame, value: str, count: str, share: float = 0.5) -> DataFrame:
+    """(a, b, n) with a < b and the lesser count: one value contains the other, or their words have a Jaccard similarity
+    of ``share`` or more. ``values`` holds distinct values; empty and null ones are left out.
+
+    Not all pairs: a contained value meets those that hold its rarest run of three characters (all of it, if shorter), and
+    word sets meet by their rarest words, so many that sets of the asked similarity must share one."""
+    c = values.filter(F.col(value) != "").select(F.col(value).alias("v"), F.col(count).alias("n"), F.array_distinct(F.split(value, " ")).alias("s"))
+
+    def grams(size: int) -> Column:
+        places = F.sequence(F.lit(1), F.length("v") - (size - 1))
+        return F.when(F.length("v") >= size, F.array_distinct(F.transform(places, lambda i: F.substring(F.col("v"), i, F.lit(size))))).otherwise(F.array().cast("array<string>"))
+
+    index = c.select(F.col("v").alias("b"), F.col("n").alias("nb"), F.explode(F.concat(grams(1), grams(2), grams(3))).alias("g"))
+    own = c.select("v", "n", F.explode(F.when(F.length("v") < 3, F.array("v")).otherwise(grams(3))).alias("g"))
+    often = index.groupBy("g").agg(F.count("*").alias("f"))
+    probe = own.join(often, "g").groupBy("v", "n").agg(F.min(F.struct("f", "g"))["g"].alias("g"))
+    inside = probe.join(index, "g").filter((F.col("v") != F.col("b")) & F.contains("b", "v"))
+    found = inside.select(F.least("v", "b").alias("a"), F.greatest("v", "b").alias("b"), F.least("n", "nb").alias("n"))
+
+    words = c.select("v", F.explode("s").alias("w"))
+    ranked = words.join(words.groupBy("w").agg(F.count("*").alias("f")), "w").groupBy("v").agg(F.array_sort(F.collect_list(F.struct("f", "w"))).alias("r"))
+    size = F.size("r")
+    first = ranked.select("v", F.explode(F.slice("r", F.lit(1), (size - F.ceil(size * F.lit(share)) + 1).cast("int"))["w"]).alias("w")).join(c, "v")
+    x, y = (first.select("w", F.col("v").alias(p), F.col("n").alias(f"n{p}"), F.col("s").alias(f"s{p}")) for p in "ab")
+    alike = F.size(F.array_intersect("sa", "sb")) / F.size(F.array_union("sa", "sb")) >= share
+    return found.unionAll(x.join(y, "w").filter((F.col("a") < F.col("b")) & alike).select("a", "b", F.least("na", "nb").alias("n"))).distinct()

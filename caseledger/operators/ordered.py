@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -51,11 +51,18 @@ def water_fill(sizes: dict[str, int], budget: int, least: int = 1) -> dict[str,
 
 
 def water_fill_sample(df: DataFrame, group: str, ident: str, budget: int, least: int = 1) -> DataFrame:
-    """Rows of each group up to its allocation, in hash order. The driver sees one count per group only."""
+    """Rows of each group up to its allocation, in hash order; rows of a null group are left out.
+
+    The driver sees one count per group. A group's rows are counted in 4,096 digest bins; only bins that begin below the
+    allocation are sorted, each by itself, so no task sorts a whole group."""
     sizes = {r[group]: r["n"] for r in df.filter(F.col(group).isNotNull()).groupBy(group).agg(F.count("*").alias("n")).collect()}
     alloc = df.sparkSession.createDataFrame(sorted(water_fill(sizes, budget, least).items()), f"{group} string, _alloc long")
-    w = Window.partitionBy(group).orderBy(sha_hex(F.col(ident)), ident)
-    return df.join(F.broadcast(alloc), group).withColumn("_rn", F.row_number().over(w)).filter("_rn <= _alloc").drop("_rn", "_alloc")
+    keyed = df.withColumn("_h", sha_hex(F.col(ident))).withColumn("_bin", F.substring("_h", 1, 3))
+    before = F.coalesce(F.sum("_n").over(Window.partitionBy(group).orderBy("_bin").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    bins = keyed.groupBy(group, "_bin").agg(F.count("*").alias("_n")).withColumn("_before", before)
+    begun = bins.join(alloc, group).filter("_before < _alloc").drop("_n")
+    inside = F.row_number().over(Window.partitionBy(group, "_bin").orderBy("_h", ident))
+    return keyed.join(begun, [group, "_bin"]).withColumn("_rn", inside).filter("_before + _rn <= _alloc").drop("_h", "_bin", "_before", "_alloc", "_rn")
 
 
 def islands(df: DataFrame, group: Sequence[str], value: str) -> DataFrame:
@@ -119,13 +126,22 @@ def distribute_headers(statements: Column) -> Column:
     return F.aggregate(statements, state, step, lambda a: F.when((a["head"] != "") & ~a["used"], F.concat(a["out"], F.array(a["head"]))).otherwise(a["out"]))
 
 
-def upper_median(values: Column) -> Column:
-    """a[n // 2] of the sorted values."""
-    s = F.sort_array(values)
-    return F.try_element_at(s, F.floor(F.size(s) / 2).cast("int") + 1)
-
-
-def floor_rank(values: Column, share: float) -> Column:
-    """a[int(share * (n - 1))] of the sorted values."""
-    s = F.sort_array(values)
-    return F.try_element_at(s, F.floor(F.lit(share) * (F.size(s) - 1)).cast("int") + 1)
+def values_at(df: DataFrame, group: str, value: str, places: Mapping[str, Callable[[Column], Column]]) -> DataFrame:
+    """(group, one column per place): exact order statistics. A place maps a group's row count to a zero-based rank.
+
+    Values are numbers; null ones and null groups are left out. Equal values are counted first. Approximate quantiles cut a group's distinct
+    values into 256 bins; exact bin sizes tell which bins hold the ranks, and only these are sorted, each by itself. The
+    cuts decide the size of the bins alone, never the result."""
+    seen = df.filter(F.col(group).isNotNull() & F.col(value).isNotNull()).groupBy(group, value).agg(F.count("*").alias("_n"))
+    cuts = seen.groupBy(group).agg(F.percentile_approx(value, [k / 256 for k in range(1, 256)], 2_000).alias("_cuts"))
+    binned = seen.join(cuts, group).select(group, value, "_n", F.size(F.filter("_cuts", lambda c: c < F.col(value))).alias("_bin"))
+    sizes = binned.groupBy(group, "_bin").agg(F.sum("_n").alias("_s"))
+    end, total = F.sum("_s").over(Window.partitionBy(group).orderBy("_bin")), F.sum("_s").over(Window.partitionBy(group))
+    ranks = sizes.select(group, "_bin", (end - F.col("_s")).alias("_before"), end.alias("_end"), *[rank(total).cast("long").alias(f"_at_{name}") for name, rank in places.items()])
+    held = F.lit(False)
+    for name in places:
+        held |= (F.col(f"_at_{name}") >= F.col("_before")) & (F.col(f"_at_{name}") < F.col("_end"))
+    upto = F.col("_before") + F.sum("_n").over(Window.partitionBy(group, "_bin").orderBy(value))
+    rows = binned.join(ranks.filter(held), [group, "_bin"]).withColumn("_upto", upto)
+    pick = lambda name: F.min(F.when((F.col(f"_at_{name}") < F.col("_upto")) & (F.col(f"_at_{name}") >= F.col("_upto") - F.col("_n")), F.col(value)))
+    return rows.groupBy(group).agg(*[pick(name).alias(name) for name in places])

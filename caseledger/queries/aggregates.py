@@ -8,6 +8,7 @@ from pyspark.sql.window import Window
 from caseledger.functions.dates import regime
 from caseledger.functions.hashing import draw
 from caseledger.operators.aggregates import agreement, consolidate, contingency_scores, disagreements, total_variation
+from caseledger.operators.joins import near_values
 from caseledger.queries.base import query, sql_mod
 
 
@@ -113,13 +114,10 @@ SELECT a.v AS a, b.v AS b, least(a.n, b.n) AS n FROM t a JOIN t b ON a.v < b.v W
 
 @query(_VOCAB_SQL)
 def near_duplicate_vocab(spark, t):
-    """A stated vocabulary (the distinct values of two columns) against itself: containment or half the words shared."""
+    """The vocabulary of three columns against itself: containment or half the words shared."""
     p = t("part")
     w = p.select(F.explode(F.split(F.lower("p_name"), " ")).alias("v")).unionAll(p.select(F.lower("p_type"))).unionAll(p.select(F.lower("p_brand")))
-    c = w.filter("v <> ''").groupBy("v").agg(F.count("*").alias("n")).withColumn("s", F.array_distinct(F.split("v", " ")))
-    a, b = c.select(F.col("v").alias("a"), F.col("n").alias("na"), F.col("s").alias("sa")), c.select(F.col("v").alias("b"), F.col("n").alias("nb"), F.col("s").alias("sb"))
-    near = (F.concat("a", F.lit("s")) == F.col("b")) | F.contains(F.col("b"), F.col("a")) | F.contains(F.col("a"), F.col("b")) | (F.size(F.array_intersect("sa", "sb")) / F.size(F.array_union("sa", "sb")) >= 0.5)
-    return a.join(b, (F.col("a") < F.col("b")) & near).select("a", "b", F.least("na", "nb").alias("n"))
+    return near_values(w.filter("v <> ''").groupBy("v").agg(F.count("*").alias("n")), "v", "n")
 
 
 @query("SELECT event_type, count(*) AS n FROM events GROUP BY 1 ORDER BY n DESC, event_type LIMIT 3")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import date
+from datetime import timedelta
 
 from pyspark.sql import functions as F
 
@@ -51,13 +51,13 @@ def scenario_causes(spark, t):
 
 @query()
 def scenario_greedy_pairs(spark, t):
-    """Eight planted recurrences among the first 150 incidents of the register, its stated size."""
-    p = _plan(t)
-    first = p.orderBy("incident").limit(150)
-    c = S.closeout(first).groupBy("incident").agg(F.max("completed").alias("closed"))
-    rows = first.join(c, "incident").select("incident", "day", "closed").orderBy("incident").collect()
-    pairs = S.greedy_pairs([tuple(r) for r in rows], 8, 1, 90, date(2025, 12, 31))
-    return spark.createDataFrame(pairs, "a string, b string, day date")
+    """Eight planted recurrences among the first 150 reported incidents of the register, its stated size."""
+    first = _plan(t).filter(~F.col("skipped")).orderBy("incident").limit(150)
+    span = F.col("report_lag") + F.array_max(F.transform("actions", lambda a: a["done"]))
+    found = [S.Candidate(r["incident"], r["day"], r["span"]) for r in first.select("incident", "day", span.alias("span")).collect()]
+    pairs = S.plant_pairs(found, 8, 180, _C, (_K.start, _K.start + timedelta(days=_K.days - 1)))
+    kind = "a string, b string, a_day date, b_day date, element string, work_group string"
+    return spark.createDataFrame([(p.first, p.second, p.first_day, p.second_day, p.element, p.work_group) for p in pairs], kind)
 
 
 @query()

@@ -39,13 +39,16 @@ def exists(spark: SparkSession, path: str) -> bool:
     return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
 
 
-def read_csv(spark: SparkSession, path: str, columns: Sequence[str], encoding: str = "UTF-8", missing_ok: bool = False) -> DataFrame:
+def read_csv(spark: SparkSession, path: str, columns: Sequence[str], encoding: str = "UTF-8", missing_ok: bool = False, multi_line: bool = True) -> DataFrame:
     """Header, RFC 4180 quotes, embedded newlines, every cell a string; blank cells come back as "".
 
+    One task reads a whole file, since any cell may hold a newline. Where none does, ``multi_line=False`` lets large files
+    be split.
+
     With ``missing_ok`` an absent path is an empty table of the same schema."""
     if missing_ok and not exists(spark, path):
         return spark.createDataFrame([], strings(columns))
-    raw = spark.read.schema(strings(columns)).csv(path, header=True, multiLine=True, quote='"', escape='"', encoding=encoding, enforceSchema=False, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
+    raw = spark.read.schema(strings(columns)).csv(path, header=True, multiLine=multi_line, quote='"', escape='"', encoding=encoding, enforceSchema=False, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
     return raw.fillna("")
 
 

@@ -1,6 +1,7 @@
 """Expressions and operators on hand-made rows: boundaries, ties, blanks and order independence."""
 
 import hashlib
+import random
 from datetime import date
 
 import pytest
@@ -231,11 +232,71 @@ def test_zip(spark, tmp_path):
     assert got == {"a.zip": ("only.txt", "a,b", None), "b.zip": (None, None, "not an archive")}
 
 
-def test_greedy_pairs_are_disjoint():
-    c = [(f"i{k}", date(2021, 1, 1), date(2021, 2, 1 + k)) for k in range(10)]
-    got = scenario.greedy_pairs(c, 3, 1, 20, date(2025, 1, 1))
-    assert len(got) == 3 and len({x for a, b, _ in got for x in (a, b)}) == 6
-    assert scenario.greedy_pairs(c, 3, 400, 500, date(2021, 3, 1)) == []
+BOUNDS = (date(2021, 1, 1), date(2025, 12, 31))
+
+
+def test_planted_pairs_follow_the_close_out_within_the_window():
+    c = [scenario.Candidate(f"i{k}", date(2021, 6, 1 + k), 5 * k) for k in range(10)]
+    spans = {x.ident: x.span for x in c}
+    got = scenario.plant_pairs(c, 3, 40, "x", BOUNDS)
+    assert [(p.first, p.second) for p in got] == [("i0", "i1"), ("i2", "i3"), ("i4", "i5")]
+    assert all(spans[p.first] < (p.second_day - p.first_day).days < 40 for p in got)
+    assert {x.ident: x.day for x in c}[got[0].second] == got[0].second_day
+    assert all(p.element in scenario.PLANT_ELEMENTS and p.work_group in dict(scenario.WORK_GROUPS) for p in got)
+    assert {p.work_group for p in scenario.plant_pairs(c, 2, 40, "x", BOUNDS, group="Drilling")} == {"Drilling"}
+    # Spans of window - 1 and more are left out: i0 to i7 make four pairs, not five.
+    with pytest.raises(ValueError, match="4 of 5"):
+        scenario.plant_pairs(c, 5, 40, "x", BOUNDS)
+
+
+def test_planted_pairs_move_back_from_the_end_or_are_given_up():
+    late = lambda **more: [scenario.Candidate("a", BOUNDS[1], 10, **more), scenario.Candidate("b", BOUNDS[0], 10), scenario.Candidate("c", BOUNDS[0], 10)]
+    (p,) = scenario.plant_pairs(late(), 1, 30, "x", BOUNDS)
+    assert (p.first, p.second, p.second_day) == ("a", "b", BOUNDS[1]) and p.first_day < BOUNDS[1]
+    c = late(back=3000)
+    (p,) = scenario.plant_pairs(c, 1, 30, "x", BOUNDS)
+    assert (p.first, p.second) == ("b", "a") and c[0].day == p.second_day
+    with pytest.raises(ValueError, match="0 of 1"):
+        scenario.plant_pairs([scenario.Candidate(x, BOUNDS[0], 1, ahead=5000) for x in "ab"], 1, 30, "x", BOUNDS)
+    assert scenario.plant_pairs([], 0, 30, "x", BOUNDS) == []
+    # The host draw equals the column builder's.
+    assert scenario.host_draw(97, "x", "pairgap", 2) == int(hashlib.sha256(b"x|pairgap|2").hexdigest(), 16) % 97
+
+
+def test_values_at_counts_ranks_exactly(spark):
+    rng = random.Random(5)
+    data = {"a": [rng.choice([1.0, 1.0, 2.5, 9.0]) for _ in range(101)], "b": [7.0], "c": [rng.uniform(-1e6, 1e6) for _ in range(3000)], "d": [4.0] * 50 + [rng.random() for _ in range(50)]}
+    rows = [(g, v) for g, vs in data.items() for v in vs] + [("a", None), (None, 3.0), ("e", None)]
+    df = spark.createDataFrame(rows, "g string, v double").repartition(5)
+    got = {r.g: (r.mid, r.high, r.least) for r in ordered.values_at(df, "g", "v", {"mid": lambda n: F.floor(n / 2), "high": lambda n: F.floor(F.lit(0.9) * (n - 1)), "least": lambda n: F.lit(0)}).collect()}
+    assert got == {g: (sorted(vs)[len(vs) // 2], sorted(vs)[int(0.9 * (len(vs) - 1))], min(vs)) for g, vs in data.items()}
+    assert ordered.values_at(df.filter("false"), "g", "v", {"mid": lambda n: F.floor(n / 2)}).collect() == []
+
+
+def test_water_fill_sample_takes_the_first_by_hash(spark):
+    sizes = {"a": 300, "b": 3, "c": 40}
+    rows = [(f"{g}{i}", g, i) for g, n in sizes.items() for i in range(n)] + [("null", None, 1)]
+    got = ordered.water_fill_sample(spark.createDataFrame(rows, "k string, g string, i int"), "g", "k", 60).collect()
+    digest = lambda k: (hashlib.sha256(k.encode()).hexdigest(), k)
+    want = {k for g, n in ordered.water_fill(sizes, 60).items() for k in sorted((r[0] for r in rows if r[1] == g), key=digest)[:n]}
+    assert {r.k for r in got} == want and len(got) == 60 and set(got[0].asDict()) == {"k", "g", "i"}
+
+
+def test_near_values_equal_all_pairs(spark):
+    rng = random.Random(11)
+    words = ["pump", "pumps", "valve", "gas", "a", "of", "leak", "x", "é", "gas leak"]
+    vocab = {" ".join(rng.choices(words, k=rng.randint(1, 5))) for _ in range(250)} | {"p", "um", "a  b", "ab", "abs"}
+    count = {v: rng.randint(1, 9) for v in vocab}
+
+    def near(a, b):
+        x, y = set(a.split(" ")), set(b.split(" "))
+        return a in b or b in a or len(x & y) / len(x | y) >= 0.5
+
+    want = {(a, b, min(count[a], count[b])) for a in vocab for b in vocab if a.encode() < b.encode() and near(a, b)}
+    df = spark.createDataFrame([*count.items(), ("", 3), (None, 4)], "v string, n int")
+    got = [tuple(r) for r in joins.near_values(df, "v", "n").collect()]
+    assert set(got) == want and len(got) == len(want)
+
 
 
 def test_register_lateness_follows_its_expectation(spark):
