@@ -101,10 +101,13 @@ def atom_explode_head(spark, t):
     return h.crossJoin(F.broadcast(reach))
 
 
-@query("""WITH k AS (SELECT DISTINCT p_type, regexp_replace(lower(p_type), '[^a-z]', '', 'g') AS key FROM part) SELECT key, count(*) AS spellings FROM k GROUP BY 1""")
+@query("""WITH k AS (SELECT CASE p_partkey % 3 WHEN 0 THEN lower(p_type) WHEN 1 THEN replace(p_type, ' ', '-') ELSE p_type END AS v FROM part), g AS (SELECT DISTINCT v, regexp_replace(lower(v), '[^a-z]', '', 'g') AS key FROM k)
+SELECT key, count(*) AS spellings, string_agg(v, '|' ORDER BY v) AS members FROM g GROUP BY 1 HAVING count(*) > 1""")
 def spelling_groups(spark, t):
-    k = t("part").select("p_type", F.regexp_replace(F.lower("p_type"), "[^a-z]", "").alias("key"))
-    return k.groupBy("key").agg(F.count_distinct("p_type").alias("spellings"))
+    """Values that differ in case and marks alone; the types are written in three ways to have such groups."""
+    p = t("part").withColumn("v", F.when(F.col("p_partkey") % 3 == 0, F.lower("p_type")).when(F.col("p_partkey") % 3 == 1, F.replace("p_type", F.lit(" "), F.lit("-"))).otherwise(F.col("p_type")))
+    k = p.select("v", F.regexp_replace(F.lower("v"), "[^a-z]", "").alias("key")).distinct()
+    return k.groupBy("key").agg(F.count("*").alias("spellings"), F.array_join(F.array_sort(F.collect_list("v")), "|").alias("members")).filter("spellings > 1")
 
 
 _VOCAB_SQL = """WITH w AS (SELECT unnest(string_split(lower(p_name), ' ')) AS v FROM part UNION ALL SELECT lower(p_type) FROM part UNION ALL SELECT lower(p_brand) FROM part), c AS (SELECT v, count(*) AS n FROM w WHERE v <> '' GROUP BY 1),

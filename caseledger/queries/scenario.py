@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from caseledger.functions.hashing import quantile_table
 from caseledger.operators import scenario as S
+from caseledger.operators.synthesis import synthesize
 from caseledger.queries.base import query, sql_hit, sql_mod, sql_pick
 
 _K = S.Knobs()
@@ -60,6 +61,45 @@ def scenario_greedy_pairs(spark, t):
     return spark.createDataFrame([(p.first, p.second, p.first_day, p.second_day, p.element, p.work_group) for p in pairs], kind)
 
 
+_ROLES = {"investigation_lead": ("lead", "Investigator", "Investigation Lead"), "incident_classified_by": ("classified_by", "Classifier", "Incident Classifier"), "investigation_acceptor": ("acceptor", "Acceptor", "Investigation Acceptor"),
+          "close_out_approval": ("close_out", "Approver", "Close-Out Approver"), "responsible_owner": ("owner", "Owner", "Responsible Owner")}
+_OFFSETS = {"date_of_report": ("day", 5, 15), "approval_date": ("syn_date_of_report", 14, 45), "close_out_date": ("syn_approval_date", 30, 90), "action_due_date": ("syn_approval_date", 30, 180), "agreed_completion_date": ("syn_approval_date", 30, 180)}
+_DATED = """SELECT *, try_cast(raw AS DATE) AS day FROM (SELECT o_orderkey, 'R' || o_orderkey AS id, CASE o_custkey % 50 WHEN 0 THEN ' ' WHEN 1 THEN '2024-13-01' ELSE strftime(o_orderdate + INTERVAL 10220 DAY, '%Y-%m-%d') END AS raw,
+ list_sort(list_filter([CASE WHEN o_orderstatus = 'F' THEN 'Fire' END, CASE WHEN o_custkey % 3 = 0 THEN 'Pollution' END, CASE WHEN o_custkey % 5 = 0 THEN 'Fatality' END, CASE WHEN o_custkey % 11 = 0 THEN 'Crane' END], lambda x: x IS NOT NULL)) AS types,
+ CASE WHEN o_custkey % 7 <> 0 THEN o_totalprice * 2 END AS damage, 'GC ' || o_custkey % 900 AS site FROM orders)"""
+for _name, (_base, _low, _high) in _OFFSETS.items():
+    _DATED = f"SELECT *, ({_base} + ({_low} + {sql_mod(f'id || {chr(39)}{_name}{chr(39)}', _high - _low + 1)})::INTEGER)::DATE AS syn_{_name} FROM ({_DATED})"
+_TIER = "CASE WHEN list_has_any(types, ['Fatality', 'Blowout', 'Explosion']) THEN 'Very Serious' WHEN list_has_any(types, ['Injury', 'LWC', 'Fire', 'Collision']) THEN 'Serious' WHEN len(types) > 0 THEN 'Incident' END"
+_SYN = {f"{r}_name": f"'SYN-{label}-' || substr(sha256(id || '{salt}'), 1, 6)" for r, (salt, label, _) in _ROLES.items()} | {f"{r}_position": f"'Synthetic Role — {p}'" for r, (_, _, p) in _ROLES.items()} | {
+    "action_status": "status", "schedule_status": f"CASE WHEN status = 'Completed' THEN 'N/A' WHEN {sql_mod("id || 'schedule_status'", 2)} = 0 THEN 'On Schedule' ELSE 'Behind' END",
+    "incident_classification": "coalesce(tier, 'Unknown')", "worst_reasonable_outcome": "coalesce(tier, 'Unknown')", "involves_fatality_or_injury": "list_has_any(types, ['Fatality', 'Injury'])", "hs_risk_score": "score",
+    "environment_reputation_classification": "CASE WHEN tier IS NULL THEN 'Unknown' WHEN list_contains(types, 'Pollution') THEN tier ELSE 'None' END",
+    "environment_reputation_score": "CASE WHEN tier IS NULL THEN NULL WHEN list_contains(types, 'Pollution') THEN score ELSE 0 END",
+    "financial_classification": "CASE WHEN damage IS NULL THEN 'Unknown' WHEN damage <= 25000 THEN 'Minor' WHEN damage <= 500000 THEN 'Moderate' ELSE 'Major' END",
+    "financial_score": "CASE WHEN damage <= 25000 THEN 2 WHEN damage <= 500000 THEN 5 WHEN damage IS NOT NULL THEN 9 END",
+    "unmitigated_risk_score": "score", "mitigated_risk_score": "CASE score WHEN 9 THEN 7 WHEN 5 THEN 3 WHEN 2 THEN 1 END",
+    "incident_title": "CASE WHEN len(types) = 0 THEN 'Unspecified' ELSE array_to_string(types, ', ') END || ' incident at ' || site",
+}
+
+
+@query(f"""WITH d AS ({_DATED}), s AS (SELECT *, {_TIER} AS tier, CASE WHEN DATE '2026-08-09' - day > 730 THEN 'Completed' WHEN DATE '2026-08-09' - day > 183 THEN 'In Progress' ELSE 'Pending' END AS status FROM d),
+v AS (SELECT *, CASE tier WHEN 'Very Serious' THEN 9 WHEN 'Serious' THEN 5 WHEN 'Incident' THEN 2 END AS score FROM s)
+SELECT o_orderkey, {', '.join(f"CASE WHEN day IS NOT NULL THEN {x} END AS syn_{n}" for n, x in _SYN.items())}, {', '.join(f'syn_{n}::VARCHAR AS syn_{n}' for n in _OFFSETS)},
+CASE WHEN day IS NOT NULL THEN concat_ws(',', CASE WHEN len(types) = 0 THEN 'unresolved_incident_classification' END, CASE WHEN damage IS NULL THEN 'unresolved_property_damage' END) END AS anomalies,
+CASE WHEN trim(raw) = '' THEN 'no_incident_date' WHEN day IS NULL THEN 'unparseable_date' END AS skipped FROM v""")
+def synthetic_columns(spark, t):
+    """All synthetic columns of every order read as an incident; some have no date, a wrong one, no type or no damage."""
+    part = F.col("o_custkey") % 50
+    types = F.array_compact(F.array(F.when(F.col("o_orderstatus") == "F", "Fire"), *[F.when(F.col("o_custkey") % n == 0, x) for n, x in ((3, "Pollution"), (5, "Fatality"), (11, "Crane"))]))
+    o = t("orders").select(
+        "o_orderkey", F.concat(F.lit("R"), F.col("o_orderkey").cast("string")).alias("id"), types.alias("types"), F.when(F.col("o_custkey") % 7 != 0, F.col("o_totalprice") * 2).alias("damage"),
+        F.concat(F.lit("GC "), (F.col("o_custkey") % 900).cast("string")).alias("site"),
+        F.when(part == 0, " ").when(part == 1, "2024-13-01").otherwise(F.date_format(F.date_add("o_orderdate", 10220), "yyyy-MM-dd")).alias("raw"),
+    )
+    made = synthesize(o, "id", "raw", "types", "damage", "site").drop("id", "raw", "types", "damage", "site")
+    return made.withColumns({"anomalies": F.array_join("anomalies", ",")} | {f"syn_{n}": F.col(f"syn_{n}").cast("string") for n in _OFFSETS})
+
+
 @query()
 def tfidf_topterms(spark, t):
     """Top terms by language of the mean of TF-IDF vectors (sublinear counts, L2 norm)."""

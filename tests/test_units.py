@@ -13,7 +13,7 @@ from caseledger.functions import hashing as H
 from caseledger.functions import prose as P
 from caseledger.functions import text as X
 from caseledger.functions import forms as R
-from caseledger.operators import joins, layout, ordered, provenance, records, scenario
+from caseledger.operators import joins, layout, ordered, provenance, records, scenario, synthesis
 from caseledger.plans.projection import compile_projection
 from caseledger.sources import files
 
@@ -348,3 +348,28 @@ def test_records(spark, tmp_path):
     assert records.header(spark, f"{tmp_path}/t.csv") == [" i", "v"]
     assert one(spark, X.without_head(F.col("t"), F.lit("Cause")), t="Cause - it fell") == "it fell"
     assert one(spark, X.without_head(F.col("t"), F.lit("Cause")), t="Causes: many") == "Causes: many"
+
+
+def test_synthesis_of_absent_dates_types_and_damage(spark):
+    rows = [
+        ("a", "2024-05-02", ["Fire", None, " ", "Fire", "Pollution"], 25000.0, "GC 1", 1), ("b", "2026-08-01", [], None, None, 2), ("c", "2026-01-01", None, 600000.0, "GC 3", 3),
+        ("d", " ", ["Fire"], 1.0, "GC 4", 4), ("e", None, ["Fire"], 1.0, "GC 5", 5), ("f", "2024-02-30", ["Fire"], 1.0, "GC 6", 6), ("g", "May 2, 2024", ["Fire"], 1.0, "GC 7", 7),
+    ]
+    df = spark.createDataFrame(rows, "id string, day string, types array<string>, damage double, site string, key int")
+    out = synthesis.synthesize(df, "id", "day", "types", "damage", "site")
+    got = {r.id: r for r in out.collect()}
+    made = [c for c in out.columns if c.startswith("syn_")]
+    assert len(made) == 28 and out.columns[:6] == df.columns and len(got) == 7
+    a, b, c = got["a"], got["b"], got["c"]
+    assert (a.syn_incident_title, a.syn_incident_classification, a.syn_environment_reputation_score, a.syn_financial_score, a.syn_mitigated_risk_score) == ("Fire, Pollution incident at GC 1", "Serious", 5, 2, 3)
+    assert (a.syn_action_status, a.syn_schedule_status, a.anomalies, a.skipped) == ("Completed", "N/A", [], None)
+    digest = lambda salt: hashlib.sha256(f"a{salt}".encode()).hexdigest()
+    assert a.syn_responsible_owner_name == f"SYN-Owner-{digest('owner')[:6]}"
+    assert a.syn_date_of_report == date.fromordinal(date(2024, 5, 2).toordinal() + 5 + int(digest("date_of_report"), 16) % 11)
+    assert a.syn_approval_date < a.syn_close_out_date and a.syn_approval_date < a.syn_action_due_date
+    assert (b.syn_incident_classification, b.syn_hs_risk_score, b.syn_mitigated_risk_score, b.syn_environment_reputation_classification, b.syn_financial_classification) == ("Unknown", None, None, "Unknown", "Unknown")
+    assert b.anomalies == ["unresolved_incident_classification", "unresolved_property_damage"] and b.syn_incident_title == "Unspecified incident at " and b.syn_action_status == "Pending"
+    assert c.anomalies == ["unresolved_incident_classification"] and (c.syn_financial_classification, c.syn_action_status) == ("Major", "In Progress")
+    assert {k: got[k].skipped for k in "defg"} == {"d": "no_incident_date", "e": "no_incident_date", "f": "unparseable_date", "g": "unparseable_date"}
+    assert all(got[k][m] is None for k in "defg" for m in made)
+    assert synthesis.synthesize(df.filter("false"), "id", "day", "types", "damage", "site").collect() == []
