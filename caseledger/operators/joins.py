@@ -81,6 +81,19 @@ def column_difference(declared: Sequence[str], df: DataFrame) -> DataFrame:
     return spark.createDataFrame(rows, "column string, side string")
 
 
+def suffix_collisions(df: DataFrame, key: str, suffix: str, ident: str, salts: int = 64) -> DataFrame:
+    """df with ``-`` and ``suffix`` appended to every key that more than one row has; a null key stays null.
+
+    Rows are counted by key and salt of the identifier, and totals go back only to the salts that a key has, so a hot key's
+    rows are dealt over ``salts`` tasks."""
+    salted = df.withColumn("_salt", F.pmod(F.xxhash64(F.col(ident)), F.lit(salts)).cast("int"))
+    parts = salted.groupBy(key, "_salt").agg(F.count("*").alias("_n"))
+    shared = parts.groupBy(key).agg(F.sum("_n").alias("_all")).filter("_all > 1")
+    both = salted.join(parts.select(key, "_salt").join(shared, key), [key, "_salt"], "left")
+    named = F.when(F.col("_all").isNotNull(), F.concat_ws("-", F.col(key), F.col(suffix))).otherwise(F.col(key))
+    return both.withColumn(key, named).select(*df.columns)
+
+
 def near_values(values: DataFrame, value: str, count: str, share: float = 0.5) -> DataFrame:
     """(a, b, n) with a < b and the lesser count: one value contains the other, or their words have a Jaccard similarity
     of ``share`` or more. ``values`` holds distinct values; empty and null ones are left out.

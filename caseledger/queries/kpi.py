@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from caseledger.functions.hashing import draw, quantile_table, rate_hit
-from caseledger.operators.joins import exists_either, first_of, recurrences, two_tier_join
+from caseledger.operators.joins import exists_either, first_of, recurrences, suffix_collisions, two_tier_join
 from caseledger.queries.base import query, sql_hit, sql_mod
 
 _ACTION = ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
@@ -166,10 +166,9 @@ def dedup_first_wins(spark, t):
 @query("""WITH k AS (SELECT doc_id, lang || '-' || source || '-' || (n_chars // 500) AS key, text FROM documents)
 SELECT doc_id, CASE WHEN count(*) OVER (PARTITION BY key) > 1 THEN key || '-' || substr(sha256(text), 1, 8) ELSE key END AS key FROM k""")
 def collision_suffix(spark, t):
-    """Every member of a colliding key gets a content hash. Counts join back, so a hot key is no single window."""
+    """Every member of a colliding key gets a content hash."""
     k = t("documents").select("doc_id", F.concat_ws("-", "lang", "source", F.floor(F.col("n_chars") / 500).cast("string")).alias("key"), F.substring(F.sha2(F.col("text").cast("binary"), 256), 1, 8).alias("h"))
-    n = k.groupBy("key").agg(F.count("*").alias("n"))
-    return k.join(n, "key").select("doc_id", F.when(F.col("n") > 1, F.concat_ws("-", "key", "h")).otherwise(F.col("key")).alias("key"))
+    return suffix_collisions(k, "key", "h", "doc_id").select("doc_id", "key")
 
 
 @query(f"""WITH d AS (SELECT o_orderkey, {sql_mod("'decide|' || o_orderkey", 1024)} AS r FROM orders)

@@ -373,3 +373,24 @@ def test_synthesis_of_absent_dates_types_and_damage(spark):
     assert {k: got[k].skipped for k in "defg"} == {"d": "no_incident_date", "e": "no_incident_date", "f": "unparseable_date", "g": "unparseable_date"}
     assert all(got[k][m] is None for k in "defg" for m in made)
     assert synthesis.synthesize(df.filter("false"), "id", "day", "types", "damage", "site").collect() == []
+
+
+def test_a_manifest_asserts_every_kpi(spark):
+    k = scenario.Knobs()
+    p = scenario.plan(spark.range(60).select(F.col("id").cast("string").alias("i")), "i", "x", k)
+    planted = [scenario.Planted("a", "b", date(2021, 1, 1), date(2021, 2, 1), "3", "Drilling")]
+    detected = spark.createDataFrame([("a", "b"), ("a", "c"), ("d", "e")], "a string, b string")
+    plants = [scenario.Plant("report_lag", "median_report_lag", ">", ref="base", factor=3.0), scenario.Plant("recurrence", "recurrence_rate", ">=", count=1)]
+    m = scenario.manifest(p, scenario.closeout(p), k, "x", plants, ["skip_rate"], planted, detected)
+    assert m["analytic_expectations"]["recurrence_rate"] == 2 and m["window"] == {"start": "2021-01-01", "end": "2025-12-31"}
+    assert m["plants"] == [{"pathology": "report_lag", "kpi": "median_report_lag", "op": ">", "ref": "base", "factor": 3.0}, {"pathology": "recurrence", "kpi": "recurrence_rate", "op": ">=", "count": 1, "affected_ids": [["a", "b"]]}]
+    assert scenario.unasserted(m, ["median_report_lag", "skip_rate", "overdue_rate", "owner_completeness"]) == ["owner_completeness"]
+    other = scenario.Knobs(skip=0.5)
+    assert m["scenario_sha256"] != scenario.manifest(p, scenario.closeout(p), other)["scenario_sha256"] and len(m["scenario_sha256"]) == 64
+    assert plants[0].holds(31, 10) and not plants[0].holds(30, 10) and plants[1].holds(1) and scenario.Plant("x", "y", "<", points=-25).holds(70, 96)
+
+
+def test_colliding_keys_take_their_suffix(spark):
+    rows = [(i, "hot", f"h{i}") for i in range(500)] + [(1000, "one", "h"), (1001, None, "h"), (1002, "two", "a"), (1003, "two", "a")]
+    got = {r.i: r.k for r in joins.suffix_collisions(spark.createDataFrame(rows, "i int, k string, h string"), "k", "h", "i", salts=7).collect()}
+    assert got == {i: f"hot-h{i}" for i in range(500)} | {1000: "one", 1001: None, 1002: "two-a", 1003: "two-a"}
