@@ -6,6 +6,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from caseledger.llm import bpe, chat, decontam, media, quality, repeats, sharding, simhash, toxicity
 from caseledger.llm import html as html_text
 from caseledger.llm.queries import tokenizer_path
@@ -127,3 +128,28 @@ def test_chat(spark):
     segments = chat.format_segments(d).filter("conv_id = 3").orderBy("turn_index", "segment_index").collect()
     assert chat.unescape("".join(s.text for s in segments if s.loss)) == rows[-1][3]
     assert chat.format_digests(d.limit(0)).count() == 0
+
+
+def test_pipeline_stages(spark, docs, labels, tmp_path):
+    sf = f"file://{tmp_path}"
+    labels.write.parquet(f"{sf}/labels.parquet")
+    spark.createDataFrame([(1, "Same TEXT, here!"), (2, None), (3, "")], "item_id long, text string").write.parquet(f"{sf}/benchmark.parquet")
+    stages = dict(corpus_pipeline.STAGES)
+    rows = {name: stages[name](spark, docs, sf) for name in list(stages)[:-1]}
+    assert all(sorted(d.columns) == sorted(docs.columns) and d.schema[c].dataType == docs.schema[c].dataType for d in rows.values() for c in docs.columns)
+    key = lambda d: sorted(((r.doc_id or 0, r.text) for r in d.select("doc_id", "text").collect()), key=repr)
+    every = sorted(((i or 0, t) for i, t in TEXTS), key=repr)
+    assert set(key(rows["quality"])) <= set(every)
+    # One row of equal texts; texts without words are one group of their own.
+    near = key(rows["near_duplicates"])
+    assert [x for x in near if x[1] == "same text here"] == [(4, "same text here")]
+    assert {x for x in near if x[1] and len(x[1]) > 20} == {x for x in every if x[1] and len(x[1]) > 20}
+    assert [x for x in near if not (x[1] or "").strip()] == [(1, None)]
+    # Each stage treats a null as an empty text and leaves it null; short repeated texts stay whole.
+    cut = key(rows["repeats"])
+    assert len(cut) == len(TEXTS) and (1, None) in cut and (7, "") in cut and cut.count((4, "same text here")) == 2
+    assert key(rows["decontamination"]) == [x for x in every if x[1] != "same text here"]
+    tokens = stages["tokens"](spark, docs, sf)
+    assert tokens.columns == ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"] and tokens.count() == len(TEXTS)
+    for name, stage in stages.items():
+        assert stage(spark, docs.limit(0), sf).count() == 0, name
