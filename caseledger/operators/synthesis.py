@@ -87,10 +87,11 @@ def synthesize(df: DataFrame, ident: str, day: str, types: str, damage: str, sit
     fields: dict[str, Column] = {}
     for role, (salt, label, position) in r.roles.items():
         fields[f"{role}_name"], fields[f"{role}_position"] = identity(key, label, salt), F.lit(position)
-    dates = {"incident_date": parsed}
+    # One column a date, so that a date that others rest on is drawn once.
+    held = df.withColumn("_on_incident_date", parsed)
     for name, (base, low, high) in r.dates.items():
-        dates[name] = F.date_add(dates[base], F.lit(low) + draw(high - low + 1, key, name, sep="").cast("int"))
-    fields |= {name: dates[name] for name in r.dates}
+        held = held.withColumn(f"_on_{name}", F.date_add(F.col(f"_on_{base}"), F.lit(low) + draw(high - low + 1, key, name, sep="").cast("int")))
+    fields |= {name: F.col(f"_on_{name}") for name in r.dates}
     status = status_by_age(parsed, F.lit(r.frozen).cast("date"))
     fields["action_status"] = status
     fields["schedule_status"] = F.when(status == "Completed", "N/A").when(draw(2, key, r.schedule_salt, sep="") == 0, "On Schedule").otherwise("Behind")
@@ -99,4 +100,4 @@ def synthesize(df: DataFrame, ident: str, day: str, types: str, damage: str, sit
     odd = F.array_compact(F.array(F.when(F.size(known) == 0, "unresolved_incident_classification"), F.when(F.col(damage).isNull(), "unresolved_property_damage")))
     skipped = F.when(F.coalesce(raw, F.lit("")) == "", "no_incident_date").when(parsed.isNull(), "unparseable_date")
     made = {f"syn_{name}": F.when(parsed.isNotNull(), value) for name, value in fields.items()}
-    return df.select("*", *[c.alias(n) for n, c in made.items()], F.when(parsed.isNotNull(), odd).alias("anomalies"), skipped.alias("skipped"))
+    return held.select(*[F.col(f"`{c}`") for c in df.columns], *[c.alias(n) for n, c in made.items()], F.when(parsed.isNotNull(), odd).alias("anomalies"), skipped.alias("skipped"))
