@@ -11,6 +11,7 @@ from caseledger.llm.common import table
 from caseledger.llm.decontam import contained_items
 from caseledger.llm.html import extract_text
 from caseledger.llm.media import media_features
+from caseledger.llm.periodic import periodic_runs
 from caseledger.llm.quality import quality_scores
 from caseledger.llm.repeats import repeat_digests
 from caseledger.llm.sharding import shard_documents
@@ -101,6 +102,10 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_documents(table(spark, sf_dir, "documents"), shards=16, law="bytes")
 
 
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic_runs(table(spark, sf_dir, "documents"), planted=True)
+
+
 QUERIES = {
     "op1_html_text": op1_html_text,
     "op3_media": op3_media,
@@ -112,5 +117,6 @@ QUERIES = {
     "op8_chat_formatting": op8_chat_formatting,
     "op9_repeats": op9_repeats,
     "op10_sharding": op10_sharding,
+    "op12_periodic_runs": op12_periodic_runs,
 }
 ORACLE_SQL = {"op4_decontamination": OP4_SQL, "op8_chat_formatting": OP8_SQL}
