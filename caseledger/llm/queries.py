@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from caseledger.llm.alignment import align_tokens
 from caseledger.llm.bpe import token_digests
 from caseledger.llm.chat import format_digests
 from caseledger.llm.common import table
@@ -106,6 +107,12 @@ def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return periodic_runs(table(spark, sf_dir, "documents"), planted=True)
 
 
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return align_tokens(table(spark, sf_dir, "documents"), tokenizer_path(), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 QUERIES = {
     "op1_html_text": op1_html_text,
     "op3_media": op3_media,
@@ -118,5 +125,6 @@ QUERIES = {
     "op9_repeats": op9_repeats,
     "op10_sharding": op10_sharding,
     "op12_periodic_runs": op12_periodic_runs,
+    "op13_token_alignment": op13_token_alignment,
 }
 ORACLE_SQL = {"op4_decontamination": OP4_SQL, "op8_chat_formatting": OP8_SQL}
