@@ -11,6 +11,7 @@ from caseledger.llm.chat import format_digests
 from caseledger.llm.common import table
 from caseledger.llm.decontam import contained_items
 from caseledger.llm.html import extract_text
+from caseledger.llm.langid import language_scores
 from caseledger.llm.media import media_features
 from caseledger.llm.periodic import periodic_runs
 from caseledger.llm.quality import quality_scores
@@ -103,6 +104,10 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_documents(table(spark, sf_dir, "documents"), shards=16, law="bytes")
 
 
+def op11_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_scores(table(spark, sf_dir, "documents"))
+
+
 def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return periodic_runs(table(spark, sf_dir, "documents"), planted=True)
 
@@ -124,6 +129,7 @@ QUERIES = {
     "op8_chat_formatting": op8_chat_formatting,
     "op9_repeats": op9_repeats,
     "op10_sharding": op10_sharding,
+    "op11_language_id": op11_language_id,
     "op12_periodic_runs": op12_periodic_runs,
     "op13_token_alignment": op13_token_alignment,
 }
