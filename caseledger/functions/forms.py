@@ -1,4 +1,4 @@
-"""Form text: sections, anchors, revisions, field classes, prompts and strict responses."""
+"""Form text: sections, field classes, prompts and strict responses; anchors are in ``operators.segments``."""
 
 from __future__ import annotations
 
@@ -24,25 +24,6 @@ def tail_from(text: Column, heading: str) -> Column:
     return F.when(F.locate(heading, text) > 0, F.substr(text, F.locate(heading, text))).otherwise("")
 
 
-def anchors(line: Column, labels: dict[int, str]) -> Column:
-    """Field numbers of ``NN. LABEL`` anchors whose label is confirmed by the longest listed prefix of what follows."""
-    numbers = F.regexp_extract_all(line, F.lit(r"(\d{1,2})\. [A-Z]"), F.lit(1))
-    texts = F.regexp_extract_all(line, F.lit(r"\d{1,2}\. ([A-Z][A-Z /]*)"), F.lit(1))
-
-    def known(n, t):
-        out = F.lit(None).cast("int")
-        for k, label in labels.items():
-            out = F.when((n == str(k)) & t.startswith(label), k).otherwise(out)
-        return out
-
-    return F.filter(F.zip_with(numbers, texts, known), lambda x: x.isNotNull())
-
-
-def revision(depth_field: Column, third_label: Column) -> Column:
-    """Which form revision: the number of the water-depth field and the third field's label decide."""
-    return F.when((depth_field == 8) & (third_label == "OPERATOR"), "A").when((depth_field == 8), "B").when(depth_field == 10, "C").otherwise("unknown")
-
-
 def field_class(c: Column, legitimate: Sequence[str]) -> Column:
     """parse_failed (null), absent_legitimate, typed (a statement opens with a head) or freetext."""
     return F.when(c.isNull(), "parse_failed").when(is_blank(c) | F.lower(F.trim(c)).isin(*legitimate), "absent_legitimate").when(c.rlike(r"^[A-Z][A-Za-z ]{0,58}:"), "typed").otherwise("freetext")

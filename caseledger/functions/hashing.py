@@ -19,15 +19,15 @@ def sha_hex(*parts: Column | str, sep: str = "|") -> Column:
     return F.sha2(F.concat_ws(sep, *cols) if sep else F.concat(*cols), 256)
 
 
-def hex_mod(digest: Column, n: int) -> Column:
-    """The digest as a 256-bit integer modulo n."""
-    if not 0 < n < 1 << 31:
+def hex_mod(digest: Column, n: int | Column) -> Column:
+    """The digest as a 256-bit integer modulo n, which a column of values from 1 to 2**31 - 1 may give."""
+    if not isinstance(n, Column) and not 0 < n < 1 << 31:
         raise ValueError("modulus must be positive and below 2**31")
-    words = [F.conv(F.substring(digest, 8 * i + 1, 8), 16, 10).cast("bigint") for i in range(8)]
-    return reduce(lambda acc, w: F.pmod(acc * F.lit(1 << 32) + w, F.lit(n).cast("bigint")), words[1:], F.pmod(words[0], F.lit(n).cast("bigint")))
+    words, m = [F.conv(F.substring(digest, 8 * i + 1, 8), 16, 10).cast("bigint") for i in range(8)], (n if isinstance(n, Column) else F.lit(n)).cast("bigint")
+    return reduce(lambda acc, w: F.pmod(acc * F.lit(1 << 32) + w, m), words[1:], F.pmod(words[0], m))
 
 
-def draw(n: int, *parts: Column | str, sep: str = "|") -> Column:
+def draw(n: int | Column, *parts: Column | str, sep: str = "|") -> Column:
     return hex_mod(sha_hex(*parts, sep=sep), n)
 
 

@@ -95,20 +95,6 @@ def classify_fields(spark, t):
     return t("conversations").select("conv_id", "turn", R.field_class(text, ["n/a", "none"]).alias("class"))
 
 
-@query("SELECT o_orderkey, CASE o_orderkey % 4 WHEN 0 THEN 'A' WHEN 1 THEN 'B' WHEN 2 THEN 'C' ELSE 'unknown' END AS revision FROM orders")
-def form_revision(spark, t):
-    m = F.col("o_orderkey") % 4
-    depth = F.when(m <= 1, 8).when(m == 2, 10)
-    return t("orders").select("o_orderkey", R.revision(depth, F.when(m == 0, "OPERATOR").otherwise("LEASE")).alias("revision"))
-
-
-@query("SELECT o_orderkey, CASE WHEN o_orderkey % 2 = 0 THEN '3,18' ELSE '3' END AS fields FROM orders")
-def anchor_scan(spark, t):
-    """Numbered labels in a line; a number whose label is another field's does not count."""
-    line = F.when(F.col("o_orderkey") % 2 == 0, "3. OPERATOR x 18. PROBABLE CAUSE y").otherwise("3. OPERATOR x 18. WEATHER y 40. OTHER")
-    return t("orders").select("o_orderkey", F.array_join(R.anchors(line, {3: "OPERATOR", 18: "PROBABLE CAUSE", 19: "WEATHER"}), ",").alias("fields"))
-
-
 @query("SELECT doc_id, sha256('Label: [' || substr(text, 1, 1200) || ']') AS prompt FROM documents")
 def build_prompts(spark, t):
     return t("documents").select("doc_id", F.sha2(R.prompt("Label: [{text}]", F.col("text")).cast("binary"), 256).alias("prompt"))
