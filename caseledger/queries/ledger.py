@@ -86,7 +86,7 @@ def hash_mod_buckets(spark, t):
     return t("customer").select((draw(1826, F.col("c_custkey")) % 100).alias("bucket")).groupBy("bucket").agg(F.count("*").alias("n"))
 
 
-_GROUPS = {"Drilling": 30, "Production": 25, "Cranes": 15, "Boats": 12, "Wells": 10, "Other": 8}
+_GROUPS = {"red": 17, "amber": 41, "green": 9, "blue": 33}
 
 
 @query(f"SELECT c_custkey, {sql_pick(_GROUPS, chr(39) + 'wg' + chr(39) + ' || c_custkey', by_key=True)} AS work_group FROM customer")
@@ -95,10 +95,10 @@ def weighted_pick_sorted(spark, t):
     return t("customer").select("c_custkey", weighted_pick(_GROUPS, F.lit("wg"), F.col("c_custkey"), by_key=True, sep="").alias("work_group"))
 
 
-@query(f"SELECT c_custkey, {sql_pick(_GROUPS, chr(39) + 'northern|' + chr(39) + ' || c_custkey || ' + chr(39) + '|work_group|salt' + chr(39))} AS work_group FROM customer")
+@query(f"SELECT c_custkey, {sql_pick(_GROUPS, chr(39) + 'harbour|' + chr(39) + ' || c_custkey || ' + chr(39) + '|work_group|salt' + chr(39))} AS work_group FROM customer")
 def weighted_pick_listed(spark, t):
     """Keys walked as listed, parts joined by a pipe and salted."""
-    return t("customer").select("c_custkey", weighted_pick(_GROUPS, F.lit("northern"), F.col("c_custkey"), F.lit("work_group"), F.lit("salt")).alias("work_group"))
+    return t("customer").select("c_custkey", weighted_pick(_GROUPS, F.lit("harbour"), F.col("c_custkey"), F.lit("work_group"), F.lit("salt")).alias("work_group"))
 
 
 @query(f"SELECT o_orderpriority, count_if({sql_hit(0.125, chr(39) + 'hit|' + chr(39) + ' || o_orderkey')})::BIGINT AS hits, count(*) AS n FROM orders GROUP BY 1")
@@ -119,16 +119,16 @@ def pseudonyms(spark, t):
     return t("customer").select("c_custkey", pseudonym(F.col("c_name"), "OP-", "pepper").alias("pseudonym"))
 
 
-@query("SELECT o_orderkey, 'INC-' || upper(substr(sha256('northern|' || o_orderkey || '|key'), 1, 10)) AS key FROM orders")
+@query("SELECT o_orderkey, 'INC-' || upper(substr(sha256('harbour|' || o_orderkey || '|key'), 1, 10)) AS key FROM orders")
 def mint_keys(spark, t):
-    return t("orders").select("o_orderkey", mint_key("INC-", F.lit("northern"), F.col("o_orderkey"), F.lit("key")).alias("key"))
+    return t("orders").select("o_orderkey", mint_key("INC-", F.lit("harbour"), F.col("o_orderkey"), F.lit("key")).alias("key"))
 
 
-@query("""SELECT c_custkey, rank::BIGINT AS rank, ['northern', 'meridional', 'littoral'][slice + 1] AS company FROM
+@query("""SELECT c_custkey, rank::BIGINT AS rank, ['harbour', 'quarry', 'foundry'][slice + 1] AS company FROM
  (SELECT *, ((rank - 1) // 50)::INTEGER AS slice FROM (SELECT c_custkey, row_number() OVER (ORDER BY sha256(c_custkey::VARCHAR), c_custkey) AS rank FROM customer)) WHERE slice < 3""")
 def hash_rank_slices(spark, t):
     r = hash_rank(t("customer").select("c_custkey"), "c_custkey").withColumn("slice", F.floor((F.col("rank") - 1) / 50).cast("int")).filter("slice < 3")
-    return r.select("c_custkey", "rank", F.element_at(F.array(*[F.lit(x) for x in ("northern", "meridional", "littoral")]), F.col("slice") + 1).alias("company"))
+    return r.select("c_custkey", "rank", F.element_at(F.array(*[F.lit(x) for x in ("harbour", "quarry", "foundry")]), F.col("slice") + 1).alias("company"))
 
 
 @query("SELECT lang, doc_id FROM (SELECT lang, doc_id, row_number() OVER (PARTITION BY lang ORDER BY sha256(doc_id::VARCHAR), doc_id) AS r FROM documents) WHERE r <= 30")

@@ -12,14 +12,14 @@ from caseledger.operators.synthesis import synthesize
 from caseledger.queries.base import query, sql_hit, sql_mod, sql_pick
 
 _K = S.Knobs()
-_C = "littoral"
+_C = "foundry"
 
 
 def _key(purpose: str, more: str = "") -> str:
     return f"'{_C}|' || c_custkey || '|{purpose}{more}|{S.SALT}'"
 
 
-_PLAN_SQL = f"""WITH p AS (SELECT c_custkey, 'LI-' || upper(substr(sha256('{_C}|' || c_custkey || '|key'), 1, 10)) AS incident, DATE '2021-01-01' + {sql_mod(_key('day'), _K.days)}::INTEGER AS day,
+_PLAN_SQL = f"""WITH p AS (SELECT c_custkey, 'FO-' || upper(substr(sha256('{_C}|' || c_custkey || '|key'), 1, 10)) AS incident, DATE '2021-01-01' + {sql_mod(_key('day'), _K.days)}::INTEGER AS day,
  {sql_hit(_K.skip, _key('skip'))} AS skipped, {sql_pick(dict(_K.groups), _key('work_group'))} AS work_group, ({quantile_table(*_K.lag)})[{sql_mod(_key('report_lag'), 1024)} + 1]::INTEGER AS report_lag,
  CASE WHEN {sql_hit(_K.root, _key('root'))} THEN 3 ELSE 1 + {sql_mod(_key('chain'), 2)} END::INTEGER AS n_causes, (1 + ({sql_mod(_key('nrec'), 10)} < 2)::INTEGER)::INTEGER AS n_actions, {sql_hit(_K.scored, _key('hsblank'))} AS scored FROM customer)"""
 

@@ -301,7 +301,7 @@ def test_near_values_equal_all_pairs(spark):
 
 def test_register_lateness_follows_its_expectation(spark):
     k = scenario.Knobs()
-    p = scenario.plan(spark.range(2000).select(F.col("id").cast("string").alias("id")), "id", "littoral", k)
+    p = scenario.plan(spark.range(2000).select(F.col("id").cast("string").alias("id")), "id", "foundry", k)
     m = scenario.manifest(p, scenario.closeout(p), k)
     assert m["incidents"] == 2000 and abs(m["overdue_rate"] - m["expected_overdue_rate"]) < 0.04
 
