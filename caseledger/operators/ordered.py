@@ -4,6 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 
+import numpy as np
+import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -93,37 +96,113 @@ def anchor_slices(df: DataFrame, group: Sequence[str], order: str, is_anchor: Co
     return d.groupBy(*group, F.col("_a").alias("anchor")).agg(F.count("*").alias("n_lines"), F.array_join(lines, " ").alias("content"))
 
 
-def linkage_rows(values: Column, gap: float, span: float) -> Column:
-    """array<struct<v, first, row>> of sorted values: a value joins the current row if it lies within ``gap`` of the one
-    before and within ``span`` of the row's first. A fold, since the span cap is not an island condition."""
-    empty = F.array().cast("array<struct<v:double,first:double,row:int>>")
+def _row_starts(v: np.ndarray, gap: float, span: float, first: float | None = None) -> np.ndarray:
+    """Positions in sorted values at which a row begins: after a gap, or beyond the row's first value by more than ``span``.
+    ``first`` is that of a row that is open before the values; without it the first value begins one.
+
+    Every value knows where the row after its own would begin, so only the rows are walked, not their values."""
+    n = len(v)
+    beyond = np.searchsorted(v, v + span, "right")
+    while (late := (beyond < n) & (v[np.minimum(beyond, n - 1)] - v <= span)).any():  # sums round, differences decide
+        beyond[late] += 1
+    while (early := v[beyond - 1] - v > span).any():
+        beyond[early] -= 1
+    breaks = np.append(np.flatnonzero(v[1:] - v[:-1] > gap) + 1, n)
+    following = np.minimum(beyond, breaks[np.searchsorted(breaks, np.arange(n), "right")]).tolist()
+    at = 0
+    if first is not None:
+        inside = np.flatnonzero(v - first > span)
+        at = min(int(inside[0]) if len(inside) else n, int(breaks[0]))
+    out = []
+    while at < n:
+        out.append(at)
+        at = following[at]
+    return np.array(out, dtype=np.int64)
 
-    def step(acc, v):
-        last = F.try_element_at(acc, F.lit(-1))
-        joins = last.isNotNull() & (v - last["v"] <= gap) & (v - last["first"] <= span)
-        nxt = F.struct(v.alias("v"), F.when(joins, last["first"]).otherwise(v).alias("first"), F.when(joins, last["row"]).otherwise(F.coalesce(last["row"], F.lit(0)) + 1).alias("row"))
-        return F.concat(acc, F.array(nxt))
 
-    return F.aggregate(F.sort_array(F.transform(values, lambda v: v.cast("double"))), empty, step)
+def linkage_rows(values: Column, gap: float, span: float) -> Column:
+    """array<struct<v, first, row>> of sorted values: a value joins the current row if it lies within ``gap`` of the one
+    before and within ``span`` of the row's first. The span cap makes it no island condition."""
+
+    @F.pandas_udf("start array<int>, row array<int>")
+    def rows(series: pd.Series) -> pd.DataFrame:
+        out = []
+        for v in series:
+            if v is None:
+                out.append((None, None))
+                continue
+            starts = _row_starts(np.asarray(v, dtype=float), gap, span) if len(v) else np.zeros(0, dtype=np.int64)
+            size = np.diff(np.append(starts, len(v)))
+            out.append((np.repeat(starts, size).astype(np.int32), np.repeat(np.arange(1, len(starts) + 1), size).astype(np.int32)))
+        return pd.DataFrame(out, columns=["start", "row"])
+
+    v = F.sort_array(F.transform(values, lambda v: v.cast("double")))
+    at = rows(v)
+    return F.zip_with(v, F.arrays_zip(at["start"].alias("start"), at["row"].alias("row")), lambda x, r: F.struct(x.alias("v"), F.get(v, r["start"]).alias("first"), r["row"].alias("row")))
+
+
+def linkage(df: DataFrame, group: str, value: str, gap: float, span: float, name: str = "first") -> DataFrame:
+    """df with the first value of each value's row, groups of any size; null values are left out.
+
+    Values are counted into cells as wide as the gap: an empty cell is a gap, so the parts between empty cells do not see
+    each other and are dealt over tasks. A task streams its parts in order and keeps one open row."""
+    d = df.filter(F.col(value).isNotNull()).withColumn("_cell", F.floor(F.col(value) / gap))
+    cells = d.select(group, "_cell").distinct()
+    w = Window.partitionBy(group).orderBy("_cell")
+    cells = cells.withColumn("_part", F.sum(F.when(F.col("_cell") - F.lag("_cell").over(w) == 1, 0).otherwise(1)).over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    d = d.join(cells.select(F.col(group).alias("_g"), "_cell", "_part"), F.col(group).eqNullSafe(F.col("_g")) & (d["_cell"] == cells["_cell"])).select(d["*"], "_part").drop("_cell")
+    d = d.withColumn("_v", F.col(value).cast("double")).repartition(group, "_part").sortWithinPartitions(group, "_part", "_v")
+    names = [c for c in d.columns if c not in ("_part", "_v")]
+
+    def run(batches):
+        key, first, last = None, None, None
+        for b in batches:
+            if not b.num_rows:
+                continue
+            g, part, v = b.column(group), b.column("_part"), b.column("_v").to_numpy(zero_copy_only=False)
+            codes = g.dictionary_encode(null_encoding="encode").indices.to_numpy(zero_copy_only=False)
+            p = part.to_numpy(zero_copy_only=False)
+            edge = np.concatenate([[0], np.flatnonzero((codes[1:] != codes[:-1]) | (p[1:] != p[:-1])) + 1, [len(v)]])
+            out = np.empty(len(v))
+            for a, z in zip(edge[:-1].tolist(), edge[1:].tolist(), strict=True):
+                here = (g[a].as_py(), part[a].as_py())
+                goes_on = here == key and v[a] - last <= gap
+                starts = a + _row_starts(v[a:z], gap, span, first if goes_on else None)
+                if goes_on and (not len(starts) or starts[0] > a):
+                    out[a : starts[0] if len(starts) else z] = first
+                out[starts[0] if len(starts) else z : z] = np.repeat(v[starts], np.diff(np.append(starts, z)))
+                key, first, last = here, out[z - 1], v[z - 1]
+            yield pa.RecordBatch.from_arrays([b.column(c) for c in names] + [pa.array(out)], names=names + [name])
+
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in d.schema if f.name in names)
+    return d.mapInArrow(run, f"{schema}, `{name}` double")
+
+
+def _distributed(lines: Sequence[str]) -> list[str]:
+    out: list[str] = []
+    head, used = "", True
+    for s in lines:
+        if s.startswith("- "):
+            out.append(f"{head} {s[2:]}" if head else s[2:])
+            used = True
+            continue
+        if not used:
+            out.append(head)
+        head, used = (s, False) if s.endswith(":") else ("", True)
+        if used:
+            out.append(s)
+    return out if used else [*out, head]
 
 
 def distribute_headers(statements: Column) -> Column:
     """A bare header (ends in a colon, no bullet) prefixes the bullets after it until a line that is none; alone, it
-    becomes a statement itself."""
-    state = F.struct(F.lit("").alias("head"), F.lit(False).alias("used"), F.array().cast("array<string>").alias("out"))
-
-    def step(acc, s):
-        bullet = s.startswith("- ")
-        header = ~bullet & s.endswith(":")
-        flushed = F.when((acc["head"] != "") & ~acc["used"], F.concat(acc["out"], F.array(acc["head"]))).otherwise(acc["out"])
-        body = F.substr(s, F.lit(3))
-        return (
-            F.when(header, F.struct(s.alias("head"), F.lit(False).alias("used"), flushed.alias("out")))
-            .when(bullet, F.struct(acc["head"].alias("head"), F.lit(True).alias("used"), F.concat(acc["out"], F.array(F.when(acc["head"] != "", F.concat_ws(" ", acc["head"], body)).otherwise(body))).alias("out")))
-            .otherwise(F.struct(F.lit("").alias("head"), F.lit(False).alias("used"), F.concat(flushed, F.array(s)).alias("out")))
-        )
-
-    return F.aggregate(statements, state, step, lambda a: F.when((a["head"] != "") & ~a["used"], F.concat(a["out"], F.array(a["head"]))).otherwise(a["out"]))
+    becomes a statement itself. Null lines are left out."""
+
+    @F.pandas_udf("array<string>")
+    def run(series: pd.Series) -> pd.Series:
+        return pd.Series([None if v is None else _distributed([x for x in v if x is not None]) for v in series])
+
+    return run(statements)
 
 
 def values_at(df: DataFrame, group: str, value: str, places: Mapping[str, Callable[[Column], Column]]) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from caseledger.operators.ordered import anchor_slices, distribute_headers, forward_fill, islands, linkage_rows, ordinal, restart_runs, values_at
+from caseledger.operators.ordered import anchor_slices, distribute_headers, forward_fill, islands, linkage, ordinal, restart_runs, values_at
 from caseledger.queries.base import query
 
 
@@ -45,10 +45,10 @@ f AS (SELECT user_id, list_reduce(list_transform(xs, lambda x: [{'v': x, 'f': x,
   THEN {'v': x[1].v, 'f': acc[-1].f, 'r': acc[-1].r} ELSE {'v': x[1].v, 'f': x[1].v, 'r': acc[-1].r + 1} END]) AS rows FROM v)
 SELECT user_id, u.r::INTEGER AS "row", min(u.v) AS first, max(u.v) AS last, count(*) AS n FROM (SELECT user_id, unnest(rows) AS u FROM f) GROUP BY ALL""")
 def capped_linkage_rows(spark, t):
-    """Single linkage with a gap of 15 and a span of 20 minutes, a fold per user."""
-    v = t("events").groupBy("user_id").agg(F.collect_set(F.hour("ts") * 60 + F.minute("ts")).alias("xs"))
-    r = v.select("user_id", F.explode(linkage_rows(F.col("xs"), 15, 20)).alias("u"))
-    return r.groupBy("user_id", F.col("u.row").alias("row")).agg(F.min("u.v").alias("first"), F.max("u.v").alias("last"), F.count("*").alias("n"))
+    """Single linkage with a gap of 15 and a span of 20 minutes; users are cut at their gaps, so a hot one is many parts."""
+    v = t("events").select("user_id", (F.hour("ts") * 60 + F.minute("ts")).alias("x")).distinct()
+    rows = linkage(v, "user_id", "x", 15, 20).groupBy("user_id", "first").agg(F.max("x").cast("double").alias("last"), F.count("*").alias("n"))
+    return rows.withColumn("row", F.row_number().over(Window.partitionBy("user_id").orderBy("first")))
 
 
 @query("""WITH s AS (SELECT o_orderpriority, list_sort(list(o_totalprice)) AS a FROM orders GROUP BY 1)
@@ -58,7 +58,11 @@ def floor_rank_percentiles(spark, t):
     return values_at(t("orders"), "o_orderpriority", "o_totalprice", {"upper_median": lambda n: F.floor(n / 2), "p90": lambda n: F.floor(F.lit(0.9) * (n - 1))})
 
 
-@query()
+@query("""WITH l AS (SELECT conv_id, turn, CASE role WHEN 'user' THEN '- ' || text WHEN 'system' THEN text || ':' ELSE text END AS s FROM conversations),
+k AS (SELECT *, starts_with(s, '- ') AS bullet, NOT starts_with(s, '- ') AND suffix(s, ':') AS header FROM l WHERE s IS NOT NULL),
+w AS (SELECT *, coalesce(lead(bullet) OVER o, FALSE) AS led, last_value(CASE WHEN NOT bullet THEN CASE WHEN header THEN s ELSE '' END END IGNORE NULLS) OVER (PARTITION BY conv_id ORDER BY turn, s ROWS UNBOUNDED PRECEDING) AS head FROM k WINDOW o AS (PARTITION BY conv_id ORDER BY turn, s)),
+o AS (SELECT conv_id, turn, s, CASE WHEN bullet THEN CASE WHEN coalesce(head, '') <> '' THEN head || ' ' ELSE '' END || substr(s, 3) WHEN header AND led THEN NULL ELSE s END AS statement FROM w)
+SELECT c.conv_id, coalesce(list(statement ORDER BY turn, s) FILTER (statement IS NOT NULL), []) AS statements FROM (SELECT DISTINCT conv_id FROM conversations) c LEFT JOIN o USING (conv_id) GROUP BY 1""")
 def header_distribution(spark, t):
     """Statements built from a conversation's turns: system lines head, user lines are bullets."""
     line = F.when(F.col("role") == "user", F.concat(F.lit("- "), F.col("text"))).when(F.col("role") == "system", F.concat(F.col("text"), F.lit(":"))).otherwise(F.col("text"))

@@ -159,9 +159,14 @@ def coincidence_pairs(spark, t):
     return found.exceptAll(found.filter("a % 2 = 0 AND b % 2 = 0"))
 
 
-@query()
+@query("""WITH RECURSIVE s AS (SELECT user_id, (event_id % 4)::INTEGER AS priority, hour(ts)::INTEGER AS start, (hour(ts) + 3)::INTEGER AS "end", event_type AS what FROM events),
+o AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY priority, start, "end", what) AS k FROM s),
+r AS (SELECT user_id, 0::BIGINT AS k, []::STRUCT(a INTEGER, z INTEGER)[] AS kept, FALSE AS took FROM (SELECT DISTINCT user_id FROM s)
+ UNION ALL SELECT o.user_id, o.k, CASE WHEN f.hit THEN r.kept ELSE list_append(r.kept, {'a': o.start, 'z': o."end"}) END, NOT f.hit
+ FROM r JOIN o ON o.user_id = r.user_id AND o.k = r.k + 1, LATERAL (SELECT len(list_filter(r.kept, lambda y: y.a < o."end" AND o.start < y.z)) > 0 AS hit) f)
+SELECT user_id, priority, start, "end", what FROM r JOIN o USING (user_id, k) WHERE took""")
 def disjoint_matches(spark, t):
-    """The kept matches of every user; the fold is tested against brute force, since SQL cannot express it."""
+    """The kept matches of every user, in order of priority."""
     s = t("events").select("user_id", (F.col("event_id") % 4).alias("priority"), F.hour("ts").alias("start"), (F.hour("ts") + 3).alias("end"), F.col("event_type").alias("what"))
     return L.disjoint_matches(s, "user_id")
 
@@ -181,11 +186,21 @@ def proximity_labels(spark, t):
     return L.labels_of_marks(marks, words, "page")
 
 
-@query()
+@query("""WITH RECURSIVE e AS (SELECT user_id AS page, hour(ts)::BIGINT AS h, 200 + 4.5 * minute(ts) AS x0, event_id % 3 = 0 AS anchor FROM events),
+rows_ AS (SELECT page, h, row_number() OVER (PARTITION BY page ORDER BY h) - 1 AS k, list({'x0': x0, 'x1': x0 + 40}) AS spans, bool_or(anchor) AS anchor FROM e GROUP BY page, h),
+g AS (SELECT page, k, x::INTEGER AS x, anchor, len(list_filter(spans, lambda s: s.x0 < x AND x < s.x1)) > 0 AS c, len(list_filter(spans, lambda s: s.x1 <= x)) > 0 AS l, len(list_filter(spans, lambda s: s.x0 >= x)) > 0 AS r FROM rows_, (SELECT unnest(range(240, 371)) AS x)),
+n AS (SELECT page, count(*) AS n FROM rows_ GROUP BY 1), g2 AS (SELECT * FROM g UNION ALL SELECT page, n, x, FALSE, TRUE, FALSE, FALSE FROM n, (SELECT unnest(range(240, 371))::INTEGER AS x)),
+w AS (SELECT page, x, -1::BIGINT AS k, -1::BIGINT AS first, 0 AS bad, -1::BIGINT AS good, -1::BIGINT AS done, -1::BIGINT AS last FROM n, (SELECT unnest(range(240, 371))::INTEGER AS x)
+ UNION ALL SELECT g2.page, g2.x, g2.k, CASE WHEN w.first >= 0 AND NOT f.ends THEN w.first WHEN NOT g2.c THEN g2.k ELSE -1 END, CASE WHEN w.first >= 0 AND NOT f.ends THEN f.bad ELSE 0 END, CASE WHEN NOT g2.c THEN g2.k ELSE w.good END, CASE WHEN f.ends THEN w.first ELSE -1 END, w.good
+ FROM w JOIN g2 ON g2.page = w.page AND g2.x = w.x AND g2.k = w.k + 1 JOIN n ON n.page = w.page, LATERAL (SELECT w.bad + g2.c::INTEGER AS bad, w.first >= 0 AND (g2.k = n.n OR g2.c AND (w.bad + 1) > 0.15 * (g2.k - w.first + 1)) AS ends) f),
+b AS (SELECT w.page, w.x, w.done AS first, w.last FROM w JOIN g ON g.page = w.page AND g.x = w.x AND g.k BETWEEN w.done AND w.last WHERE w.done >= 0 AND w.last - w.done >= 2 GROUP BY w.page, w.x, w.done, w.last HAVING count_if(g.anchor) >= 2 AND bool_or(g.l) AND bool_or(g.r)),
+best AS (SELECT r.page, r.k, r.h, arg_min(b.x, (first - last) * 1000 + b.x) AS x FROM rows_ r JOIN b ON b.page = r.page AND r.k BETWEEN first AND last GROUP BY 1, 2, 3),
+runs AS (SELECT *, k - row_number() OVER (PARTITION BY page, x ORDER BY k) AS run FROM best)
+SELECT page, x AS gutter, min(h) AS first, max(h) AS last FROM runs GROUP BY page, x, run HAVING count(*) >= 3""")
 def covering_bands(spark, t):
-    """Two-column bands of pages built from events; sequential within a page, so grouped pandas."""
-    e = t("events").select((F.col("user_id") % 50).alias("page"), F.hour("ts").cast("long").alias("row"), (F.minute("ts") * 10).alias("x0"))
-    rows = e.groupBy("page", "row").agg(F.collect_list(F.struct(F.col("x0").cast("double").alias("x0"), (F.col("x0") + 60).cast("double").alias("x1"))).alias("spans"))
+    """Two-column bands of pages built from all events, a page a user, a row an hour."""
+    e = t("events").select(F.col("user_id").alias("page"), F.hour("ts").cast("long").alias("row"), (F.lit(200) + F.lit(4.5) * F.minute("ts")).alias("x0"), (F.col("event_id") % 3 == 0).alias("anchor"))
+    rows = e.groupBy("page", "row").agg(F.collect_list(F.struct("x0", (F.col("x0") + 40).alias("x1"))).alias("spans"), F.bool_or("anchor").alias("anchor"))
     return L.covering_bands(rows, "page")
 
 

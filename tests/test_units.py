@@ -328,10 +328,9 @@ def test_disjoint_matches(spark):
 
 
 def test_covering_bands(spark):
-    rows = [(1, k, [(0.0, 290.0), (310.0, 600.0)] if k >= 4 else [(0.0, 600.0)]) for k in range(12)]
-    d = spark.createDataFrame(rows, "page int, row long, spans array<struct<x0:double,x1:double>>")
-    got = layout.covering_bands(d, "page").collect()
-    assert got and all(290 <= r.gutter <= 310 and r.last == 11 for r in got)
+    rows = [(1, k, [(0.0, 290.0), (310.0, 600.0)] if k >= 4 else [(0.0, 600.0)], k % 3 == 0) for k in range(12)]
+    d = spark.createDataFrame(rows, "page int, row long, spans array<struct<x0:double,x1:double>>, anchor boolean")
+    assert [tuple(r) for r in layout.covering_bands(d, "page").collect()] == [(1, 290, 4, 11)]
 
 
 def test_records(spark, tmp_path):
