@@ -135,6 +135,17 @@ def csv_round_trip(spark, t):
     return read_csv(spark, path, ["o_orderkey", "o_orderpriority", "o_orderstatus"])
 
 
+@query("SELECT doc_id::VARCHAR AS doc_id, coalesce(lang, '') AS lang, md5(coalesce(text, '')) AS text FROM documents")
+def csv_embedded_newlines(spark, t):
+    """Whole texts with line ends, commas and quotes, written as CSV and read back by ranges."""
+    from caseledger.sources.files import scratch, write_csv
+    from caseledger.sources.large_csv import read_large_csv
+
+    path, columns = scratch(spark, "csv"), ["doc_id", "lang", "text"]
+    write_csv(t("documents"), path, columns)
+    return read_large_csv(spark, path, columns).select("doc_id", "lang", F.md5(F.col("text").cast("binary")).alias("text"))
+
+
 @query("SELECT event_id, user_id, event_type FROM events")
 def json_round_trip(spark, t):
     from caseledger.sources.files import read_json, scratch, write_json
