@@ -7,7 +7,7 @@ from pyspark.sql.window import Window
 
 from caseledger.functions.dates import regime
 from caseledger.functions.hashing import draw
-from caseledger.operators.aggregates import agreement, consolidate, contingency_scores, disagreements, total_variation
+from caseledger.operators.aggregates import agreement, consolidate, contingency_scores, disagreements, most_common, total_variation
 from caseledger.operators.joins import near_values
 from caseledger.queries.base import query, sql_mod
 
@@ -123,9 +123,16 @@ def near_duplicate_vocab(spark, t):
     return near_values(w.filter("v <> ''").groupBy("v").agg(F.count("*").alias("n")), "v", "n")
 
 
-@query("SELECT event_type, count(*) AS n FROM events GROUP BY 1 ORDER BY n DESC, event_type LIMIT 3")
+@query("SELECT event_type, count(*) AS n FROM events GROUP BY 1 ORDER BY n DESC, min(event_id) LIMIT 3")
 def most_common_top_k(spark, t):
-    return t("events").groupBy("event_type").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "event_type").limit(3)
+    return most_common(t("events"), "event_type", "event_id", 3)
+
+
+@query("SELECT name, value, n FROM (SELECT *, row_number() OVER (PARTITION BY name ORDER BY n DESC, first) AS r FROM (SELECT n_name AS name, floor(c_acctbal)::BIGINT % 5 AS value, count(*) AS n, min(c_custkey) AS first FROM customer JOIN nation ON c_nationkey = n_nationkey GROUP BY 1, 2)) WHERE r <= 2")
+def most_common_by_nation(spark, t):
+    """The two most common values of every nation; of equally common ones the one that stands first."""
+    d = t("customer").join(F.broadcast(t("nation")), F.col("c_nationkey") == F.col("n_nationkey")).select(F.col("n_name").alias("name"), (F.floor("c_acctbal") % 5).alias("value"), "c_custkey")
+    return most_common(d, "value", "c_custkey", 2, by=["name"])
 
 
 @query("SELECT c_nationkey AS k, 'customer' AS src, count(*) AS n FROM customer GROUP BY 1 UNION ALL SELECT s_nationkey, 'supplier', count(*) FROM supplier GROUP BY 1")

@@ -8,7 +8,6 @@ from caseledger.functions import atoms as A
 from caseledger.functions import text as X
 from caseledger.functions.prose import shift_prose_dates
 from caseledger.operators import records as R
-from caseledger.operators.aggregates import contingency_scores
 from caseledger.queries.base import query, sql_mod
 from caseledger.sources.files import scratch, write_csv
 
@@ -162,12 +161,17 @@ def stripped_statements(spark, t):
 
 @query()
 def cluster_sweep(spark, t):
-    """Agreement of k-means clusters with the known labels for k from 2 to 12."""
-    from caseledger.operators.learning import kmeans
-
-    d = t("embeddings").select("embedding", "label")
-    out = None
-    for k in range(2, 13):
-        one = contingency_scores(kmeans(d, "embedding", k), "label", "cluster").select(F.lit(k).alias("k"), "purity", "ari")
-        out = one if out is None else out.unionAll(one)
+    """Clusters of whole texts for k from 2 to 12, heads stripped and, as the circular control, kept: agreement with the
+    language and with the source, silhouette, and the best k. The heads name the language."""
+    from pyspark.ml.feature import StopWordsRemover
+
+    from caseledger.operators import sweeps as W
+
+    d = t("documents").select("doc_id", "lang", F.col("source").alias("era"), F.concat_ws(": ", F.upper(F.concat(F.lit("category "), "lang")), "text").alias("kept"))
+    d = d.withColumn("stripped", X.without_head(F.col("kept"), F.upper(F.concat(F.lit("category "), "lang"))))
+    stop, out = StopWordsRemover.loadDefaultStopWords("english"), None
+    for mode in ("stripped", "kept"):
+        rows = W.vectors(d.select("doc_id", F.col(mode).alias("text")), "doc_id", dims=1024, stop=stop)
+        one = W.report(W.assign(rows, "doc_id", W.fit(rows, "doc_id", range(2, 13), restarts=2, rounds=8, dims=1024)), d, "doc_id", "lang", "era").withColumn("mode", F.lit(mode))
+        out = one if out is None else out.unionByName(one)
     return out
