@@ -69,6 +69,6 @@ def shift_iso_dates(text: Column, days: int):
     return F.array_join(F.transform(pieces, move), "")
 
 
-def iso_dates_in(text: Column) -> Column:
-    """All valid ISO dates inside a text, in order."""
-    return F.filter(F.transform(F.regexp_extract_all(text, F.lit(r"(\d{4}-\d{2}-\d{2})"), F.lit(1)), lambda s: F.try_to_date(s, "yyyy-MM-dd")), lambda d: d.isNotNull())
+def chain_faults(dates: Sequence[tuple[str, str]]) -> Column:
+    """Which of the (later, earlier) pairs of date columns are out of order; a missing date is no fault."""
+    return F.array_compact(F.array(*[F.when(F.col(later) < F.col(earlier), f"{later}<{earlier}") for later, earlier in dates]))

@@ -1,7 +1,9 @@
-"""Text expressions: blanks, squeezing, splitting, heads of statements, money, area codes, URLs."""
+"""Text expressions: blanks, squeezing, splitting, heads of statements, money, area codes."""
 
 from __future__ import annotations
 
+from collections.abc import Mapping, Sequence
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -29,8 +31,9 @@ def sentences(c: Column) -> Column:
 
 
 def last_sentence_with(c: Column, cue: str, low: int = 25, high: int = 400) -> Column:
-    """The last sentence that matches the cue and has a sensible length; null without one."""
-    return F.try_element_at(F.filter(sentences(c), lambda s: s.rlike(cue) & F.length(s).between(low, high)), F.lit(-1))
+    """The last sentence that matches the cue, if it has a sensible length; null otherwise. An earlier one does not stand in."""
+    last = F.try_element_at(F.filter(sentences(c), lambda s: s.rlike(cue)), F.lit(-1))
+    return F.when(F.length(last).between(low, high), last)
 
 
 def split_enumerated(c: Column) -> Column:
@@ -112,11 +115,34 @@ def control_safe(c: Column) -> Column:
     return F.regexp_replace(c, r"[\x00-\x08\x0B\x0C\x0E-\x1F]+", " ")
 
 
-def canonical_url(c: Column, hosts: dict[str, str] | None = None) -> Column:
-    """Host lower-cased and swapped by ``hosts``, no fragment, no trailing slash."""
-    host = F.lower(F.regexp_extract(c, r"^[a-zA-Z]+://([^/?#]+)", 1))
-    swapped = host
-    for old, new in (hosts or {}).items():
-        swapped = F.when(host == old, new).otherwise(swapped)
-    rest = F.regexp_replace(F.regexp_replace(F.regexp_replace(c, r"^[a-zA-Z]+://[^/?#]+", ""), r"#.*$", ""), r"/+$", "")
-    return F.concat(F.lit("https://"), swapped, rest)
+#: A colon or long dash, or a hyphen after a letter or a space with a space behind it; heads that are no category (fixed patterns).
+HEAD_END, NO_HEAD, BULLETS = r"[:–—]|(?<=[a-zA-Z])-(?=\s)|(?<=\s)-(?=\s)", r"(?i)^(?:NOTE|LIST\s+THE\b.*)$", r"^[\s•●▪·*-]+"
+
+
+def candidate_category(c: Column, furniture: str = NO_HEAD, fragments: Sequence[str] = ()) -> Column:
+    """struct(head, form): what stands before the first separator, without any vocabulary. Form is empty, untyped_prose (no
+    separator within 60 characters, more than six words, no capital first), furniture (label text), colon or dash; only the
+    last two have a head."""
+    body = F.trim(F.regexp_replace(strip_glyphs(F.coalesce(c, F.lit(""))), BULLETS, ""))
+    raw = F.get(F.split(body, HEAD_END, 2), F.lit(0))
+    head = F.btrim(raw, F.lit(" .–—-"))
+    typed = body.rlike(HEAD_END) & (F.length(raw) <= 60) & head.rlike(r"^\p{Lu}") & (F.size(F.split(head, r"\s+")) <= 6)
+    label = head.rlike(furniture) | (is_label_fragment(head, list(fragments)) if fragments else F.lit(False))
+    form = F.when(body == "", "empty").when(~typed, "untyped_prose").when(label, "furniture").when(F.regexp_extract(body, HEAD_END, 0) == ":", "colon").otherwise("dash")
+    return F.struct(F.when(form.isin("colon", "dash"), head).alias("head"), form.alias("form"))
+
+
+def outcome_text(atoms: Column, damage: Column, injury: Mapping[str, str], event: Mapping[str, str], response: Mapping[str, str], clause: str) -> Column:
+    """Published atoms as a sentence for each group, phrases in the rules' order whatever the atoms'; then the damage, if
+    there is any sentence. Without a known atom it is blank."""
+    found = lambda rules: F.array_compact(F.array(*[F.when(F.array_contains(atoms, a), p) for a, p in rules.items()]))
+    said = []
+    for rules, opening in ((injury, "The incident resulted in "), (event, "Reported as "), (response, "")):
+        phrases = found(rules)
+        text = clause_list(phrases)
+        text = F.concat(F.lit(opening), text) if opening else F.concat(F.upper(F.substring(text, 1, 1)), F.lower(F.substr(text, F.lit(2))))
+        said.append(F.when(F.size(phrases) > 0, text))
+    parts = F.array_compact(F.array(*said))
+    before, after = clause.split("{amount}")
+    money = F.when(filled(damage), F.concat(F.lit(f" {before}"), damage, F.lit(after))).otherwise("")
+    return F.when(F.size(parts) == 0, "").otherwise(F.concat(F.array_join(parts, ". "), F.lit("."), money))

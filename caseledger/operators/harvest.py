@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -41,3 +43,13 @@ def follow(seeds: DataFrame, links: DataFrame, source: str, target: str, rounds:
             break
         known = known.unionByName(frontier.withColumn("round", F.lit(k)))
     return known
+
+
+def plan_fetch(wanted: DataFrame, held: DataFrame, key: str, urls: Sequence[str]) -> DataFrame:
+    """(key, url, action): what a download has to do. wanted: key, its possible urls and ``sha`` as last seen on the site;
+    held: key, ``held_sha``, the last manifest row of each key. The first url that is not blank counts; without one nothing can
+    be fetched; an equal digest is skipped, another one is a mismatch to report, and without a held one it is fetched."""
+    url = F.coalesce(*[F.nullif(F.trim(F.col(u)), F.lit("")) for u in urls])
+    d = wanted.join(held.select(key, "held_sha"), key, "left")
+    action = F.when(url.isNull(), "no_url").when(F.col("held_sha").isNull(), "fetch").when(F.col("held_sha") == F.col("sha"), "skip").otherwise("mismatch")
+    return d.select(key, url.alias("url"), action.alias("action"))

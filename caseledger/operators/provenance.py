@@ -6,6 +6,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from caseledger.functions.text import filled, is_blank
 
@@ -57,6 +58,20 @@ def token_tally(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return _long(df.agg(*aggs), cols, ("real", "pseud", "fabricated", "unfilled"))
 
 
+def disposition(tally: DataFrame, declared: DataFrame, goal: float) -> DataFrame:
+    """(column, basis, real, pseud, fabricated, unfilled, total, real_share, target): the measured tally where a column has a
+    token grid, else what is declared (column, real, pseud, fabricated, total); what is left of the total is unfilled. Columns
+    below the goal are targets, numbered from the least share on, of equal ones by name."""
+    counts = ("real", "pseud", "fabricated")
+    m = tally.select("column", *[F.col(c).alias(f"_{c}") for c in counts], (F.col("unfilled") + F.col("real") + F.col("pseud") + F.col("fabricated")).alias("_total"))
+    d = m.join(declared.select("column", *counts, "total"), "column", "full_outer")
+    d = d.select("column", F.when(F.col("_total").isNotNull(), "measured").otherwise("declared").alias("basis"), *[F.coalesce(f"_{c}", c).alias(c) for c in (*counts, "total")])
+    d = d.withColumns({"unfilled": F.col("total") - F.col("real") - F.col("pseud") - F.col("fabricated"), "real_share": F.round(F.coalesce(F.try_divide("real", "total"), F.lit(0.0)), 6)})
+    # As many rows as the schema has columns.
+    rank = F.row_number().over(Window.orderBy(F.col("real_share") >= goal, "real_share", "column"))
+    return d.withColumn("target", F.when(F.col("real_share") < goal, rank))
+
+
 def orphans(df: DataFrame, cols: Sequence[str], ident: str) -> DataFrame:
     """(ident, column): a blank cell with a token, a filled one without, or an unknown token. None in a sound table."""
     bad = [F.when((is_blank(F.col(c)) != (F.col(prov(c)) == "")) | ~F.col(prov(c)).isin(*TOKENS), F.lit(c)) for c in cols]

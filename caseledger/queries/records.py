@@ -151,11 +151,14 @@ def prose_dates_by_delta(spark, t):
     return t("orders").select("o_orderkey", shift_prose_dates(text, (F.col("o_orderkey") % 400 - 200).cast("int")).alias("text"))
 
 
-@query("SELECT conv_id, turn, md5(trim(text)) AS text FROM conversations WHERE len(list_filter(string_split_regex(trim(text), '\\s+'), lambda w: w <> '')) >= 5")
+@query("""WITH c AS (SELECT conv_id, turn, CASE conv_id % 3 WHEN 2 THEN 'category ' || role || ', ' || text ELSE text END AS bare FROM conversations)
+SELECT conv_id, turn, md5(trim(bare)) AS text FROM c WHERE len(list_filter(string_split_regex(trim(bare), '\\s+'), lambda w: w <> '')) >= 5""")
 def stripped_statements(spark, t):
-    """Statements without the head that names their category, so that a clustering cannot read the answer; five words or more."""
-    d = t("conversations").withColumn("text", F.concat(F.lit("Human Error: "), F.col("text")))
-    bare = F.trim(X.without_head(F.col("text"), F.lit("Human Error")))
+    """Statements without the head that names their own category, however it is marked off, so that a clustering cannot read
+    the answer; a head without a mark stays. Five words or more."""
+    head, m = F.concat(F.lit("category "), F.col("role")), F.col("conv_id") % 3
+    d = t("conversations").withColumn("text", F.concat(head, F.when(m == 0, ": ").when(m == 1, " - ").otherwise(", "), F.col("text")))
+    bare = F.trim(X.without_head(F.col("text"), head))
     return d.select("conv_id", "turn", F.md5(bare.cast("binary")).alias("text"), F.size(F.filter(F.split(bare, r"\s+"), lambda w: w != "")).alias("n")).filter("n >= 5").drop("n")
 
 

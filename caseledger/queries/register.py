@@ -100,11 +100,18 @@ def build_prompts(spark, t):
     return t("documents").select("doc_id", F.sha2(R.prompt("Label: [{text}]", F.col("text")).cast("binary"), 256).alias("prompt"))
 
 
-@query("SELECT o_orderkey, CASE o_orderkey % 5 WHEN 0 THEN 'supervision' WHEN 1 THEN 'unsure' ELSE '' END AS category, CASE WHEN o_orderkey % 5 = 0 THEN 7 ELSE 0 END::INTEGER AS element FROM orders")
+_WORDS = ["supervision", "communication", "weather", "unsure", "SUPERVISION"]
+
+
+@query(f"""WITH a AS (SELECT o_orderkey, {_WORDS}[o_custkey % 5 + 1] AS word, o_orderkey % 24 - 1 AS element, o_orderkey % 7 AS form FROM orders)
+SELECT o_orderkey, CASE WHEN form = 5 THEN '' WHEN word = 'unsure' THEN 'unsure' WHEN word IN ('supervision', 'communication') AND form NOT IN (3, 4) AND element BETWEEN 1 AND 20 THEN word ELSE '' END AS category,
+(CASE WHEN form NOT IN (3, 4, 5) AND word IN ('supervision', 'communication') AND element BETWEEN 1 AND 20 THEN element ELSE 0 END)::INTEGER AS element FROM a""")
 def parse_responses(spark, t):
-    """Recorded answers, read strictly: out-of-range, boolean and unknown ones are discarded."""
-    m = F.col("o_orderkey") % 5
-    raw = F.when(m == 0, 'Sure: {"category": "supervision", "element": 7} ok').when(m == 1, '{"category": "unsure"}').when(m == 2, '{"category": "supervision", "element": 21}').when(m == 3, '{"category": "supervision", "element": true}').otherwise("no braces")
+    """Recorded answers, read strictly: out-of-range, boolean, quoted and unknown ones are discarded, and so is what has no braces."""
+    word, element, form = F.element_at(F.array(*[F.lit(w) for w in _WORDS]), (F.col("o_custkey") % 5 + 1).cast("int")), (F.col("o_orderkey") % 24 - 1).cast("string"), F.col("o_orderkey") % 7
+    value = F.when(form == 3, "true").when(form == 4, F.concat(F.lit('"'), element, F.lit('"'))).otherwise(element)
+    body = F.concat(F.lit('{"category": "'), word, F.lit('", "element": '), value, F.lit("}"))
+    raw = F.when(form == 5, F.concat(word, F.lit(" "), element)).when(form == 6, F.concat(F.lit("Sure:\n"), body, F.lit("\nI hope so."))).otherwise(body)
     d = t("orders").select("o_orderkey", R.response(raw, ["supervision", "communication"], "unsure").alias("r"))
     return d.select("o_orderkey", F.coalesce("r.category", F.lit("")).alias("category"), F.coalesce("r.element", F.lit(0)).alias("element"))
 

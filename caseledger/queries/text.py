@@ -112,10 +112,14 @@ def parse_head_sub_desc(spark, t):
     return t("part").select("p_partkey", s.alias("s")).select("p_partkey", "s.category", "s.subcategory", "s.description")
 
 
-@query("SELECT conv_id, turn, 3::INTEGER AS n, 'first' AS first, 'third' AS last FROM conversations")
+_ITEMS = 'CASE conv_id % 4 WHEN 0 THEN role WHEN 1 THEN \'1. \' || role || chr(10) || \'2) item \' || CAST(turn AS VARCHAR(9)) WHEN 2 THEN \'None.\' ELSE \'- one\' || chr(10) || \' a) \' || role || chr(10) || \'goes on\' || chr(10) || \'• last  \' || CAST(conv_id AS VARCHAR(9)) END'
+
+
+@query("SELECT conv_id, turn, (CASE conv_id % 4 WHEN 0 THEN 1 WHEN 1 THEN 2 WHEN 2 THEN 0 ELSE 3 END)::INTEGER AS n, CASE conv_id % 4 WHEN 0 THEN role WHEN 1 THEN role WHEN 3 THEN 'one' END AS first, CASE conv_id % 4 WHEN 0 THEN role WHEN 1 THEN 'item ' || turn WHEN 3 THEN 'last ' || conv_id END AS last FROM conversations")
 def split_enumerated(spark, t):
-    items = X.split_enumerated(F.lit("1. first\n2) second\n- third"))
-    return t("conversations").select("conv_id", "turn", F.size(items).alias("n"), F.element_at(items, 1).alias("first"), F.element_at(items, -1).alias("last"))
+    """Lists with numbers, letters, bullets, one item or none."""
+    items = X.split_enumerated(F.expr(_ITEMS))
+    return t("conversations").select("conv_id", "turn", F.size(items).alias("n"), F.try_element_at(items, F.lit(1)).alias("first"), F.try_element_at(items, F.lit(-1)).alias("last"))
 
 
 @query("SELECT event_id, (hour(ts) * 60 + minute(ts))::INTEGER AS minutes FROM events")
@@ -123,11 +127,12 @@ def minutes_since_midnight(spark, t):
     return t("events").select("event_id", D.minutes(F.date_format("ts", "HH:mm")).alias("minutes"))
 
 
-@query("SELECT o_orderkey, strftime(o_orderdate, '%Y-%m-%d') AS day, '' AS bad FROM orders")
+@query("SELECT o_orderkey, CASE o_custkey % 5 WHEN 0 THEN '' WHEN 1 THEN strftime(o_orderdate, '%Y') || '-02-31' WHEN 2 THEN '' ELSE strftime(o_orderdate, '%Y-%m-%d') END AS day FROM orders")
 def iso_from_text(spark, t):
-    """DD-MON-YYYY in running text to ISO; an unknown month gives a blank."""
-    text = F.concat(F.lit("on "), F.upper(F.date_format("o_orderdate", "dd-MMM-yyyy")), F.lit(" at night"))
-    return t("orders").select("o_orderkey", D.iso_text(text).alias("day"), D.iso_text(F.lit("01-FOO-1999")).alias("bad"))
+    """DD-MON-YYYY in running text to ISO, unchecked against the calendar; an unknown or lower-case month gives a blank."""
+    day, m = F.date_format("o_orderdate", "d-MMM-yyyy"), F.col("o_custkey") % 5
+    text = F.when(m == 0, F.concat(F.lit("01-FOO-"), F.year("o_orderdate").cast("string"))).when(m == 1, F.concat(F.lit("31-FEB-"), F.year("o_orderdate").cast("string"))).when(m == 2, day).otherwise(F.upper(day))
+    return t("orders").select("o_orderkey", D.iso_text(F.concat(F.lit("on "), text, F.lit(" at night"))).alias("day"))
 
 
 @query("SELECT o_orderkey, o_orderdate::DATE::VARCHAR AS us, o_orderdate::DATE::VARCHAR AS iso FROM orders")
@@ -167,10 +172,15 @@ def shift_dates_in_text(spark, t):
     return t("orders").select("o_orderkey", D.shift_iso_dates(text, 45).alias("text"))
 
 
-@query("SELECT o_orderkey, 1::INTEGER AS n, o_orderdate::DATE::VARCHAR AS first FROM orders")
+@query("SELECT o_orderkey, (o_custkey % 3 + 1)::INTEGER AS n, CASE o_custkey % 3 WHEN 0 THEN o_orderdate::DATE ELSE o_orderdate::DATE + 2 END::VARCHAR AS first FROM orders")
 def find_dates_in_text(spark, t):
-    found = D.iso_dates_in(F.concat(F.lit("on "), F.date_format("o_orderdate", "yyyy-MM-dd"), F.lit(" not 2001-13-40")))
-    return t("orders").select("o_orderkey", F.size(found).alias("n"), F.element_at(found, 1).cast("string").alias("first"))
+    """Up to three dates of different forms among what only looks like one; forms are looked for in a fixed order."""
+    from caseledger.functions.prose import prose_dates
+
+    m, day = F.col("o_custkey") % 3, F.col("o_orderdate")
+    text = F.concat_ws(" ", F.lit("on"), F.date_format(day, "yyyy-MM-dd"), F.lit("not 2001-13-40 or 31 June 2020,"), F.when(m > 0, F.date_format(F.date_add(day, 2), "MMMM d, yyyy")), F.when(m > 1, F.date_format(F.date_add(day, 1), "M/d/yyyy")))
+    found = prose_dates(text)
+    return t("orders").select("o_orderkey", F.size(found).alias("n"), F.element_at(found, 1).alias("first"))
 
 
 @query()

@@ -88,7 +88,6 @@ def test_text_functions(spark):
     assert one(spark, X.clause_list(F.split("t", ",")), t="a,b,c") == "a, b and c"
     assert one(spark, X.joined_key(F.col("a"), F.col("b"), F.col("c")), a="GC", b="1", c="d") == "GC-1-d"
     assert one(spark, X.joined_key(F.col("a"), F.col("b"), F.col("c")), a="GC", b=" ", c="d") is None
-    assert one(spark, X.canonical_url(F.col("u"), {"old.example": "new.example"}), u="http://OLD.example/a/?q=1#x") == "https://new.example/a/?q=1"
     assert one(spark, X.last_sentence_with(F.col("t"), "should"), t="They should not have done this. Bye. They should have checked the valve first.") == "They should have checked the valve first."
 
 
