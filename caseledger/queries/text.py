@@ -281,3 +281,21 @@ def filename_parse(spark, t):
 
     name = F.concat(F.lit("GC "), (F.col("o_custkey") % 900).cast("string"), F.lit(" "), F.upper(F.date_format("o_orderdate", "dd-MMM-yyyy")), F.lit(" Acme_Redacted.pdf"))
     return t("orders").select("o_orderkey", parse_filename(name).alias("p")).select("o_orderkey", "p.*")
+
+
+@query("""SELECT o_orderkey, CASE o_custkey % 4 WHEN 3 THEN '' ELSE 'GC' END AS area, CASE o_custkey % 4 WHEN 0 THEN (o_custkey % 900)::VARCHAR WHEN 1 THEN (o_custkey % 900)::VARCHAR || ' B' WHEN 2 THEN 'A ' || o_custkey % 900 ELSE '' END AS block,
+CASE WHEN o_orderkey % 6 = 0 THEN '' ELSE 'Acme & Co' END AS operator, CASE WHEN o_orderkey % 7 = 0 THEN '' ELSE o_orderdate::DATE::VARCHAR END AS day, o_orderkey % 3 = 0 AS redacted, CASE o_orderkey % 4 WHEN 0 THEN '(2)' WHEN 1 THEN '_0' ELSE '' END AS variant,
+concat_ws(';', CASE WHEN o_orderkey % 7 = 0 THEN 'no_date_token' END, CASE WHEN o_custkey % 4 = 3 THEN 'no_area_block_in_filename' END, CASE WHEN o_orderkey % 6 = 0 THEN 'no_operator_in_filename' END) AS notes
+FROM (SELECT * REPLACE (o_orderdate + INTERVAL 3653 DAY AS o_orderdate) FROM orders)""")
+def report_names(spark, t):
+    """Names with a lease in four shapes, dates in three forms or none, with and without operator, redaction and variant."""
+    from caseledger.functions.filenames import report_name
+
+    lease, day, k = (F.col("o_custkey") % 900).cast("string"), F.date_add("o_orderdate", 3653), F.col("o_orderkey")
+    m = F.col("o_custkey") % 4
+    where = F.when(m == 0, F.concat(F.lit("gc"), lease)).when(m == 1, F.concat(F.lit("GC "), lease, F.lit(" b"))).when(m == 2, F.concat(F.lit("GC-A-"), lease)).otherwise(F.concat(F.lit("ZQ "), lease))
+    who = F.when(k % 6 == 0, F.when(m == 3, "").otherwise("Report")).otherwise("Acme & Co")
+    when = F.when(k % 7 == 0, "").when(k % 7 < 3, F.date_format(day, "d-MMM-yyyy")).when(k % 7 < 5, F.date_format(day, "yyyyMMdd")).otherwise(F.date_format(day, "MMM_dd_yyyy"))
+    name = F.concat(F.when(m == 3, "").otherwise(where), F.lit(" "), who, F.lit(" "), when, F.when(k % 3 == 0, " Redacted").otherwise(""), F.when(k % 4 == 0, " (2)").when(k % 4 == 1, "_0").otherwise(""), F.lit(".pdf"))
+    p = report_name(name)
+    return t("orders").select("o_orderkey", p.alias("p")).select("o_orderkey", "p.area", "p.block", "p.operator", "p.day", "p.redacted", "p.variant", F.array_join("p.notes", ";").alias("notes"))
