@@ -96,6 +96,18 @@ def comparison(scores: DataFrame, companies: Sequence[str]) -> DataFrame:
     return scores.groupBy("kpi").pivot("company", list(companies)).agg(F.first("value", ignorenulls=True))
 
 
+def plant_verdicts(scores: DataFrame, plants: DataFrame) -> DataFrame:
+    """(company, pathology, kpi, bound, measured, holds) of planted pathologies. scores: company, kpi, value; plants: company,
+    pathology, kpi, op (one of >, >=, <), ref (the company compared with), and one of factor, points or count. The bound is the
+    count, or the other company's value times the factor, or plus the points; without a measured value nothing holds."""
+    own = scores.select("company", "kpi", F.col("value").cast("double").alias("measured"))
+    other = scores.select(F.col("company").alias("ref"), "kpi", F.col("value").cast("double").alias("_other"))
+    bound = F.coalesce(F.col("count").cast("double"), F.col("_other") * F.col("factor"), F.col("_other") + F.col("points"))
+    d = plants.join(own, ["company", "kpi"], "left").join(other, ["ref", "kpi"], "left").withColumn("bound", bound)
+    holds = F.when(F.col("op") == ">", F.col("measured") > F.col("bound")).when(F.col("op") == ">=", F.col("measured") >= F.col("bound")).when(F.col("op") == "<", F.col("measured") < F.col("bound"))
+    return d.select("company", "pathology", "kpi", "bound", "measured", F.coalesce(holds, F.lit(False)).alias("holds"))
+
+
 def write_checkpointed(df: DataFrame, path: str, order: str, every: int = 200) -> None:
     """Rows in blocks of ``every`` numbers of ``order``, one folder a block; a run that is done again replaces only its own
     blocks, so what was written before an interruption stays."""

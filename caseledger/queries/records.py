@@ -86,6 +86,21 @@ def company_comparison(spark, t):
     return R.comparison(scores, ["one", "two", "three"])
 
 
+_PLANTS = [("one", "rush", "1-URGENT", ">", "two", 0.5, None, None), ("two", "slack", "5-LOW", "<", "three", None, -1.0, None), ("three", "volume", "2-HIGH", ">=", None, None, None, 20.0), ("three", "silence", "no such kpi", "<", "one", 2.0, None, None)]
+
+
+@query(f"""WITH s AS (SELECT CASE o_custkey % 3 WHEN 0 THEN 'one' WHEN 1 THEN 'two' ELSE 'three' END AS company, o_orderpriority AS kpi, count(*)::DOUBLE AS value FROM orders GROUP BY ALL),
+p(company, pathology, kpi, op, ref, factor, points, n) AS (VALUES {', '.join('(' + ', '.join('NULL' if x is None else repr(x) for x in p) + ')' for p in _PLANTS)}),
+b AS (SELECT p.company, p.pathology, p.kpi, p.op, coalesce(p.n, o.value * p.factor, o.value + p.points)::DOUBLE AS bound, s.value AS measured FROM p LEFT JOIN s USING (company, kpi) LEFT JOIN s o ON o.company = p.ref AND o.kpi = p.kpi)
+SELECT company, pathology, kpi, bound, measured, coalesce(CASE op WHEN '>' THEN measured > bound WHEN '>=' THEN measured >= bound ELSE measured < bound END, FALSE) AS holds FROM b""")
+def plant_verdicts(spark, t):
+    """Whether what was planted in a company shows in its figures, against another company or a count."""
+    company = F.element_at(F.array(F.lit("one"), F.lit("two"), F.lit("three")), (F.col("o_custkey") % 3 + 1).cast("int")).alias("company")
+    scores = t("orders").groupBy(company, F.col("o_orderpriority").alias("kpi")).agg(F.count("*").alias("value"))
+    plants = spark.createDataFrame(_PLANTS, "company string, pathology string, kpi string, op string, ref string, factor double, points double, count double")
+    return R.plant_verdicts(scores, plants)
+
+
 @query("SELECT o_orderkey, o_orderkey // 200 AS block, CASE WHEN o_orderkey < 600 THEN 'again' ELSE 'first' END AS run FROM orders")
 def checkpointed_blocks(spark, t):
     """Written in blocks, then the first three blocks once more; the others stay as they were."""

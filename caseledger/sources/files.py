@@ -120,7 +120,9 @@ def manifest_text(values: Mapping) -> str:
 
 
 def markdown(df: DataFrame, limit: int = 200) -> str:
-    """A report table of a small, already aggregated result; the limit is the report's own."""
-    rows = df.limit(limit).collect()
+    """A report table of a small, already aggregated result. More rows than the report's limit are an error, never left out."""
+    rows = df.limit(limit + 1).collect()
+    if len(rows) > limit:
+        raise ValueError(f"a report table takes {limit} rows at most")
     head = "| " + " | ".join(df.columns) + " |\n|" + " --- |" * len(df.columns)
-    return head + "".join("\n| " + " | ".join("" if v is None else str(v) for v in r) + " |" for r in rows) + "\n"
+    return head + "".join("\n| " + " | ".join("" if v is None else str(v).replace("|", "\\|").replace("\n", " ") for v in r) + " |" for r in rows) + "\n"
