@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from caseledger.functions.hashing import sha_hex
+from caseledger.sources.files import scratch
 
 
 def ordinal(df: DataFrame, parent: Sequence[str], order: Sequence[str], name: str = "ordinal") -> DataFrame:
@@ -88,6 +89,76 @@ def forward_fill(df: DataFrame, group: Sequence[str], order: Sequence[str], valu
     return df.withColumn(name, F.last(value, ignorenulls=True).over(w))
 
 
+def _in_parts(df: DataFrame, group: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """df with ``_part``: ranges of (group, order), so that a group of any size is several parts in its order. Written to the
+    shared folder, since what follows reads the parts more than once and they must not move between."""
+    path = scratch(df.sparkSession, "parts")
+    df.repartitionByRange(*group, *order).withColumn("_part", F.spark_partition_id()).write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
+def _carried(parts: DataFrame, group: Sequence[str]) -> DataFrame:
+    """Only groups of more than one part carry anything on; those are at most as many as there are parts."""
+    return parts.withColumn("_k", F.count("*").over(Window.partitionBy(*group))).filter("_k > 1").drop("_k")
+
+
+def _with_carried(d: DataFrame, carried: DataFrame, group: Sequence[str], columns: Sequence[str]) -> DataFrame:
+    names = {g: f"_g{i}" for i, g in enumerate(group)}
+    right = carried.select(*[F.col(g).alias(n) for g, n in names.items()], F.col("_part").alias("_p"), *columns)
+    same = F.col("_part") == F.col("_p")
+    for g, n in names.items():
+        same &= F.col(g).eqNullSafe(F.col(n))
+    return d.join(F.broadcast(right), same, "left").drop("_p", *names.values())
+
+
+def forward_fill_in_parts(df: DataFrame, group: Sequence[str], order: Sequence[str], value: Column, name: str) -> DataFrame:
+    """As :func:`forward_fill` for groups of any size: a part fills itself, and what stays open in it takes the last value of the
+    group's parts before it."""
+    d = _in_parts(df.withColumn("_v", value), group, order)
+    lasts = d.filter("_v is not null").groupBy(*group, "_part").agg(F.max(F.struct(*order, "_v"))["_v"].alias("_v"))
+    every = d.select(*group, "_part").distinct().join(lasts.select(*[F.col(g).alias(f"_l{i}") for i, g in enumerate(group)], F.col("_part").alias("_lp"), "_v"), _same(group, "_l", "_lp"), "left")
+    before = F.last("_v", ignorenulls=True).over(Window.partitionBy(*group).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1))
+    carried = _carried(every.select(*group, "_part", before.alias("_c")), group)
+    w = Window.partitionBy(*group, "_part").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    filled = _with_carried(d.withColumn("_own", F.last("_v", ignorenulls=True).over(w)), carried, group, ["_c"])
+    return filled.withColumn(name, F.coalesce("_own", "_c")).drop("_v", "_own", "_c", "_part")
+
+
+def _same(group: Sequence[str], prefix: str, part: str) -> Column:
+    same = F.col("_part") == F.col(part)
+    for i, g in enumerate(group):
+        same &= F.col(g).eqNullSafe(F.col(f"{prefix}{i}"))
+    return same
+
+
+def restart_runs_in_parts(df: DataFrame, group: Sequence[str], order: Sequence[str], value: str, name: str = "run") -> DataFrame:
+    """As :func:`restart_runs` for groups of any size: a part counts its own restarts, its first row looks at the last of the
+    part before, and the counts of the parts before are added."""
+    d = _in_parts(df, group, order)
+    w, restart = Window.partitionBy(*group, "_part").orderBy(*order), lambda prev: F.when(prev.isNull() | F.col(value).isNull() | (F.col(value) <= prev), 1).otherwise(0)
+    d = d.withColumn("_first", F.row_number().over(w) == 1).withColumn("_f", F.when(F.col("_first"), 0).otherwise(restart(F.lag(value).over(w))))
+    edge = lambda pick: pick(F.struct(*order, F.col(value).alias("_v")))["_v"]
+    parts = d.groupBy(*group, "_part").agg(F.sum("_f").alias("_n"), edge(F.min).alias("_from"), edge(F.max).alias("_to"))
+    by = Window.partitionBy(*group).orderBy("_part")
+    parts = parts.withColumn("_prev", F.lag("_to").over(by)).withColumn("_lead", F.when(F.col("_prev").isNull() | F.col("_from").isNull() | (F.col("_from") <= F.col("_prev")), 1).otherwise(0))
+    parts = parts.withColumn("_c", F.sum(F.col("_n") + F.col("_lead")).over(by.rowsBetween(Window.unboundedPreceding, 0)) - F.col("_n"))
+    out = _with_carried(d, _carried(parts.select(*group, "_part", "_c"), group), group, ["_c"])
+    run = F.sum("_f").over(w.rowsBetween(Window.unboundedPreceding, 0)) + F.coalesce("_c", F.lit(1))
+    return out.withColumn(name, run).drop("_f", "_first", "_c", "_part")
+
+
+def numbered_sort(df: DataFrame, *keys: str, name: str = "place") -> DataFrame:
+    """df with every row's zero-based place in the order of the keys, then of all other columns. Ranges sort themselves; a
+    row's place is its place in its range plus the sizes of the ranges before, one number each."""
+    rest = [c for c in df.columns if c not in keys]
+    path = scratch(df.sparkSession, "sorted")
+    df.orderBy(*keys, *rest).withColumn("_at", F.monotonically_increasing_id()).write.parquet(path)
+    d = df.sparkSession.read.parquet(path).withColumn("_part", F.shiftright("_at", 33))
+    before = F.coalesce(F.sum("n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    sizes = d.groupBy("_part").agg(F.count("*").alias("n")).select("_part", before.alias("_before"))
+    return d.join(F.broadcast(sizes), "_part").withColumn(name, F.col("_before") + F.col("_at").bitwiseAND(F.lit((1 << 33) - 1))).drop("_at", "_part", "_before")
+
+
 def anchor_slices(df: DataFrame, group: Sequence[str], order: str, is_anchor: Column, text: str) -> DataFrame:
     """(group, anchor, n_lines, content): lines from each anchor up to the next; lines before the first are left out."""
     w = Window.partitionBy(*group).orderBy(order)

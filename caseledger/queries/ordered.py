@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from caseledger.operators.ordered import anchor_slices, distribute_headers, forward_fill, islands, linkage, ordinal, restart_runs, values_at
+from caseledger.operators.ordered import anchor_slices, distribute_headers, forward_fill, forward_fill_in_parts, islands, linkage, ordinal, restart_runs, restart_runs_in_parts, values_at
 from caseledger.queries.base import query
 
 
@@ -98,3 +98,18 @@ def page_gutters(spark, t):
     clear = grid.join(hits, ["page", "x"], "left").filter(F.coalesce("c", F.lit(0)) / F.col("n") <= 0.045)
     runs = islands(clear.select("page", (F.col("x") / 40).cast("long").alias("k")), ["page"], "k").select("page", (F.col("first") * 40).alias("low"), (F.col("last") * 40).alias("high"), F.col("n").alias("width"))
     return runs.withColumn("rn", F.row_number().over(Window.partitionBy("page").orderBy(F.desc("width"), "low"))).filter("rn = 1").drop("rn")
+
+
+@query("SELECT event_id, last_value(CASE WHEN event_id % 50 = 0 THEN event_type END IGNORE NULLS) OVER (ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS heading FROM events")
+def forward_fill_whole(spark, t):
+    """Separator rows over the whole table as one group, which no task holds."""
+    d = t("events").withColumn("all", F.lit(1))
+    return forward_fill_in_parts(d, ["all"], ["ts", "event_id"], F.when(F.col("event_id") % 50 == 0, F.col("event_type")), "heading").select("event_id", "heading")
+
+
+@query("""WITH e AS (SELECT event_id, ts, event_id % 7 AS v, lag(event_id % 7) OVER (ORDER BY ts, event_id) AS p FROM events)
+SELECT event_id, sum(CASE WHEN p IS NULL OR v <= p THEN 1 ELSE 0 END) OVER (ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING)::BIGINT AS run FROM e""")
+def restart_whole(spark, t):
+    """Restarts counted over the whole table as one group."""
+    d = t("events").select(F.lit(1).alias("all"), "ts", "event_id", (F.col("event_id") % 7).alias("v"))
+    return restart_runs_in_parts(d, ["all"], ["ts", "event_id"], "v").select("event_id", "run")

@@ -8,6 +8,7 @@ from caseledger.functions import atoms as A
 from caseledger.functions import text as X
 from caseledger.functions.prose import shift_prose_dates
 from caseledger.operators import records as R
+from caseledger.operators.ordered import numbered_sort
 from caseledger.queries.base import query, sql_mod
 from caseledger.sources.files import scratch, write_csv
 
@@ -64,11 +65,10 @@ def positional_twins(spark, t):
     return R.with_twin(t("orders").select("o_orderkey", *cols), tokens, "o_orderkey", cols)
 
 
-@query("SELECT n_regionkey, n_name, n_nationkey, row_number() OVER (ORDER BY n_regionkey, n_name, n_nationkey) - 1 AS place FROM nation")
+@query("SELECT o_orderpriority, o_custkey, o_orderkey, row_number() OVER (ORDER BY o_orderpriority, o_custkey, o_orderkey) - 1 AS place FROM orders")
 def stable_order(spark, t):
-    """Sorted rows as one file holds them; the place is read off the sorted rows' own numbering."""
-    rows = R.stable_sort(t("nation").select("n_regionkey", "n_name", "n_nationkey"), "n_regionkey").coalesce(1)
-    return rows.withColumn("place", F.monotonically_increasing_id())
+    """Every order's place in sorted outputs: ranges sort themselves, and no task holds them all."""
+    return numbered_sort(t("orders").select("o_orderpriority", "o_custkey", "o_orderkey"), "o_orderpriority")
 
 
 @query("""WITH c AS (SELECT c_mktsegment AS name, count_if(c_acctbal < 0) AS part, count(*) AS whole FROM customer GROUP BY 1)

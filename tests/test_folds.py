@@ -127,3 +127,23 @@ def test_headers_of_random_lines(spark):
     d = spark.createDataFrame(list(enumerate(lines)), "i int, s array<string>")
     got = {x.i: x.o for x in d.select("i", ordered.distribute_headers(F.col("s")).alias("o")).collect()}
     assert got == {i: plain(ls) for i, ls in enumerate(lines)}
+
+
+@pytest.mark.parametrize("parts", ["1", "7"])
+def test_groups_in_parts_equal_windows(spark, parts):
+    r = random.Random(6)
+    rows = [(r.choice(["hot"] * 6 + ["a", "b", None]), i, r.choice([None, None, r.randint(0, 9)])) for i in range(900)]
+    d = spark.createDataFrame(rows, "g string, i int, v int").repartition(5)
+    before = spark.conf.get("spark.sql.shuffle.partitions"), spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.shuffle.partitions", parts)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    plain = lambda df: sorted(map(tuple, df.select("g", "i", "v", "x").collect()), key=repr)
+    try:
+        assert plain(ordered.forward_fill_in_parts(d, ["g"], ["i"], F.col("v"), "x")) == plain(ordered.forward_fill(d, ["g"], ["i"], F.col("v"), "x"))
+        assert plain(ordered.restart_runs_in_parts(d, ["g"], ["i"], "v", "x")) == plain(ordered.restart_runs(d, ["g"], ["i"], "v", "x"))
+        got = [(x["place"], x["v"], x["g"], x["i"]) for x in ordered.numbered_sort(d, "v").collect()]
+        key = lambda t: [(y is not None, y) for y in t[1:]]
+        assert [t[0] for t in sorted(got, key=key)] == list(range(900))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before[0])
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", before[1])
