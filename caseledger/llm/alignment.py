@@ -23,6 +23,7 @@ import hashlib
 import json
 import re
 from functools import cache
+from itertools import chain
 
 import duckdb
 import numpy as np
@@ -49,13 +50,11 @@ _CUT = re.compile(r"(?<=[^\s᠎])(?=[ \n])").split
 _OVERLAPS = """
 SELECT a.piece, a.id AS a, b.id AS b, count(*) AS times FROM a JOIN b ON a.lo < b.hi AND b.lo < a.hi GROUP BY ALL ORDER BY a.piece
 """
-#: A group's number is how many shared ends lie before a token; its tokens follow each other, those of A first.
+#: A group's number is how many shared ends lie before a token.
 _GROUPS = """
-WITH ga AS (SELECT a.piece, a.id, 0 AS side, a.n, sum((e.hi = a.hi)::INT) OVER (ORDER BY a.n) - (e.hi = a.hi)::INT AS g FROM a ASOF JOIN (SELECT hi FROM b UNION ALL SELECT -1) e ON a.hi >= e.hi),
-     gb AS (SELECT b.piece, b.id, 1 AS side, b.n, sum((e.hi = b.hi)::INT) OVER (ORDER BY b.n) - (e.hi = b.hi)::INT AS g FROM b ASOF JOIN (SELECT hi FROM a UNION ALL SELECT -1) e ON b.hi >= e.hi),
-     every AS (SELECT * FROM ga UNION ALL SELECT * FROM gb)
-SELECT piece, 4 * id + CASE WHEN lead(piece) OVER w IS DISTINCT FROM piece THEN 3 WHEN lead(g) OVER w <> g THEN 2 WHEN lead(side) OVER w <> side THEN 1 ELSE 0 END AS marked
-FROM every WINDOW w AS (ORDER BY g, side, n) ORDER BY g, side, n
+WITH ga AS (SELECT a.id, 0 AS side, a.n, sum((e.hi = a.hi)::INT) OVER (ORDER BY a.n) - (e.hi = a.hi)::INT AS g FROM a ASOF JOIN (SELECT hi FROM b UNION ALL SELECT -1) e ON a.hi >= e.hi),
+     gb AS (SELECT b.id, 1 AS side, b.n, sum((e.hi = b.hi)::INT) OVER (ORDER BY b.n) - (e.hi = b.hi)::INT AS g FROM b ASOF JOIN (SELECT hi FROM a UNION ALL SELECT -1) e ON b.hi >= e.hi)
+SELECT n, (2 * g + side)::BIGINT AS k FROM ga UNION ALL SELECT n, (2 * g + side)::BIGINT FROM gb
 """
 _COUNT = """
 SELECT o.doc, p.pair, sum(o.times * p.times)::BIGINT AS times FROM held o JOIN links p USING (slot) GROUP BY ALL ORDER BY o.doc, p.pair
@@ -193,13 +192,23 @@ class Aligner:
         stats[:, 0], stats[:, 1] = np.bincount(a_of, minlength=len(many)), np.bincount(b_of, minlength=len(many))
         of = found.column("piece").to_numpy()
         stats[:, 3] = np.bincount(of, weights=found.column("times").to_numpy(), minlength=len(many)).astype(np.int64)
+        # Tokens in order of group, those of A before those of B, each with the mark that stands after it.
+        k, n = grouped.column("k").to_numpy(), grouped.column("n").to_numpy()
+        order = np.lexsort((n, k))
+        k, n = k[order], n[order]
+        of_a, of_b = (tables[x].column("piece").to_numpy() for x in "ab")
+        id_a, id_b = (tables[x].column("id").to_numpy() for x in "ab")
+        side = k % 2 == 0
+        owner, ids = np.empty(len(k), dtype=np.int64), np.empty(len(k), dtype=np.int64)
+        owner[side], owner[~side], ids[side], ids[~side] = of_a[n[side]], of_b[n[~side]], id_a[n[side]], id_b[n[~side]]
+        ends = np.append(owner[1:] != owner[:-1], True) if len(k) else np.zeros(0, dtype=bool)
+        mark = np.append(np.where(k[1:] // 2 != k[:-1] // 2, 2, k[1:] - k[:-1]), 3) if len(k) else ids
+        mark[ends] = 3
+        whole = "".join(map(self.marked.__getitem__, (4 * ids + mark).tolist()))
         texts = [""] * len(many)
-        whole = "".join(map(self.marked.__getitem__, grouped.column("marked").to_pylist()))
-        at = grouped.column("piece").to_numpy()
-        at = at[np.flatnonzero(np.append(at[1:] != at[:-1], True))] if len(at) else at
-        for i, x in zip(at.tolist(), whole.split("\n"), strict=False):
+        for i, x in zip(owner[ends].tolist(), whole.split("\n"), strict=False):
             texts[i] = x
-            stats[i, 2] = x.count(";") + 1
+        stats[:, 2] = np.bincount(owner[mark >= 2], minlength=len(many))
         self.groups += texts
         self.stats = np.concatenate([self.stats, stats])
         self.sound = np.concatenate([self.sound, good])
@@ -214,15 +223,14 @@ class Aligner:
         if len(self.groups) > CACHE_PIECES:
             self._reset()
         cut = [pieces(t) if t else [] for t in group]
-        if new := list({p for ps in cut for p in ps}.difference(self.slot)):
+        flat = list(chain.from_iterable(cut))
+        if new := list(set(flat).difference(self.slot)):
             for k in range(0, len(new), ALIGN_PIECES):
                 self.align(new[k : k + ALIGN_PIECES])
-        get, slots = self.slot.__getitem__, []
-        for i, ps in enumerate(cut):
-            at = np.fromiter(map(get, ps), dtype=np.int64, count=len(ps))
-            if not self.sound[at].all():
-                at = self._whole(group[i])
-            slots.append(at)
+        every = np.fromiter(map(self.slot.__getitem__, flat), dtype=np.int64, count=len(flat))
+        slots = np.split(every, np.cumsum([len(ps) for ps in cut])[:-1])
+        if not self.sound[every].all():
+            slots = [at if self.sound[at].all() else self._whole(group[i]) for i, at in enumerate(slots)]
         stats = np.array([self.stats[at].sum(axis=0) for at in slots], dtype=np.int64).reshape(-1, 4)
         digests = [hashlib.sha256(";".join(map(self.groups.__getitem__, at.tolist())).encode()).hexdigest() if len(at) else "" for at in slots]
         held = np.concatenate([at + (i << 32) for i, at in enumerate(slots)]) if slots else np.zeros(0, dtype=np.int64)
