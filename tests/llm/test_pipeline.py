@@ -155,3 +155,24 @@ def test_shared_passages_of_more_than_fifty_words_are_told(spark):
     got = [got[i] for i in range(len(texts))]
     assert all(got[i] for i, x in enumerate(shares(51)) if x) and sum(shares(51)) >= 14
     assert not any(got[i] for i, x in enumerate(shares(36)) if not x)
+
+
+def test_run_from_tables_to_tokens(spark, tmp_path):
+    from tokenizers import Tokenizer
+
+    from caseledger.llm.queries import tokenizer_path
+
+    texts = [prose(140) for _ in range(30)]
+    texts += [changed(texts[0], 3), texts[1], texts[2] + " tail", changed(texts[3], 90)]
+    item, passage = prose(40), prose(70)
+    leaks, shared = [len(texts), len(texts) + 1], [len(texts) + 2, len(texts) + 3]
+    texts += [f"{prose(60)} {item} {prose(20)}", f"{item} {prose(90)}", f"{prose(80)} {passage} {prose(50)}", f"{passage} {prose(90)}"]
+    spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in enumerate(texts)], "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(i, 1, 0) for i in range(20)], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    spark.createDataFrame([(1, item), (2, prose(25)), (3, None)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    got = {r["doc_id"]: r["n_tokens"] for r in corpus_pipeline.run(spark, str(tmp_path)).collect()}
+    assert set(got) == brute_keepers(texts) - set(leaks)
+    whole = {i: len(e.ids) for i, e in enumerate(Tokenizer.from_file(tokenizer_path()).encode_batch(texts, add_special_tokens=False))}
+    gone = len(Tokenizer.from_file(tokenizer_path()).encode(" " + passage).ids)
+    assert all(got[i] == whole[i] for i in got if i not in shared)
+    assert all(abs(got[i] - (whole[i] - gone)) <= 2 for i in shared)
