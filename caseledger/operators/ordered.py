@@ -167,49 +167,36 @@ def anchor_slices(df: DataFrame, group: Sequence[str], order: str, is_anchor: Co
     return d.groupBy(*group, F.col("_a").alias("anchor")).agg(F.count("*").alias("n_lines"), F.array_join(lines, " ").alias("content"))
 
 
-def _row_starts(v: np.ndarray, gap: float, span: float, first: float | None = None) -> np.ndarray:
-    """Positions in sorted values at which a row begins: after a gap, or beyond the row's first value by more than ``span``.
-    ``first`` is that of a row that is open before the values; without it the first value begins one.
-
-    Every value knows where the row after its own would begin, so only the rows are walked, not their values."""
-    n = len(v)
-    beyond = np.searchsorted(v, v + span, "right")
-    while (late := (beyond < n) & (v[np.minimum(beyond, n - 1)] - v <= span)).any():  # sums round, differences decide
-        beyond[late] += 1
-    while (early := v[beyond - 1] - v > span).any():
-        beyond[early] -= 1
-    breaks = np.append(np.flatnonzero(v[1:] - v[:-1] > gap) + 1, n)
-    following = np.minimum(beyond, breaks[np.searchsorted(breaks, np.arange(n), "right")]).tolist()
-    at = 0
-    if first is not None:
-        inside = np.flatnonzero(v - first > span)
-        at = min(int(inside[0]) if len(inside) else n, int(breaks[0]))
+def _firsts(values: list[float], opens: list[bool], gap: float, span: float, first: float | None = None, last: float | None = None) -> list[float]:
+    """The first value of each value's row, in one pass over sorted values: a row ends after a gap, where its span would be
+    exceeded, and where ``opens`` says so. ``first`` and ``last`` are those of a row that is open before the values."""
     out = []
-    while at < n:
-        out.append(at)
-        at = following[at]
-    return np.array(out, dtype=np.int64)
+    for v, new in zip(values, opens, strict=True):
+        if new or first is None or v - last > gap or v - first > span:
+            first = v
+        out.append(first)
+        last = v
+    return out
 
 
 def linkage_rows(values: Column, gap: float, span: float) -> Column:
     """array<struct<v, first, row>> of sorted values: a value joins the current row if it lies within ``gap`` of the one
     before and within ``span`` of the row's first. The span cap makes it no island condition."""
 
-    @F.pandas_udf("start array<int>, row array<int>")
+    @F.pandas_udf("first array<double>, row array<int>")
     def rows(series: pd.Series) -> pd.DataFrame:
         out = []
         for v in series:
             if v is None:
                 out.append((None, None))
                 continue
-            starts = _row_starts(np.asarray(v, dtype=float), gap, span) if len(v) else np.zeros(0, dtype=np.int64)
-            size = np.diff(np.append(starts, len(v)))
-            out.append((np.repeat(starts, size).astype(np.int32), np.repeat(np.arange(1, len(starts) + 1), size).astype(np.int32)))
-        return pd.DataFrame(out, columns=["start", "row"])
+            firsts = np.array(_firsts(list(v), [False] * len(v), gap, span), dtype=float)
+            out.append((firsts, (np.cumsum(np.append(True, firsts[1:] != firsts[:-1])[: len(v)])).astype(np.int32)))
+        return pd.DataFrame(out, columns=["first", "row"])
 
     v = F.sort_array(F.transform(values, lambda v: v.cast("double")))
     at = rows(v)
-    return F.zip_with(v, F.arrays_zip(at["start"].alias("start"), at["row"].alias("row")), lambda x, r: F.struct(x.alias("v"), F.get(v, r["start"]).alias("first"), r["row"].alias("row")))
+    return F.zip_with(v, F.arrays_zip(at["first"].alias("first"), at["row"].alias("row")), lambda x, r: F.struct(x.alias("v"), r["first"].alias("first"), r["row"].alias("row")))
 
 
 def linkage(df: DataFrame, group: str, value: str, gap: float, span: float, name: str = "first") -> DataFrame:
@@ -233,17 +220,10 @@ def linkage(df: DataFrame, group: str, value: str, gap: float, span: float, name
             g, part, v = b.column(group), b.column("_part"), b.column("_v").to_numpy(zero_copy_only=False)
             codes = g.dictionary_encode(null_encoding="encode").indices.to_numpy(zero_copy_only=False)
             p = part.to_numpy(zero_copy_only=False)
-            edge = np.concatenate([[0], np.flatnonzero((codes[1:] != codes[:-1]) | (p[1:] != p[:-1])) + 1, [len(v)]])
-            out = np.empty(len(v))
-            for a, z in zip(edge[:-1].tolist(), edge[1:].tolist(), strict=True):
-                here = (g[a].as_py(), part[a].as_py())
-                goes_on = here == key and v[a] - last <= gap
-                starts = a + _row_starts(v[a:z], gap, span, first if goes_on else None)
-                if goes_on and (not len(starts) or starts[0] > a):
-                    out[a : starts[0] if len(starts) else z] = first
-                out[starts[0] if len(starts) else z : z] = np.repeat(v[starts], np.diff(np.append(starts, z)))
-                key, first, last = here, out[z - 1], v[z - 1]
-            yield pa.RecordBatch.from_arrays([b.column(c) for c in names] + [pa.array(out)], names=names + [name])
+            opens = np.append((g[0].as_py(), part[0].as_py()) != key, (codes[1:] != codes[:-1]) | (p[1:] != p[:-1]))
+            out = _firsts(v.tolist(), opens.tolist(), gap, span, first, last)
+            key, first, last = (g[len(g) - 1].as_py(), part[len(part) - 1].as_py()), out[-1], float(v[-1])
+            yield pa.RecordBatch.from_arrays([b.column(c) for c in names] + [pa.array(out, pa.float64())], names=names + [name])
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in d.schema if f.name in names)
     return d.mapInArrow(run, f"{schema}, `{name}` double")
