@@ -146,3 +146,13 @@ def outcome_text(atoms: Column, damage: Column, injury: Mapping[str, str], event
     before, after = clause.split("{amount}")
     money = F.when(filled(damage), F.concat(F.lit(f" {before}"), damage, F.lit(after))).otherwise("")
     return F.when(F.size(parts) == 0, "").otherwise(F.concat(F.array_join(parts, ". "), F.lit("."), money))
+
+
+def percent(part: Column, whole: Column) -> Column:
+    """A share as text with one decimal, halves to even, a dash where there is no whole."""
+    return F.when(whole == 0, "-").otherwise(F.format_string("%.1f%%", F.bround(F.try_divide(part * F.lit(100.0), whole), 1)))
+
+
+def is_positive_score(c: Column) -> Column:
+    """Filled and not a plain 0."""
+    return filled(c) & (F.trim(c) != "0")

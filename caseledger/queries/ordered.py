@@ -62,12 +62,12 @@ def floor_rank_percentiles(spark, t):
 k AS (SELECT *, starts_with(s, '- ') AS bullet, NOT starts_with(s, '- ') AND suffix(s, ':') AS header FROM l WHERE s IS NOT NULL),
 w AS (SELECT *, coalesce(lead(bullet) OVER o, FALSE) AS led, last_value(CASE WHEN NOT bullet THEN CASE WHEN header THEN s ELSE '' END END IGNORE NULLS) OVER (PARTITION BY conv_id ORDER BY turn, s ROWS UNBOUNDED PRECEDING) AS head FROM k WINDOW o AS (PARTITION BY conv_id ORDER BY turn, s)),
 o AS (SELECT conv_id, turn, s, CASE WHEN bullet THEN CASE WHEN coalesce(head, '') <> '' THEN head || ' ' ELSE '' END || substr(s, 3) WHEN header AND led THEN NULL ELSE s END AS statement FROM w)
-SELECT c.conv_id, coalesce(list(statement ORDER BY turn, s) FILTER (statement IS NOT NULL), []) AS statements FROM (SELECT DISTINCT conv_id FROM conversations) c LEFT JOIN o USING (conv_id) GROUP BY 1""")
+SELECT c.conv_id, coalesce(string_agg(statement, chr(10) ORDER BY turn, s), '') AS statements FROM (SELECT DISTINCT conv_id FROM conversations) c LEFT JOIN o USING (conv_id) GROUP BY 1""")
 def header_distribution(spark, t):
     """Statements built from a conversation's turns: system lines head, user lines are bullets."""
     line = F.when(F.col("role") == "user", F.concat(F.lit("- "), F.col("text"))).when(F.col("role") == "system", F.concat(F.col("text"), F.lit(":"))).otherwise(F.col("text"))
     lines = t("conversations").groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("turn", line.alias("s")))).alias("a"))
-    return lines.select("conv_id", distribute_headers(F.transform("a", lambda x: x["s"])).alias("statements"))
+    return lines.select("conv_id", F.array_join(distribute_headers(F.transform("a", lambda x: x["s"])), "\n").alias("statements"))
 
 
 @query("""WITH l AS (SELECT doc_id, pos, line FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS pos FROM documents)),

@@ -184,9 +184,12 @@ def reading_order(spark, t):
     return L.reading_order(d, "page").select("page", F.md5(F.col("text").cast("binary")).alias("text"))
 
 
-@query()
+@query("""WITH e AS (SELECT user_id AS page, event_id, hour(ts) AS y, minute(ts) AS x, event_type FROM events), m AS (SELECT page, event_id AS mark, x, y FROM e WHERE event_id % 5 = 0), w AS (SELECT page, event_type AS text, x AS x0, x + 5 AS x1, y FROM e WHERE event_id % 5 <> 0),
+n AS (SELECT m.page, mark, m.x, text, x0, x1, lag(x1) OVER (PARTITION BY m.page, mark ORDER BY x0, x1, text) AS before FROM m JOIN w ON w.page = m.page AND abs(w.y - m.y) <= 4 AND x0 >= m.x),
+f AS (SELECT *, bool_and(CASE WHEN before IS NULL THEN x0 - x <= 40 ELSE x0 - before <= 12 END) OVER (PARTITION BY page, mark ORDER BY x0, x1, text ROWS UNBOUNDED PRECEDING) AS near FROM n)
+SELECT page, mark, coalesce(string_agg(text, ' ' ORDER BY x0, x1, text) FILTER (near), '') AS label FROM f GROUP BY 1, 2""")
 def proximity_labels(spark, t):
-    """Marks and words of pages built from events; the fold is unit-tested."""
+    """Marks and words of pages built from all events."""
     e = t("events").select((F.col("user_id")).alias("page"), "event_id", F.hour("ts").alias("h"), F.minute("ts").alias("m"), "event_type")
     marks = e.filter("event_id % 5 = 0").select("page", F.col("event_id").alias("mark"), F.col("m").cast("double").alias("x"), F.col("h").cast("double").alias("y"))
     words = e.filter("event_id % 5 <> 0").select("page", F.col("event_type").alias("text"), F.col("m").cast("double").alias("x0"), (F.col("m") + 5).cast("double").alias("x1"), F.col("h").cast("double").alias("y"))

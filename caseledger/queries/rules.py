@@ -116,10 +116,10 @@ def registry_misses(spark, t):
     return t("customer").join(F.broadcast(known), "c_nationkey", "left_anti").groupBy(F.col("c_nationkey").alias("nationkey")).agg(F.count("*").alias("n"))
 
 
-@query("SELECT p_name AS name, count(*) AS n, list_sort(list(p_partkey)) AS keys FROM part GROUP BY 1 HAVING count(*) > 1")
+@query("SELECT p_name AS name, count(*) AS n, string_agg(p_partkey, ',' ORDER BY p_partkey) AS keys FROM part GROUP BY 1 HAVING count(*) > 1")
 def inverse_conflicts(spark, t):
     """Values that an inverse map cannot take back to one key."""
-    return t("part").groupBy(F.col("p_name").alias("name")).agg(F.count("*").alias("n"), F.array_sort(F.collect_list("p_partkey")).alias("keys")).filter("n > 1")
+    return t("part").groupBy(F.col("p_name").alias("name")).agg(F.count("*").alias("n"), F.array_join(F.array_sort(F.collect_list("p_partkey")).cast("array<string>"), ",").alias("keys")).filter("n > 1")
 
 
 _WANTED = "SELECT page_id, CASE WHEN page_id % 9 = 0 THEN ' ' ELSE url END AS a, CASE WHEN page_id % 18 = 0 THEN NULL ELSE 'https://mirror.example/' || page_id END AS b, sha256(html) AS sha FROM pages"

@@ -183,9 +183,9 @@ def find_dates_in_text(spark, t):
     return t("orders").select("o_orderkey", F.size(found).alias("n"), F.element_at(found, 1).alias("first"))
 
 
-@query()
+@query("SELECT o_orderkey, 'Between ' || strftime(d, '%B %-d, %Y') || ' and ' || strftime(d, '%-m/%-d/%Y') || ' or ' || upper(strftime(d, '%d-%b-%Y')) AS text FROM (SELECT o_orderkey, o_orderdate + INTERVAL 30 DAY AS d FROM orders)")
 def shift_prose_dates(spark, t):
-    """Five date formats rewritten in place, format kept; by an Arrow UDF, since SQL has no callback replacement."""
+    """Date formats rewritten in place, format kept; by an Arrow UDF, since SQL has no callback replacement."""
     from caseledger.functions.prose import shift_prose_dates as shift
 
     text = F.concat_ws(" ", F.lit("Between"), F.date_format("o_orderdate", "MMMM d, yyyy"), F.lit("and"), F.date_format("o_orderdate", "M/d/yyyy"), F.lit("or"), F.date_format("o_orderdate", "dd-MMM-yyyy"))
@@ -274,13 +274,13 @@ def length_guard(spark, t):
     return t("conversations").select("conv_id", "turn", F.when(F.length("text") > 600, "long").otherwise("ok").alias("guard"))
 
 
-@query()
+@query("SELECT o_orderkey, 'GC' AS area, (o_custkey % 900)::VARCHAR AS block, o_orderdate::DATE::VARCHAR AS day, TRUE AS redacted, '' AS notes FROM orders")
 def filename_parse(spark, t):
     """Area, block, date and notes out of report file names, never raising."""
     from caseledger.functions.prose import parse_filename
 
     name = F.concat(F.lit("GC "), (F.col("o_custkey") % 900).cast("string"), F.lit(" "), F.upper(F.date_format("o_orderdate", "dd-MMM-yyyy")), F.lit(" Acme_Redacted.pdf"))
-    return t("orders").select("o_orderkey", parse_filename(name).alias("p")).select("o_orderkey", "p.*")
+    return t("orders").select("o_orderkey", parse_filename(name).alias("p")).select("o_orderkey", "p.area", "p.block", "p.day", "p.redacted", F.array_join("p.notes", ";").alias("notes"))
 
 
 @query("""SELECT o_orderkey, CASE o_custkey % 4 WHEN 3 THEN '' ELSE 'GC' END AS area, CASE o_custkey % 4 WHEN 0 THEN (o_custkey % 900)::VARCHAR WHEN 1 THEN (o_custkey % 900)::VARCHAR || ' B' WHEN 2 THEN 'A ' || o_custkey % 900 ELSE '' END AS block,
