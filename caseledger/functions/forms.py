@@ -48,16 +48,3 @@ def response(raw: Column, vocabulary: Sequence[str], abstain: str) -> Column:
     element = F.when(F.get_json_object(body, "$.element").rlike(r"^-?\d+$"), F.from_json(body, "element int")["element"])
     good = (category.isin(*vocabulary) & element.between(1, 20)) | (category == abstain)
     return F.when(good, F.struct(category.alias("category"), F.when(category != abstain, element).alias("element")))
-
-
-#: Severity tiers, scores and money bands (fixed values).
-VERY_SERIOUS, SERIOUS = ("Fatality", "Blowout", "Explosion"), ("Injury", "LWC", "Fire", "Collision")
-
-
-def severity(types: Column, damage: Column) -> Column:
-    """struct(tier, score, financial, money_score, mitigated): worst tier by overlap, mitigation two lower, one at least."""
-    tier = F.when(F.arrays_overlap(types, F.array(*[F.lit(x) for x in VERY_SERIOUS])), "Very Serious").when(F.arrays_overlap(types, F.array(*[F.lit(x) for x in SERIOUS])), "Serious").otherwise("Incident")
-    score = F.when(tier == "Very Serious", 9).when(tier == "Serious", 5).otherwise(2)
-    fin = F.when(damage.isNull(), F.lit(None).cast("string")).when(damage <= 25000, "Minor").when(damage <= 500000, "Moderate").otherwise("Major")
-    money = F.when(fin == "Minor", 2).when(fin == "Moderate", 5).when(fin == "Major", 9)
-    return F.struct(tier.alias("tier"), score.alias("score"), fin.alias("financial"), money.alias("money_score"), F.greatest(score - 2, F.lit(1)).alias("mitigated"))

@@ -10,6 +10,7 @@ from pyspark.sql.window import Window
 
 from caseledger.functions.text import filled, is_blank
 
+#: Where a cell's value comes from: names of tokens, and which count as real and as fabricated (fixed values).
 REAL, FABRICATED, TOKENS = ("src", "xw"), ("syn", "llm", "key"), ("", "src", "xw", "llm", "gold", "syn", "key", "pseud")
 
 

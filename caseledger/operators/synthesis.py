@@ -48,7 +48,9 @@ def _has(types: Column, names: tuple[str, ...]) -> Column:
     return F.arrays_overlap(types, F.array(*[F.lit(n) for n in names]))
 
 
-def _severity(types: Column, damage: Column, r: Rules) -> dict[str, Column]:
+def severity(types: Column, damage: Column, r: Rules | None = None) -> dict[str, Column]:
+    """Tier, scores and bands of an incident's types and damage, by name; what cannot be told is Unknown or null."""
+    r = r or Rules()
     tier = F.when(F.size(types) > 0, F.lit("Incident"))
     for name in ("Serious", "Very Serious"):
         tier = F.when(_has(types, r.tiers[name]), name).otherwise(tier)
@@ -95,7 +97,7 @@ def synthesize(df: DataFrame, ident: str, day: str, types: str, damage: str, sit
     status = status_by_age(parsed, F.lit(r.frozen).cast("date"))
     fields["action_status"] = status
     fields["schedule_status"] = F.when(status == "Completed", "N/A").when(draw(2, key, r.schedule_salt, sep="") == 0, "On Schedule").otherwise("Behind")
-    fields |= _severity(known, F.col(damage), r)
+    fields |= severity(known, F.col(damage), r)
     fields["incident_title"] = F.concat(incident_title(known), F.lit(" incident at "), F.trim(F.coalesce(F.col(site), F.lit(""))))
     odd = F.array_compact(F.array(F.when(F.size(known) == 0, "unresolved_incident_classification"), F.when(F.col(damage).isNull(), "unresolved_property_damage")))
     skipped = F.when(F.coalesce(raw, F.lit("")) == "", "no_incident_date").when(parsed.isNull(), "unparseable_date")

@@ -136,9 +136,14 @@ def topn_per_group(spark, t):
     return top_n(t("documents").select("lang", "doc_id"), ["lang"], [F.sha2(F.col("doc_id").cast("string"), 256), F.col("doc_id")], 30)
 
 
-@query()
+@query("""WITH RECURSIVE g AS (SELECT lang, count(*) AS size, count(*) OVER () AS k FROM documents WHERE lang IS NOT NULL GROUP BY 1), a AS (SELECT lang, size, least(greatest(1, 120 // k), size) AS got FROM g),
+w AS (SELECT 0 AS step, list({'lang': lang, 'size': size, 'got': got} ORDER BY lang) AS x FROM a
+ UNION ALL SELECT step + 1, list_transform(x, lambda y: {'lang': y.lang, 'size': y.size, 'got': y.got + (y.size > y.got AND len(list_filter(x, lambda z: z.size > z.got AND (z.size - z.got > y.size - y.got OR z.size - z.got = y.size - y.got AND z.lang < y.lang))) < 120 - list_sum(list_transform(x, lambda z: z.got)))::BIGINT})
+ FROM w WHERE list_sum(list_transform(x, lambda y: y.got)) < 120 AND len(list_filter(x, lambda y: y.size > y.got)) > 0),
+f AS (SELECT unnest(arg_max(x, step)) AS y FROM w), d AS (SELECT doc_id, lang, row_number() OVER (PARTITION BY lang ORDER BY sha256(doc_id::VARCHAR), doc_id) AS r FROM documents)
+SELECT doc_id, d.lang FROM d JOIN f ON d.lang = f.y.lang WHERE r <= f.y.got""")
 def waterfill_sample(spark, t):
-    """Water-filled allocation of 120 rows over languages; the allocation itself is unit-tested."""
+    """Water-filled allocation of 120 rows over languages, in hash order."""
     return water_fill_sample(t("documents").select("doc_id", "lang"), "lang", "doc_id", 120)
 
 

@@ -9,6 +9,7 @@ from caseledger.functions.hashing import rate_hit
 from caseledger.operators import layout as L
 from caseledger.operators.joins import recurrences
 from caseledger.operators.provenance import base_tokens, fill_gaps
+from caseledger.operators.synthesis import severity
 from caseledger.queries.base import query, sql_hit
 
 
@@ -125,7 +126,8 @@ SELECT o_orderkey, tier, CASE WHEN o_totalprice <= 25000 THEN 'Minor' WHEN o_tot
 def severity_fields(spark, t):
     names = F.array(*[F.lit(x) for x in _TYPES])
     types = F.array(*[F.element_at(names, (F.col(c) % 5 + 1).cast("int")) for c in ("o_orderkey", "o_custkey")])
-    return t("orders").select("o_orderkey", R.severity(types, F.col("o_totalprice")).alias("s")).select("o_orderkey", "s.tier", "s.financial", "s.mitigated")
+    s = severity(types, F.col("o_totalprice"))
+    return t("orders").select("o_orderkey", s["incident_classification"].alias("tier"), s["financial_classification"].alias("financial"), s["mitigated_risk_score"].alias("mitigated"))
 
 
 @query("SELECT event_id, 'late' AS type, event_type AS detail FROM events WHERE event_id % 3 = 0 UNION ALL SELECT event_id, 'odd', event_type FROM events WHERE event_id % 2 = 1")
