@@ -63,8 +63,8 @@ def _lines(t):
 
 
 @query(_SQL + """ SELECT doc, line, k::INTEGER AS k, 'anchor_renumbered' AS type, field, printed AS other, substr(text, 1, 120) AS shown FROM t WHERE field <> printed
-UNION ALL SELECT doc, line, k, 'duplicate_anchor', field, NULL, substr(text, 1, 120) FROM t WHERE turn > 1
-UNION ALL SELECT doc, line, k, 'out_of_order_anchor', field, highest, substr(text, 1, 120) FROM f WHERE field < highest""")
+UNION ALL SELECT doc, line, k::INTEGER, 'duplicate_anchor', field, NULL, substr(text, 1, 120) FROM t WHERE turn > 1
+UNION ALL SELECT doc, line, k::INTEGER, 'out_of_order_anchor', field, highest, substr(text, 1, 120) FROM f WHERE field < highest""")
 def anchor_anomalies(spark, t):
     """Renumbered, repeated and out-of-order anchors of forms written from all orders."""
     return S.anchor_anomalies(S.resolved_anchors(_lines(t), FORM))

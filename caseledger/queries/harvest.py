@@ -59,7 +59,7 @@ _INDEX = f"WITH c AS (SELECT *, {_YEAR} AS year, row_number() OVER (PARTITION BY
 
 @query(_INDEX + """, h AS (SELECT c_nationkey, row, year, '' AS detail, unnest(range(0, CASE c_custkey % 4 WHEN 2 THEN 1 WHEN 3 THEN 2 ELSE 0 END)) AS place, c_custkey FROM c),
 d AS (SELECT c_nationkey, row, year, 'https://site.example/node/' || c_custkey % 40 AS detail, unnest(range(0, (c_custkey % 40 % 3))) AS place, c_custkey % 40 AS k FROM c WHERE c_custkey % 4 = 1)
-SELECT c_nationkey, row, year, detail, place::INTEGER AS place, '/f/' || c_custkey || CASE place WHEN 0 THEN '.PDF' ELSE '-b.pdf' END AS href FROM h UNION ALL SELECT c_nationkey, row, year, detail, place, '/d/' || k || '-' || place || '.pdf' FROM d""")
+SELECT c_nationkey, row, year, detail, place::INTEGER AS place, '/f/' || c_custkey || CASE place WHEN 0 THEN '.PDF' ELSE '-b.pdf' END AS href FROM h UNION ALL SELECT c_nationkey, row, year, detail, place::INTEGER, '/d/' || k || '-' || place || '.pdf' FROM d""")
 def report_index(spark, t):
     """Report links of both index layouts, with their years, those of detail pages among them."""
     from caseledger.sources.html import report_links, report_rows

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from caseledger.functions.hashing import quantile_table
 from caseledger.operators import scenario as S
+from caseledger.operators.ordered import hash_rank
 from caseledger.operators.synthesis import synthesize
 from caseledger.queries.base import query, sql_hit, sql_mod, sql_pick
 
@@ -61,6 +62,16 @@ def scenario_greedy_pairs(spark, t):
     return spark.createDataFrame([(p.first, p.second, p.first_day, p.second_day, p.element, p.work_group) for p in pairs], kind)
 
 
+@query()
+def scenario_planted(spark, t):
+    """Planted recurrences of every company: all customers in hash order, 150 a company, one pair for every 25 of them."""
+    slices = hash_rank(t("customer").select("c_custkey"), "c_custkey").select("c_custkey", F.concat(F.lit("K"), F.floor((F.col("rank") - 1) / 150).cast("string")).alias("company"))
+    span = F.col("report_lag") + F.array_max(F.transform("actions", lambda a: a["done"]))
+    p = _plan(t).filter(~F.col("skipped")).join(slices, "c_custkey")
+    c = p.select("company", F.col("incident").alias("ident"), "day", span.alias("span"), (F.col("c_custkey") % 40).alias("back"), (F.col("c_custkey") % 9).alias("ahead"))
+    return S.plant_companies(c, 25, 180, (_K.start, _K.start + timedelta(days=_K.days - 1)))
+
+
 _ROLES = {"investigation_lead": ("lead", "Investigator", "Investigation Lead"), "incident_classified_by": ("classified_by", "Classifier", "Incident Classifier"), "investigation_acceptor": ("acceptor", "Acceptor", "Investigation Acceptor"),
           "close_out_approval": ("close_out", "Approver", "Close-Out Approver"), "responsible_owner": ("owner", "Owner", "Responsible Owner")}
 _OFFSETS = {"date_of_report": ("day", 5, 15), "approval_date": ("syn_date_of_report", 14, 45), "close_out_date": ("syn_approval_date", 30, 90), "action_due_date": ("syn_approval_date", 30, 180), "agreed_completion_date": ("syn_approval_date", 30, 180)}
