@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from caseledger.operators.sweeps import DIMS
+from caseledger.operators.sweeps import DIMS, dense
 
 #: Bound on the loss's curvature for rows of unit length and a constant: half of their squared length.
 CURVATURE = 1.0
@@ -27,8 +27,10 @@ class Folds:
     w: np.ndarray
     classes: list[str]
 
-    def scores(self, at: np.ndarray, weight: np.ndarray) -> np.ndarray:
-        return np.tensordot(self.w[:, at, :], weight, axes=(1, 0)) + self.w[:, -1, :]
+    def scores(self, x: np.ndarray) -> np.ndarray:
+        """(row, fold, class) of rows as a matrix."""
+        folds, dims, n = self.w.shape
+        return (x @ self.w[:, :-1].transpose(1, 0, 2).reshape(dims - 1, folds * n)).reshape(len(x), folds, n) + self.w[:, -1]
 
 
 def _softmax(s: np.ndarray) -> np.ndarray:
@@ -55,13 +57,13 @@ def fit(rows: DataFrame, label: str, folds: int, l2: float = 1e-3, steps: int =
             model = shared.value
             g = np.zeros_like(model.w)
             for b in batches:
-                for at, weight, c, fold in zip(b.column(0), b.column(1), b.column(2).to_pylist(), b.column(3).to_pylist(), strict=True):
-                    i, x = at.values.to_numpy(), weight.values.to_numpy()
-                    off = _softmax(model.scores(i, x))
-                    off[:, number[c]] -= 1
-                    off[fold] = 0
-                    g[:, i, :] += x[None, :, None] * off[:, None, :]
-                    g[:, -1, :] += off
+                label, fold = np.array([number[c] for c in b.column(2).to_pylist()], dtype=int), b.column(3).to_numpy()
+                for lo, x in dense(b.column(0), b.column(1), dims):
+                    off, i = _softmax(model.scores(x)), np.arange(len(x))
+                    off[i, :, label[lo : lo + len(x)]] -= 1
+                    off[i, fold[lo : lo + len(x)]] = 0
+                    g[:, :-1] += (x.T @ off.reshape(len(x), -1)).reshape(dims, folds, -1).transpose(1, 0, 2)
+                    g[:, -1] += off.sum(axis=0)
             at = np.flatnonzero(g)
             yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(g.ravel()[at])], names=["at", "x"])
 
@@ -81,7 +83,9 @@ def predict(rows: DataFrame, key: str, label: str, model: Folds) -> DataFrame:
     def run(batches):
         m = shared.value
         for b in batches:
-            said = [m.classes[int(m.scores(at.values.to_numpy(), w.values.to_numpy())[f].argmax())] for at, w, f in zip(b.column(3), b.column(4), b.column(1).to_pylist(), strict=True)]
+            fold, said = b.column(1).to_numpy(), []
+            for lo, x in dense(b.column(3), b.column(4), m.w.shape[1] - 1):
+                said += [m.classes[c] for c in m.scores(x)[np.arange(len(x)), fold[lo : lo + len(x)]].argmax(axis=1)]
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), b.column(2), pa.array(said, pa.string())], names=[key, "fold", label, "predicted"])
 
     return rows.select(key, F.col("fold").cast("int"), label, "at", "weight").mapInArrow(run, f"{key} {rows.schema[key].dataType.simpleString()}, fold int, {label} string, predicted string")

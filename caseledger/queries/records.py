@@ -201,5 +201,5 @@ def classifier_folds(spark, t):
     from caseledger.operators import classify, sweeps
 
     d = t("documents").filter("lang is not null").select("doc_id", "lang", "text")
-    rows = sweeps.vectors(d, "doc_id", dims=1024, max_share=0.7).join(d.select("doc_id", "lang"), "doc_id").withColumn("fold", F.pmod(F.xxhash64("doc_id"), F.lit(3)).cast("int"))
+    rows = sweeps.vectors(d, "doc_id", dims=1024, max_share=0.7, keep=["lang"]).withColumn("fold", F.pmod(F.xxhash64("doc_id"), F.lit(3)).cast("int"))
     return classify.fold_scores(classify.predict(rows, "doc_id", "lang", classify.fit(rows, "lang", 3, steps=25, dims=1024)), "lang")

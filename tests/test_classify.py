@@ -48,3 +48,21 @@ def test_scores_equal_a_plain_count(spark):
         most = max(sum(a == c for a, _ in pairs) for c in names)
         assert r["n"] == len(pairs) and abs(r["accuracy"] - sum(a == b for a, b in pairs) / len(pairs)) < 1e-6
         assert abs(r["macro_f1"] - sum(f1) / len(f1)) < 1e-6 and abs(r["baseline"] - most / len(pairs)) < 1e-6
+
+
+def test_every_term_has_its_own_dimension_up_to_a_bound_that_the_driver_holds(spark):
+    from caseledger.operators.learning import cross_validated
+
+    words = {"en": "the pump has failed", "fr": "la pompe est tombee"}
+    d = spark.createDataFrame([(i, f"{words[g]} {w}", g) for i in range(60) for g, w in [(("en", "fr")[i % 2], words[("en", "fr")[i % 2]].split()[i % 4])]], "doc_id long, text string, lang string")
+    for wide in (64, 5):  # eight terms: one each, or dealt over five dimensions
+        got = cross_validated(d, "lang", 2, wide=wide).orderBy("fold").collect()
+        assert [r["fold"] for r in got] == [0, 1] and sum(r["n"] for r in got) == 60 and all(r["accuracy"] > 0.9 for r in got)
+
+
+def test_labels_are_written_beside_vectors_over_the_tasks(spark):
+    from caseledger.operators.sweeps import vectors
+
+    d = spark.createDataFrame([(i, "pump failed hard" if i % 2 else "valve leaked oil", f"c{i % 2}") for i in range(200)], "id int, text string, label string").coalesce(1)
+    rows = vectors(d, "id", dims=16, max_share=0.7, keep=["label"])
+    assert rows.count() == 200 and rows.groupBy("label").count().count() == 2 and len(rows.inputFiles()) == 4
