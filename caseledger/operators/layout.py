@@ -125,6 +125,10 @@ def _chosen(spans: list[tuple]) -> list[tuple]:
     return kept
 
 
+#: Kept matches that leave a task at once.
+KEPT_AT_ONCE = 20_000
+
+
 def disjoint_matches(spans: DataFrame, group: str) -> DataFrame:
     """Matches in order of (priority, start), each dropped if it overlaps one that was kept.
 
@@ -136,14 +140,20 @@ def disjoint_matches(spans: DataFrame, group: str) -> DataFrame:
     d = d.withColumn("_new", (until.isNull() | (F.col("start") >= until)).cast("int")).withColumn("_part", F.sum("_new").over(w.rowsBetween(Window.unboundedPreceding, 0)))
     alone = d.groupBy(group, "_part").agg(F.collect_list(F.struct("priority", "start", "end", "what")).alias("spans"))
 
+    def cells(b, at, out):
+        return pa.RecordBatch.from_arrays([b.column(0).take(pa.array(at, pa.int64())), *[pa.array([s[k] for s in out], t) for k, t in ((0, pa.int32()), (1, pa.int32()), (2, pa.int32()), (4, pa.string()))]], names=[group, "priority", "start", "end", "what"])
+
     def run(batches):
         for b in batches:
             at, out = [], []
-            for i, found in enumerate(b.column(1).to_pylist()):
-                kept = _chosen([(s["priority"], s["start"], s["end"], s["what"] or "", s["what"]) for s in found])
+            for i, found in enumerate(b.column(1)):  # one part at a time is unpacked, and results leave by KEPT_AT_ONCE
+                priority, start, end, what = (c.to_pylist() for c in found.values.flatten())
+                kept = _chosen(list(zip(priority, start, end, [w or "" for w in what], what, strict=True)))
                 at += [i] * len(kept)
                 out += kept
-            cells = [pa.array([s[k] for s in out], t) for k, t in ((0, pa.int32()), (1, pa.int32()), (2, pa.int32()), (4, pa.string()))]
-            yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(at, pa.int64())), *cells], names=[group, "priority", "start", "end", "what"])
+                if len(out) >= KEPT_AT_ONCE:
+                    yield cells(b, at, out)
+                    at, out = [], []
+            yield cells(b, at, out)
 
     return alone.select(group, "spans").mapInArrow(run, f"{group} {spans.schema[group].dataType.simpleString()}, priority int, start int, end int, what string")

@@ -147,3 +147,12 @@ def test_groups_in_parts_equal_windows(spark, parts):
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before[0])
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", before[1])
+
+
+def test_matches_leave_a_task_in_parts(spark, monkeypatch):
+    from caseledger.operators import layout as L
+
+    d = spark.range(300).selectExpr("id % 3 AS g", "1 AS priority", "id * 2 AS start", "id * 2 + 3 AS end", "'x' AS what")
+    whole = sorted(map(tuple, L.disjoint_matches(d, "g").collect()))
+    monkeypatch.setattr(L, "KEPT_AT_ONCE", 7)
+    assert sorted(map(tuple, L.disjoint_matches(d, "g").collect())) == whole and len(whole) == 300
