@@ -149,6 +149,24 @@ def test_groups_in_parts_equal_windows(spark, parts):
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", before[1])
 
 
+def test_digests_modulo_any_number_equal_python(spark):
+    from hashlib import sha256
+
+    from caseledger.functions.hashing import draw
+
+    ns = [1, 2, 3, 7, 8, 10, 255, 256, 288, 512, 1000, 1024, 4096, 1_000_000, 1 << 20, (1 << 30) - 1, 1 << 30, (1 << 30) + 1, (1 << 31) - 1]
+    d = spark.range(40).select("id", *[draw(n, F.col("id")).alias(f"n{n}") for n in ns], draw(F.col("id") + 1, F.col("id")).alias("by"))
+    for r in d.collect():
+        whole = int(sha256(str(r["id"]).encode()).hexdigest(), 16)
+        assert [r[f"n{n}"] for n in ns] == [whole % n for n in ns] and r["by"] == whole % (r["id"] + 1)
+
+
+def test_power_of_two_draws_read_the_last_digits_only(spark):
+    from caseledger.functions.hashing import draw
+
+    assert str(draw(1024, F.col("id"))._jc).count("conv") == 1 and str(draw(1_000_000, F.col("id"))._jc).count("conv") < 8
+
+
 def test_matches_leave_a_task_in_parts(spark, monkeypatch):
     from caseledger.operators import layout as L
 
@@ -156,3 +174,11 @@ def test_matches_leave_a_task_in_parts(spark, monkeypatch):
     whole = sorted(map(tuple, L.disjoint_matches(d, "g").collect()))
     monkeypatch.setattr(L, "KEPT_AT_ONCE", 7)
     assert sorted(map(tuple, L.disjoint_matches(d, "g").collect())) == whole and len(whole) == 300
+
+
+def test_votes_are_dealt_by_key_once(spark):
+    from caseledger.operators.aggregates import consolidate
+
+    d = spark.createDataFrame([(k, i, "a") for k in range(5) for i in (1, 2, 3)], "k int, i int, label string")
+    plan = consolidate(d, "k", "i", "label", 3, "abstain")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1
