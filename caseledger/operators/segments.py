@@ -48,22 +48,19 @@ class Form:
 
     def label_field(self, tail: Column) -> Column:
         """The field that a text names: the longest label that opens it, of equally long ones the first listed."""
-        opens = F.ltrim(F.upper(tail), F.lit(" .:-"))
-        out = F.lit(None).cast("int")
-        listed = [(label.upper(), n) for n, f in self.fields.items() for label in f.labels]
-        for label, n in reversed(sorted(listed, key=lambda x: -len(x[0]))):
-            out = F.when(opens.startswith(label), n).otherwise(out)
-        return out
+        listed = sorted([(label.upper(), n) for n, f in self.fields.items() for label in f.labels], key=lambda x: -len(x[0]))
+        if not listed:
+            return F.lit(None).cast("int")
+        hints = F.array(*[F.struct(F.lit(label).alias("label"), F.lit(n).alias("n")) for label, n in listed])
+        opens = F.array(F.ltrim(F.upper(tail), F.lit(" .:-")))
+        return F.element_at(F.transform(opens, lambda x: F.try_element_at(F.filter(hints, lambda h: x.startswith(h["label"])), F.lit(1))["n"]), 1)
 
     def confirmed(self, printed: Column, tail: Column) -> Column:
         """Whether the printed number's own field has a label in the text, or needs none."""
-        out = F.lit(False)
-        for n, f in self.fields.items():
-            named = F.lit(not f.labels)
-            for label in f.labels:
-                named |= F.upper(tail).contains(label.upper())
-            out = F.when(printed == n, named).otherwise(out)
-        return out
+        # Labels by number as data: a chain of conditions would make one method too large for the JVM to compile.
+        own = F.map_from_arrays(F.array(*map(F.lit, self.fields)), F.array(*[F.array(*[F.lit(x.upper()) for x in f.labels or [""]]) for f in self.fields.values()]))
+        labels = F.coalesce(F.try_element_at(own, printed), F.array().cast("array<string>"))
+        return F.coalesce(F.element_at(F.transform(F.array(F.upper(tail)), lambda x: F.exists(labels, lambda label: x.contains(label))), 1), F.lit(False))
 
     def limit(self, number: int) -> int:
         return self.limits.get(self.fields[number].kind, self.cap)
@@ -74,8 +71,16 @@ def clean_lines(lines: DataFrame, form: Form, text: str = "text") -> DataFrame:
     c = F.trim(F.col(text))
     for p in form.watermarks:
         c = F.regexp_replace(c, p, " ")
-    out = lines.withColumn(text, F.trim(F.regexp_replace(c, r"\s{2,}", " "))).filter(F.col(text) != "")
-    return out.filter(~F.col(text).rlike("^(?:" + "|".join(f"(?:{p})" for p in form.furniture) + ")")) if form.furniture else out
+    c = F.trim(F.regexp_replace(c, r"\s{2,}", " "))
+    page = "^(?:" + "|".join(f"(?:{p})" for p in form.furniture) + ")"
+    kept = F.filter(F.array(c), lambda x: (x != "") & ~x.rlike(page) if form.furniture else x != "")
+    return _each(lines.withColumn("_kept", kept), "_kept", text).select(*lines.columns)
+
+
+def _each(d: DataFrame, array: str, name: str) -> DataFrame:
+    """An element a row. What makes the array is run once: filters on a plain column, as those that a plain explode is given,
+    move below it and run its expressions again."""
+    return d.select(*[c for c in d.columns if c not in (array, name)], F.explode_outer(array).alias(name)).filter(F.col(name).isNotNull())
 
 
 def printed_anchors(lines: DataFrame, doc: str = "doc", line: str = "line", text: str = "text") -> DataFrame:
@@ -88,7 +93,7 @@ def printed_anchors(lines: DataFrame, doc: str = "doc", line: str = "line", text
         F.sequence(F.lit(1), F.size("_m")),
         lambda k: F.struct(k.alias("k"), F.regexp_extract(F.element_at("_m", k), r"\d+", 0).cast("int").alias("printed"), (size("_p", k) + size("_m", k - 1)).alias("start"), F.length(F.element_at("_m", k)).alias("n")),
     )
-    d = d.select(doc, line, text, F.explode(found).alias("x"))
+    d = _each(d.select(doc, line, text, found.alias("_x")), "_x", "x")
     return d.select(doc, line, "x.k", "x.printed", "x.start", F.substring(F.col(text), F.col("x.start") + F.col("x.n") + 1, F.lit(TAIL)).alias("tail"), text)
 
 
@@ -139,7 +144,7 @@ def form_revision(lines: DataFrame, form: Form, doc: str = "doc", line: str = "l
 def line_parts(lines: DataFrame, accepted: DataFrame, doc: str = "doc", line: str = "line", text: str = "text") -> DataFrame:
     """(doc, field, line, start, part, opens, last): what each line gives to which field. A document's anchors, as many as
     its form has fields at most, meet its lines by the document; ``last`` marks the document's last field."""
-    spots = F.array_sort(F.collect_list(F.struct(F.col(line).alias("line"), F.col("start"), F.col("field"))))
+    spots = F.sort_array(F.collect_list(F.struct(F.col(line).alias("line"), F.col("start"), F.col("field"))))
     marks = accepted.groupBy(doc).agg(spots.alias("_a"))
     d = lines.select(doc, line, text).join(marks, doc)
     before = F.try_element_at(F.filter("_a", lambda a: a["line"] < F.col(line)), F.lit(-1))
@@ -148,7 +153,7 @@ def line_parts(lines: DataFrame, accepted: DataFrame, doc: str = "doc", line: st
     head = F.struct(F.col("_b.field").alias("field"), F.lit(0).alias("start"), F.coalesce(F.try_element_at("_h", F.lit(1))["start"], F.length(text)).alias("end"), F.lit(False).alias("opens"))
     rest = F.transform("_h", lambda a, i: F.struct(a["field"].alias("field"), a["start"].alias("start"), F.coalesce(F.get("_h", i + 1)["start"], F.length(text)).alias("end"), F.lit(True).alias("opens")))
     parts = F.filter(F.concat(F.array(head), rest), lambda p: p["field"].isNotNull())
-    d = d.select(doc, line, text, "_last", F.explode(parts).alias("p"))
+    d = _each(d.select(doc, line, text, "_last", parts.alias("_p")), "_p", "p")
     return d.select(doc, "p.field", line, "p.start", F.substring(F.col(text), F.col("p.start") + 1, F.col("p.end") - F.col("p.start")).alias("part"), "p.opens", (F.col("p.field") == F.col("_last")).alias("last"))
 
 
@@ -158,7 +163,7 @@ def form_fields(lines: DataFrame, form: Form, doc: str = "doc", line: str = "lin
     its kind's limit and the rest kept in ``overflow``, null where nothing was cut."""
     parts = line_parts(lines, accepted_anchors(resolved_anchors(lines, form, doc, line, text), doc, line), doc, line, text)
     opened = F.when(F.col("opens") & F.col("part").contains(":"), F.regexp_replace("part", r"^[^:]*:", "")).otherwise(F.col("part"))
-    rows = F.array_sort(F.collect_list(F.struct(F.col(line).alias("line"), F.col("start"), opened.alias("part"))))
+    rows = F.sort_array(F.collect_list(F.struct(F.col(line).alias("line"), F.col("start"), opened.alias("part"))))
     d = parts.groupBy(doc, "field").agg(F.trim(F.array_join(F.transform(rows, lambda r: r["part"]), "\n")).alias("body"), F.first("last").alias("last"))
     bled = F.lit(0)
     for p in form.bleed:

@@ -63,3 +63,17 @@ def test_no_anchor_and_empty_table(spark):
 ])
 def test_revisions(spark, text, revision):
     assert S.form_revision(lines(spark, *text), FORM).collect()[0]["revision"] == revision
+
+
+def plan(d):
+    return d._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_lines_are_cleaned_once(spark):
+    assert plan(S.printed_anchors(S.clean_lines(lines(spark, "2. OPERATOR: x"), FORM))).count("For Release") == 1
+
+
+def test_labels_are_data_and_not_a_chain_of_conditions(spark):
+    a = S.resolved_anchors(lines(spark, "2. OPERATOR: x"), FORM)
+    assert plan(a).count("CASE WHEN") <= 2
+    assert [r["field"] for r in a.collect()] == [2]
