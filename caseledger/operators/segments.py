@@ -183,15 +183,20 @@ def form_fields(lines: DataFrame, form: Form, doc: str = "doc", line: str = "lin
 def field_anomalies(fields: DataFrame, docs: DataFrame, form: Form, doc: str = "doc") -> DataFrame:
     """(doc, type, field, n): bled label text, a last field cut, a field longer than its kind allows (n: pieces, or
     characters), and per document the number of fields not found; ``no_anchors_found`` where there are none."""
-    row = lambda d, kind, number, n: d.select(doc, F.lit(kind).alias("type"), number.cast("int").alias("field"), n.cast("long").alias("n"))
+    one = lambda when, kind, number, n: F.when(when, F.struct(F.lit(kind).alias("type"), number.cast("int").alias("field"), n.cast("long").alias("n")))
     limits = F.lit(None).cast("int")
     for k, f in form.fields.items():
         if f.kind in form.limits:
             limits = F.when(F.col("field") == k, form.limits[f.kind]).otherwise(limits)
-    out = row(fields.filter("bled > 0"), "label_bleed_stripped", F.col("field"), F.col("bled"))
-    out = out.unionByName(row(fields.filter("overflow is not null"), "terminal_anchor_truncated", F.col("field"), F.length("overflow")))
-    out = out.unionByName(row(fields.filter(F.length("body") > limits), "field_length_exceeded", F.col("field"), F.length("body")))
-    seen = docs.select(doc).distinct().join(fields.groupBy(doc).agg(F.count("*").alias("_n")), doc, "left")
+    number = F.col("field")
+    # All of a document's reports are at most four a field, so the fields are cut once and met once by their documents.
+    odd = F.array_compact(F.array(
+        one(F.col("bled") > 0, "label_bleed_stripped", number, F.col("bled")), one(F.col("_over").isNotNull(), "terminal_anchor_truncated", number, F.col("_over")), one(F.col("_size") > limits, "field_length_exceeded", number, F.col("_size")),
+    ))
+    sizes = fields.select(doc, "field", "bled", F.length("overflow").alias("_over"), F.length("body").alias("_size"))
+    per = sizes.select(doc, odd.alias("_odd")).groupBy(doc).agg(F.count("*").alias("_n"), F.flatten(F.collect_list("_odd")).alias("_odd"))
     missing = F.lit(len(form.fields)) - F.col("_n")
-    out = out.unionByName(row(seen.filter(missing > 0), "fields_not_located", F.lit(None), missing))
-    return out.unionByName(row(seen.filter("_n is null"), "no_anchors_found", F.lit(None), F.lit(0)))
+    whole = F.array_compact(F.array(one(missing > 0, "fields_not_located", F.lit(None), missing), one(F.col("_n").isNull(), "no_anchors_found", F.lit(None), F.lit(0))))
+    seen = docs.select(doc).distinct().join(per, doc, "left")
+    rows = _each(seen.select(doc, F.concat(F.coalesce("_odd", F.array()), whole).alias("_odd")), "_odd", "x")
+    return rows.select(doc, "x.type", "x.field", "x.n")

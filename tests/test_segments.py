@@ -77,3 +77,8 @@ def test_labels_are_data_and_not_a_chain_of_conditions(spark):
     a = S.resolved_anchors(lines(spark, "2. OPERATOR: x"), FORM)
     assert plan(a).count("CASE WHEN") <= 2
     assert [r["field"] for r in a.collect()] == [2]
+
+
+def test_fields_are_cut_once_for_their_anomalies(spark):
+    d = lines(spark, "2. OPERATOR: x")
+    assert plan(S.field_anomalies(S.form_fields(d, FORM), d, FORM)).count("LogicalRDD") == 3
