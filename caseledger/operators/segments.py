@@ -115,9 +115,10 @@ def anchor_anomalies(resolved: DataFrame, doc: str = "doc", line: str = "line",
     """(doc, line, k, type, field, other, shown): renumbered anchors (other: the printed number), repeated fields, and
     fields after a higher one (other: that one). Reported only: an anchor out of order keeps its field."""
     row = lambda d, kind, other: d.select(doc, line, "k", F.lit(kind).alias("type"), "field", other.cast("int").alias("other"), F.substring(text, 1, SHOWN).alias("shown"))
-    out = row(resolved.filter("printed <> field"), "anchor_renumbered", F.col("printed"))
-    out = out.unionByName(row(resolved.filter("turn > 1"), "duplicate_anchor", F.lit(None)))
-    return out.unionByName(row(accepted_anchors(resolved, doc, line).filter("field < highest"), "out_of_order_anchor", F.col("highest")))
+    one = lambda when, kind, other: F.when(when, F.struct(F.lit(kind).alias("type"), other.cast("int").alias("other")))
+    odd = F.array_compact(F.array(one(F.col("printed") != F.col("field"), "anchor_renumbered", F.col("printed")), one(F.col("turn") > 1, "duplicate_anchor", F.lit(None))))
+    out = _each(resolved.select(doc, line, "k", "field", F.substring(text, 1, SHOWN).alias("shown"), odd.alias("_odd")), "_odd", "x")
+    return out.select(doc, line, "k", "x.type", "field", "x.other", "shown").unionByName(row(accepted_anchors(resolved, doc, line).filter("field < highest"), "out_of_order_anchor", F.col("highest")))
 
 
 def form_revision(lines: DataFrame, form: Form, doc: str = "doc", line: str = "line", text: str = "text") -> DataFrame:

@@ -79,6 +79,10 @@ def test_labels_are_data_and_not_a_chain_of_conditions(spark):
     assert [r["field"] for r in a.collect()] == [2]
 
 
+def test_anchors_are_read_no_more_than_twice_for_their_anomalies(spark):
+    assert plan(S.anchor_anomalies(S.resolved_anchors(lines(spark, "2. OPERATOR: x"), FORM))).count("LogicalRDD") == 2
+
+
 def test_fields_are_cut_once_for_their_anomalies(spark):
     d = lines(spark, "2. OPERATOR: x")
     assert plan(S.field_anomalies(S.form_fields(d, FORM), d, FORM)).count("LogicalRDD") == 3
