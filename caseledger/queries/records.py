@@ -107,7 +107,7 @@ def checkpointed_blocks(spark, t):
     path, d = scratch(spark, "blocks"), t("orders").select("o_orderkey")
     R.write_checkpointed(d.withColumn("run", F.lit("first")), path, "o_orderkey")
     R.write_checkpointed(d.filter("o_orderkey < 600").withColumn("run", F.lit("again")), path, "o_orderkey")
-    return spark.read.parquet(path).select("o_orderkey", F.col("block").cast("long").alias("block"), "run")
+    return R.read_checkpointed(spark, path).select("o_orderkey", F.col("block").cast("long").alias("block"), "run")
 
 
 @query("SELECT page_id, url, CASE WHEN page_id % 2 = 0 THEN sha256(html) ELSE 'old' END AS sha, CASE WHEN page_id % 2 = 0 THEN 'fetched' ELSE '' END AS note FROM pages")
