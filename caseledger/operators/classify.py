@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from caseledger.operators.sweeps import DIMS, dense
+from caseledger.operators.sweeps import DIMS, dense, in_few
 
 #: Bound on the loss's curvature for rows of unit length and a constant: half of their squared length.
 CURVATURE = 1.0
@@ -67,7 +67,7 @@ def fit(rows: DataFrame, label: str, folds: int, l2: float = 1e-3, steps: int =
             at = np.flatnonzero(g)
             yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(g.ravel()[at])], names=["at", "x"])
 
-        got = rows.select("at", "weight", F.col(label).alias("_c"), F.col("fold").cast("int").alias("_f")).mapInArrow(run, "at long, x double").groupBy("at").agg(F.sum("x").alias("x")).toArrow()
+        got = in_few(rows.select("at", "weight", F.col(label).alias("_c"), F.col("fold").cast("int").alias("_f"))).mapInArrow(run, "at long, x double").groupBy("at").agg(F.sum("x").alias("x")).toArrow()
         g = np.zeros_like(w)
         g.ravel()[got.column("at").to_numpy()] = got.column("x").to_numpy()
         shared.unpersist()
